@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunetable.functions.binding import let
 from tunetable.schema import message_columns, share_columns
 
 
@@ -163,15 +164,16 @@ def image_blocks(messages: Column, images: Column) -> Column:
     none = F.lit(None)
     pictures = F.transform(images, lambda i: block("image", none, i))
     known = F.forall(messages, lambda m: m.role.isin("system", "user", "assistant"))
-    out = F.transform(
+    fill = lambda at: F.transform(
         messages,
         lambda m, i: F.struct(
             m.role.alias("role"),
-            F.when(i + 1 == first_user, F.concat(pictures, F.array(block("text", m.content, none))))
+            F.when(i + 1 == at, F.concat(pictures, F.array(block("text", m.content, none))))
             .otherwise(F.array(block("text", m.content, none)))
             .alias("content"),
         ),
     )
+    out = let(first_user, fill)
     placed = (first_user > 0) | (F.size(images) == 0)
     return (
         F.when(~known, F.raise_error(F.lit("messages may only have the roles system, user and assistant")))

@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tunetable.functions.binding import let
+
 
 def log_sigmoid(x: Column) -> Column:
     """Stable for large arguments of either sign."""
@@ -133,9 +135,7 @@ def implicit_reward(logp: Column, ref: Column, beta: float = 0.1) -> Column:
 
 def length_desensitised(logps: Column, shared: Column, alpha: float) -> Column:
     """Full weight up to the shorter side's length, ``alpha`` after it."""
-    return F.aggregate(
-        F.transform(logps, lambda x, i: F.when(i < shared, x).otherwise(x * alpha)), F.lit(0.0), lambda a, x: a + x
-    )
+    return let(shared, lambda n: array_sum(F.transform(logps, lambda x, i: F.when(i < n, x).otherwise(x * alpha))))
 
 
 def pair_confidence(chosen_adjusted: Column, rejected_adjusted: Column) -> Column:
@@ -252,8 +252,7 @@ def importance_log_weights(policy: Column, old: Column, mask: Column, level: str
     if level == "token":
         return log_ratio
     if level in ("sequence", "sequence_token"):
-        mean = masked_mean(log_ratio, mask)
-        return F.transform(log_ratio, lambda _: mean)
+        return F.array_repeat(masked_mean(log_ratio, mask), F.size(log_ratio))
     raise ValueError(f"unknown level {level!r}")
 
 
@@ -320,21 +319,32 @@ def clip_flags(log_weights: Column, advantage: Column, low: float = 0.2, high: f
     )
 
 
+_BLOCK = 128  # appending to an array copies it, so long rows are scanned in blocks
+
+
 def backward_scan(deltas: Column, decay: float) -> Column:
     """``y[t] = x[t] + decay * y[t+1]`` inside one row."""
-    state = F.struct(F.lit(0.0).alias("last"), F.array().cast("array<double>").alias("out"))
+    nothing = F.array().cast("array<double>")
+    tail = lambda done: F.get(done, F.size(done) - 1)
+
+    def scan_block(done: Column, block: Column) -> Column:
+        carry = F.coalesce(tail(done), F.lit(0.0))
+        step = lambda o, x: F.array_append(o, x + decay * F.coalesce(tail(o), carry))
+        return F.concat(done, F.aggregate(block, nothing, step))
 
-    def step(s: Column, x: Column) -> Column:
-        y = x + decay * s.last
-        return F.struct(y.alias("last"), F.array_append(s.out, y).alias("out"))
+    def scan(rev: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(rev), F.lit(_BLOCK))
+        blocks = F.transform(starts, lambda i: F.slice(rev, i, _BLOCK))
+        return F.when(F.size(rev) > 0, F.aggregate(blocks, nothing, scan_block)).otherwise(nothing)
 
-    return F.aggregate(F.reverse(deltas), state, step, lambda s: F.reverse(s.out))
+    return F.reverse(let(F.reverse(deltas), scan))
 
 
 def generalised_advantage(rewards: Column, values: Column, gamma: float, lam: float) -> tuple[Column, Column]:
     """Token-level advantages and returns."""
-    deltas = F.transform(
-        rewards, lambda r, t: r + gamma * F.coalesce(F.get(values, t + 1), F.lit(0.0)) - F.get(values, t)
+    deltas = let(
+        values,
+        lambda v: F.transform(rewards, lambda r, t: r + gamma * F.coalesce(F.get(v, t + 1), F.lit(0.0)) - F.get(v, t)),
     )
     advantages = backward_scan(deltas, gamma * lam)
     return advantages, F.zip_with(advantages, values, lambda a, v: a + v)
@@ -383,9 +393,11 @@ def perception_kl(policy: Column, masked_image: Column) -> Column:
 
 
 def log_softmax(scores: Column) -> Column:
-    top = F.array_max(scores)
-    norm = top + F.log(F.aggregate(scores, F.lit(0.0), lambda a, x: a + F.exp(x - top)))
-    return F.transform(scores, lambda x: x - norm)
+    def normalise(v: Column) -> Column:
+        shifted = let(F.array_max(v), lambda top: F.transform(v, lambda x: x - top))
+        return let(shifted, lambda z: let(F.log(array_sum(F.transform(z, F.exp))), lambda n: F.transform(z, lambda x: x - n)))
+
+    return let(scores, normalise)
 
 
 def entropy(scores: Column) -> Column:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tunetable.functions.binding import let
+
 
 @dataclass(frozen=True)
 class ChatStyle:
@@ -47,19 +49,25 @@ def render_prompt(messages: Column, style: str = "im") -> Column:
 
 
 def common_prefix_length(a: Column, b: Column) -> Column:
-    """Characters two strings share at their start, in a logarithmic number of comparisons."""
-    state = F.struct(F.lit(0).alias("same"), F.least(F.length(a), F.length(b)).alias("top"))
-    middle = lambda s: ((s.same + s.top + 1) / 2).cast("int")
-    # Each step halves an interval no longer than a string, so log2 of it steps suffice.
-    steps = F.when(F.least(F.length(a), F.length(b)) > 0, F.sequence(F.lit(1), F.ceil(F.log2(F.least(F.length(a), F.length(b)) + 1)).cast("int") + 1))
-    equal = lambda n: F.substr(a, F.lit(1), n) == F.substr(b, F.lit(1), n)
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = middle(s)
-        hit = equal(mid)
-        return F.struct(F.when(hit, mid).otherwise(s.same).alias("same"), F.when(hit, s.top).otherwise(F.greatest(mid - 1, s.same)).alias("top"))
-
-    return F.aggregate(F.coalesce(steps, F.array().cast("array<int>")), state, halve, lambda s: s.same)
+    """Characters two strings share at their start, found by halving."""
+
+    def search(p: Column) -> Column:
+        shorter = F.least(F.length(p.a), F.length(p.b))
+        # Halving an interval of n needs about log2(n) steps; one more settles the border.
+        steps = F.sequence(F.lit(0), F.ceil(F.log2(shorter + 1)).cast("int"))
+        start = F.struct(F.lit(0).alias("same"), shorter.alias("top"))
+
+        def halve(s: Column, _: Column) -> Column:
+            mid = F.ceil((s.same + s.top) / 2).cast("int")
+            hit = F.substr(p.a, F.lit(1), mid) == F.substr(p.b, F.lit(1), mid)
+            return F.struct(
+                F.when(hit, mid).otherwise(s.same).alias("same"),
+                F.when(hit, s.top).otherwise(F.greatest(mid - 1, s.same)).alias("top"),
+            )
+
+        return F.aggregate(steps, start, halve, lambda s: s.same)
+
+    return let(F.struct(a.alias("a"), b.alias("b")), search)
 
 
 def render_pair(prompt: Column, completion: Column, style: str = "im") -> tuple[Column, Column]:
