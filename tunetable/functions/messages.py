@@ -107,7 +107,7 @@ def split_last(messages: Column) -> tuple[Column, Column]:
 
 def prompt_of(messages: Column) -> Column:
     """The messages to answer: all of them after a user turn, else all but the last."""
-    asks = F.element_at(messages, -1).role == "user"
+    asks = F.try_element_at(messages, F.lit(-1)).role == "user"
     return F.when(F.size(messages) == 0, messages).when(asks, messages).otherwise(head(messages, F.size(messages) - 1))
 
 

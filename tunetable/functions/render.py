@@ -39,7 +39,7 @@ def render_chat(messages: Column, style: str = "im", ask: bool = False) -> Colum
 def render_prompt(messages: Column, style: str = "im") -> Column:
     """Prompt text: a header after a user or tool turn, an open end after an assistant turn."""
     s = STYLES[style]
-    role = F.element_at(messages, -1).role
+    role = F.try_element_at(messages, F.lit(-1)).role
     whole = render_chat(messages, style)
     return (
         F.when(role.isin("user", "tool"), F.concat(whole, F.lit(s.ask)))
@@ -81,12 +81,12 @@ def render_pair(prompt: Column, completion: Column, style: str = "im") -> tuple[
 def prompt_and_completion_text(messages: Column, end_marker: str, style: str = "im") -> tuple[Column, Column, Column]:
     """``(prompt, full, completion)`` texts with the last assistant turn as the completion."""
     size = F.size(messages)
-    answered = F.coalesce(F.element_at(messages, -1).role == "assistant", F.lit(False))
+    answered = F.coalesce(F.try_element_at(messages, F.lit(-1)).role == "assistant", F.lit(False))
     prompt = render_chat(F.when(answered, F.slice(messages, 1, F.greatest(size - 1, F.lit(0)))).otherwise(messages), style, ask=True)
     full = render_chat(messages, style)
     completion = (
         F.when(F.startswith(full, prompt), F.substr(full, F.length(prompt) + 1, F.length(full)))
-        .when(answered, F.concat(F.element_at(messages, -1).content, F.lit(end_marker)))
+        .when(answered, F.concat(F.try_element_at(messages, F.lit(-1)).content, F.lit(end_marker)))
         .otherwise("")
     )
     return prompt, full, completion

@@ -36,7 +36,7 @@ def overlong_penalty(n_tokens: Column, max_length: int, margin: int) -> Column:
 def extract_answer(text: Column) -> Column:
     """Normalised answer: the last boxed expression, else the whole text; NULL if nothing is left."""
     boxed = F.regexp_extract_all(text, F.lit(r"\\boxed\{([^{}]*(?:\{[^{}]*\}[^{}]*)*)\}"), F.lit(1))
-    raw = F.when(F.size(boxed) > 0, F.element_at(boxed, -1)).otherwise(text)
+    raw = F.when(F.size(boxed) > 0, F.try_element_at(boxed, F.lit(-1))).otherwise(text)
     clean = F.lower(F.regexp_replace(F.regexp_replace(raw, r"[\s$,]+", ""), r"\.+\z", ""))
     return F.nullif(clean, F.lit(""))
 

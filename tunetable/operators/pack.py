@@ -120,7 +120,7 @@ def pack_wrapped(df: DataFrame, key: str, length: int, keys: Sequence[str] = ())
     return (
         pieces.groupBy(*keys, "chunk")
         .agg(whole.alias("_w"))
-        .select(*keys, "chunk", *[F.flatten(F.transform("_w", lambda x, c=c: x[c])).alias(c) for c in lists])
+        .select(*keys, "chunk", *[F.flatten(F.col(f"_w.{c}")).alias(c) for c in lists])
     )
 
 
@@ -130,6 +130,6 @@ def concat_batches(df: DataFrame, batch: str, order: str, lists: Sequence[str])
     joined = df.groupBy(batch).agg(rows.alias("_w"))
     return joined.select(
         batch,
-        *[F.flatten(F.transform("_w", lambda x, c=c: x[c])).alias(c) for c in lists],
+        *[F.flatten(F.col(f"_w.{c}")).alias(c) for c in lists],
         F.transform("_w", lambda x: F.size(x[lists[0]])).alias("seq_lengths"),
     )

@@ -2,5 +2,8 @@
 
 from tunetable.plans import (  # noqa: F401
     datasets,
+    packing,
+    preferences,
+    texts,
 )
 from tunetable.plans.registry import QUERIES, SQL  # noqa: F401

@@ -271,10 +271,10 @@ def constant_system_prompt(spark, sf):
 
 
 @query(
-    f"""WITH {SQL_MESSAGES} SELECT conv_id, {sql_messages("list_transform(messages, lambda x: {'role': x.role, 'content': CASE WHEN x.role = 'assistant' THEN '<think>' || upper(x.content) || '</think>' || x.content ELSE x.content END})")} AS messages FROM msgs"""
+    f"""WITH {SQL_MESSAGES} SELECT conv_id, {sql_messages("list_transform(messages, lambda x: {'role': x.role, 'content': CASE WHEN x.role = 'assistant' THEN '<think>' || replace(x.content, ' ', '_') || '</think>' || x.content ELSE x.content END})")} AS messages FROM msgs"""
 )
 def thinking_merged(spark, sf):
-    thought = lambda m: F.when(m.role == "assistant", F.upper(m.content)).when(m.role == "user", F.lit("  "))
+    thought = lambda m: F.when(m.role == "assistant", F.replace(m.content, F.lit(' '), F.lit('_'))).when(m.role == "user", F.lit("  "))
     with_field = F.transform("messages", lambda m: F.struct(m.role.alias("role"), thought(m).alias("thinking"), m.content.alias("content")))
     return message_table(spark, sf).select("conv_id", show_messages(M.merge_thinking(with_field)).alias("messages"))
 
@@ -339,11 +339,11 @@ def not_all_equal_filter(spark, sf):
 
 
 @query(
-    "SELECT p_partkey, p_size FROM part WHERE starts_with(p_name, 'p') AND p_size < 40 AND p_retailprice < 1500 AND len(string_split(p_type, ' ')) > 0"
+    "SELECT p_partkey, p_size FROM part WHERE starts_with(p_name, 's') AND p_size < 40 AND p_retailprice < 1500 AND len(string_split(p_type, ' ')) > 0"
 )
 def simple_filters(spark, sf):
     df = table(spark, sf, "part")
-    kept = df.filter(F.startswith("p_name", F.lit("p")) & (F.col("p_size") < 40) & (F.col("p_retailprice") < 1500))
+    kept = df.filter(F.startswith("p_name", F.lit("s")) & (F.col("p_size") < 40) & (F.col("p_retailprice") < 1500))
     return kept.filter(F.size(F.split("p_type", " ")) > 0).select("p_partkey", "p_size")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tunetable.functions.messages import first_index, head, last_index, turns_to_messages
 from tunetable.functions.objectives import array_sum
-from tunetable.functions.tokens import TOKEN_PATTERN, hashed_ids
+from tunetable.functions.tokens import TOKEN_PATTERN, hashed_ids, words
 from tunetable.operators.vocab import count_tokens, lookup_tokens, tokens_of
 from tunetable.sources.scan import table
 
@@ -131,7 +131,7 @@ SQL_PAIRS = (
 
 def text_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """The same pairs as strings, with the prompt's last message as the prompt."""
-    text = lambda c: F.element_at(F.col(c), -1).content
+    text = lambda c: F.try_element_at(F.col(c), F.lit(-1)).content
     df = preference_pairs(spark, sf).filter(F.size("prompt") > 0)
     return df.select("conv_id", text("prompt").alias("prompt"), text("chosen").alias("chosen"), text("rejected").alias("rejected"))
 
@@ -255,7 +255,7 @@ def sequence_rows(spark: SparkSession, sf: str) -> DataFrame:
     entry = F.struct("pos", "policy", "old", "ref", F.when(F.rlike("token", F.lit(r"^[\p{L}\p{N}]")), 1).otherwise(0).alias("mask"))
     rows = token_logps(spark, sf).groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(entry)).alias("_w"))
     cols = ["policy", "old", "ref", "mask"]
-    df = rows.select("conv_id", "turn", *[F.transform("_w", lambda x, c=c: x[c]).alias(c) for c in cols])
+    df = rows.select("conv_id", "turn", *[F.col(f"_w.{c}").alias(c) for c in cols])
     gap = F.zip_with("policy", "ref", lambda p, r: p - r)
     return df.withColumn("advantage", F.round(array_sum(gap) / F.size("policy"), 6))
 
@@ -336,3 +336,28 @@ SQL_ORDER_ROLLOUTS = (
     "l_quantity AS r_quantity, CASE WHEN l_discount > 0.02 THEN l_discount * 100 END AS r_discount, "
     "CASE WHEN l_tax > 0.04 THEN l_tax * 100 END AS r_tax FROM lineitem))"
 )
+
+
+# --- distributions ----------------------------------------------------------
+
+
+def half_distributions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Word distributions of the two halves of each document: ``doc_id, token, p`` (student, teacher)."""
+    tokens = documents(spark, sf, "doc_id", "text").select("doc_id", words(F.col("text")).alias("w"))
+    rows = tokens.select("doc_id", F.size("w").alias("n"), F.posexplode("w").alias("pos", "token"))
+    late = F.col("pos") * 2 >= F.col("n")
+    # The size of each half follows from the length, so one aggregation does.
+    size = F.when(late, F.col("n") - F.ceil(F.col("n") / 2)).otherwise(F.ceil(F.col("n") / 2))
+    counts = rows.groupBy("doc_id", "token", late.alias("late"), size.alias("size")).agg(F.count("*").alias("c"))
+    dist = counts.withColumn("p", F.col("c") / F.col("size"))
+    side = lambda cond: dist.filter(cond).select("doc_id", "token", "p")
+    return side("NOT late"), side("late")
+
+
+SQL_HALVES = (
+    f"hw AS (SELECT doc_id, {sql_words('text')} AS w FROM documents), "
+    "hr AS (SELECT doc_id, len(w) AS n, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS pos FROM hw), "
+    "hc AS (SELECT doc_id, token, pos * 2 >= n AS late, count(*) AS c FROM hr GROUP BY ALL), "
+    "hd AS (SELECT *, c / sum(c) OVER (PARTITION BY doc_id, late) AS p FROM hc), "
+    "stu AS (SELECT doc_id, token, p FROM hd WHERE NOT late), tea AS (SELECT doc_id, token, p FROM hd WHERE late)"
+)
