@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 # Formats a reward checks, anchored at the start of the text.
 THINK = r"(?s)\A<think>(?!.*<think>).*?</think>.*"
-THINK_ANSWER = r"\A<think>.*?</think><answer>.*?</answer>\z"
-THINK_ANSWER_LINES = r"(?s)\A<think>\n.*?\n</think>\n<answer>\n.*?\n</answer>(?:\z|\n)"
+THINK_ANSWER = r"(?d)\A<think>.*?</think><answer>.*?</answer>$"
+THINK_ANSWER_LINES = r"(?smd)\A<think>\n.*?\n</think>\n<answer>\n.*?\n</answer>$"
 THINK_ANSWER_LOOSE = r"(?s)\A<think>.*?</think>.*?<answer>.*?</answer>"
 REASONING_ENDS = ("</think>",)
 

@@ -4,6 +4,7 @@ from tunetable.plans import (  # noqa: F401
     datasets,
     packing,
     preferences,
+    rewards,
     texts,
 )
 from tunetable.plans.registry import QUERIES, SQL  # noqa: F401

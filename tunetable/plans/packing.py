@@ -42,8 +42,8 @@ def best_fit_keeps_sequences(spark, sf):
 
 @query(
     f"""WITH {SQL_TOKENS}, s AS (SELECT doc_id, input_ids, sum(len(input_ids)) OVER (ORDER BY doc_id) - len(input_ids) AS beg FROM toks),
-    e AS (SELECT beg + generate_subscripts(input_ids, 1) - 1 AS at, unnest(input_ids) AS id FROM s)
-    SELECT CAST(at // {LENGTH} AS BIGINT) AS chunk, CAST(count(*) AS INTEGER) AS n, md5({sql_ids('list(id ORDER BY at)')}) AS input_ids FROM e GROUP BY 1"""
+    e AS (SELECT beg + generate_subscripts(input_ids, 1) - 1 AS ix, unnest(input_ids) AS id FROM s)
+    SELECT CAST(ix // {LENGTH} AS BIGINT) AS chunk, CAST(count(*) AS INTEGER) AS n, md5({sql_ids('list(id ORDER BY ix)')}) AS input_ids FROM e GROUP BY 1"""
 )
 def pack_wrapped_global(spark, sf):
     packed = pack_wrapped(token_rows(spark, sf), "doc_id", LENGTH)
@@ -52,8 +52,8 @@ def pack_wrapped_global(spark, sf):
 
 @query(
     f"""WITH {_SQL_LANG_TOKENS}, s AS (SELECT doc_id, lang, input_ids, sum(len(input_ids)) OVER (PARTITION BY lang ORDER BY doc_id) - len(input_ids) AS beg FROM lt),
-    e AS (SELECT lang, beg + generate_subscripts(input_ids, 1) - 1 AS at, unnest(input_ids) AS id FROM s)
-    SELECT lang, CAST(at // {LENGTH} AS BIGINT) AS chunk, CAST(count(*) AS INTEGER) AS n, md5({sql_ids('list(id ORDER BY at)')}) AS input_ids FROM e GROUP BY 1, 2"""
+    e AS (SELECT lang, beg + generate_subscripts(input_ids, 1) - 1 AS ix, unnest(input_ids) AS id FROM s)
+    SELECT lang, CAST(ix // {LENGTH} AS BIGINT) AS chunk, CAST(count(*) AS INTEGER) AS n, md5({sql_ids('list(id ORDER BY ix)')}) AS input_ids FROM e GROUP BY 1, 2"""
 )
 def pack_wrapped_by_language(spark, sf):
     packed = pack_wrapped(_lang_tokens(spark, sf), "doc_id", LENGTH, keys=["lang"])
