@@ -5,6 +5,7 @@ from tunetable.plans import (  # noqa: F401
     packing,
     preferences,
     rewards,
+    rollouts,
     texts,
 )
 from tunetable.plans.registry import QUERIES, SQL  # noqa: F401
