@@ -2,6 +2,7 @@
 
 from tunetable.plans import (  # noqa: F401
     datasets,
+    objectives,
     packing,
     preferences,
     rewards,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tunetable import udf
 from tunetable.functions import objectives as O
-from tunetable.functions.messages import split_last
+from tunetable.functions.messages import first_index, head
 from tunetable.functions.render import render_chat
 from tunetable.functions.rewards import overlong_penalty, weighted_sum
 from tunetable.functions.tokens import n_words
@@ -14,6 +14,7 @@ from tunetable.operators import groups as G
 from tunetable.plans.datasets import sql_render
 from tunetable.plans.inputs import (
     ROLLOUT_ORDER,
+    SQL_MESSAGES,
     SQL_ORDER_ROLLOUTS,
     SQL_ROLLOUTS,
     SQL_TOKEN_ROWS,
@@ -33,27 +34,24 @@ _KEYS = ", ".join(KEYS)
 
 # --- flagship ---------------------------------------------------------------
 
-_SQL_TURNS = (
-    "t AS (SELECT a.conv_id, a.turn, list({'role': b.role, 'content': b.text} ORDER BY b.turn) AS messages "
-    "FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn <= a.turn WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn)"
-)
-
-
 @query(
-    f"""WITH {_SQL_TURNS}, r AS (SELECT conv_id, turn, md5({sql_render('messages[1:len(messages)-1]')} || '<|im_start|>assistant' || chr(10)) AS prompt, len({sql_words('messages[-1].content')}) AS n FROM t),
-    s AS (SELECT *, CASE WHEN n <= 100 THEN 0.0 WHEN n <= 300 THEN (100 - n) / 200.0 ELSE -1.0 END::DOUBLE AS reward FROM r),
-    g AS (SELECT *, avg(reward) OVER (PARTITION BY conv_id) AS m, coalesce(stddev_samp(reward) OVER (PARTITION BY conv_id), 0.0) AS sd FROM s)
+    f"""WITH {SQL_MESSAGES}, f AS (SELECT *, list_position(list_transform(messages, lambda m: m.role), 'assistant') AS f FROM msgs),
+    p AS (SELECT conv_id, md5({sql_render('messages[1:f-1]')} || '<|im_start|>assistant' || chr(10)) AS prompt FROM f WHERE f > 0),
+    s AS (SELECT c.conv_id, c.turn, prompt, len({sql_words('c.text')}) AS n FROM conversations c JOIN p USING (conv_id) WHERE role = 'assistant'),
+    r AS (SELECT *, CASE WHEN n <= 100 THEN 0.0 WHEN n <= 300 THEN (100 - n) / 200.0 ELSE -1.0 END::DOUBLE AS reward FROM s),
+    g AS (SELECT *, avg(reward) OVER (PARTITION BY conv_id) AS m, coalesce(stddev_samp(reward) OVER (PARTITION BY conv_id), 0.0) AS sd FROM r)
     SELECT conv_id, turn, prompt, {sql_num('reward')} AS reward, {sql_num('(reward - m) / (sd + 0.0001)')} AS advantage, sd < 0.00000001 AS zero_std FROM g"""
 )
 def conversation_advantage(spark, sf):
-    """Every assistant turn as a rollout of its conversation: prompt, length reward and advantage."""
-    # One row per assistant turn with the messages up to it, cut out of the assembled conversation.
-    upto = F.transform("messages", lambda m, i: F.struct(i.cast("long").alias("turn"), m.role.alias("role"), F.slice("messages", 1, i + 1).alias("messages")))
-    turns = message_table(spark, sf).select("conv_id", F.explode(F.filter(upto, lambda x: x.role == "assistant")).alias("x")).select("conv_id", "x.turn", "x.messages")
-    prompt, completion = split_last(F.col("messages"))
-    rows = turns.select(
-        "conv_id", "turn", F.md5(render_chat(prompt, ask=True)).alias("prompt"),
-        overlong_penalty(n_words(completion[0].content), 300, 200).alias("reward"),
+    """Assistant turns as rollouts of what opens their conversation: prompt text, length reward, advantage."""
+    m = F.col("messages")
+    opening = head(m, first_index(m, lambda x: x.role == "assistant") - 1)
+    numbered = F.transform(m, lambda x, i: F.struct(i.cast("long").alias("turn"), x.role.alias("role"), x.content.alias("content")))
+    rows = (
+        message_table(spark, sf)
+        .select("conv_id", F.md5(render_chat(opening, ask=True)).alias("prompt"), F.explode(numbered).alias("x"))
+        .filter("x.role = 'assistant'")
+        .select("conv_id", "x.turn", "prompt", overlong_penalty(n_words(F.col("x.content")), 300, 200).alias("reward"))
     )
     out = G.group_advantage(rows, ["conv_id"], "reward")
     return out.select("conv_id", "turn", "prompt", num(F.col("reward")).alias("reward"), num(F.col("advantage")).alias("advantage"), "zero_std")
