@@ -56,20 +56,6 @@ def pad(ids: Column, n: Column | int, value: Column | int, side: str = "right")
     return F.concat(ids, fill) if side == "right" else F.concat(fill, ids)
 
 
-def pad_to_longest(df: DataFrame, ids: str, out: str, value: int, keys: list[str] = (), multiple: int = 1, side: str = "right") -> DataFrame:
-    """Pad to the longest row of the batch (or table), rounded up to a multiple.
-
-    The lengths are pre-aggregated, so a batch of any size is fine.
-    """
-    longest = F.max(F.size(ids)).alias("_longest")
-    if keys:
-        df = df.join(df.groupBy(*keys).agg(longest), list(keys))
-        n = F.col("_longest")
-    else:
-        n = df.agg(longest).scalar()
-    return df.withColumn(out, pad(F.col(ids), round_up(n, multiple), value, side)).drop("_longest")
-
-
 def add_special(ids: Column, first: int | None = None, last: int | None = None) -> Column:
     """Add a start or end id where it is missing."""
     if first is not None:
@@ -181,14 +167,6 @@ def valid_only(values: Column, mask: Column) -> Column:
     return F.transform(pairs, lambda x: x.v)
 
 
-def flush(df: DataFrame, values: str, mask: str, side: str, keys: list[str] = (), fill: int = 0) -> DataFrame:
-    """Move valid positions to one side and drop columns empty in every row of the batch."""
-    df = df.withColumns({values: valid_only(F.col(values), F.col(mask)), mask: F.filter(mask, lambda m: m == 1)})
-    other = "right" if side == "left" else "left"
-    df = pad_to_longest(df, values, values, fill, keys, side=other)
-    return df.withColumn(mask, pad(F.col(mask), F.size(values), 0, other))
-
-
 def first_true(flags: Column) -> Column:
     """0-based index of the first true; the length if none."""
     return F.coalesce(F.nullif(F.array_position(flags, True), F.lit(0)) - 1, F.size(flags)).cast("int")

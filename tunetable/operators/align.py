@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tunetable.functions.objectives import divergence_term
 from tunetable.functions.render import common_prefix_length
 from tunetable.operators.ordering import rank_within, running_totals
+from tunetable.operators.skew import join_unique, with_group_stats
 
 
 def attach(df: DataFrame, other: DataFrame, keys: Sequence[str], complete: bool = True) -> DataFrame:
@@ -97,9 +98,9 @@ def merge_group_distributions(dists: DataFrame, groups: DataFrame, seq: str, p:
     )
     weight = F.when(F.col("_n") > 1, F.exp("_l")).otherwise(F.col("_one"))
     merged = merged.withColumn("_w", weight)
-    norm = merged.groupBy(seq, "group").agg(F.sum("_w").alias("_z"), F.max("_n").alias("_m"))
     scaled = F.when(F.col("_m") > 1, F.col("_w") / F.col("_z")).otherwise(F.col("_w"))
-    return merged.join(norm, [seq, "group"]).select(seq, "group", "token", scaled.alias(p))
+    whole = with_group_stats(merged, [seq, "group"], {"_z": F.sum("_w"), "_m": F.max("_n")})
+    return whole.select(seq, "group", "token", scaled.alias(p))
 
 
 def sorted_l1(student: DataFrame, teacher: DataFrame, keys: Sequence[str], value: str, hot_rows: int | None = None) -> DataFrame:
@@ -127,7 +128,7 @@ def divergence_by_position(dists: DataFrame, keys: Sequence[str], student: str,
 def hybrid_loss(
     student: DataFrame,
     teacher: DataFrame,
-    shared: DataFrame,
+    vocabulary: DataFrame,
     keys: Sequence[str],
     beta: float = 0.5,
     weights: tuple[float, float] | None = None,
@@ -138,13 +139,17 @@ def hybrid_loss(
 
     ``student`` and ``teacher`` are ``(keys, token, p)`` with only tokens of positive
     probability on the teacher side, so a position compares only the teacher's ``k``
-    tokens with the student's best ``k``. Without ``weights`` the matched share of the
-    teacher's vocabulary decides.
+    tokens with the student's best ``k``. ``vocabulary`` is ``(token, n, shared)`` over
+    the tokens of both, ``n`` saying how frequent a token is. Without ``weights`` the
+    matched share of the teacher's vocabulary decides.
     """
     eps = 1e-8
     keys = list(keys)
-    s_shared, t_shared = (df.join(shared, "token", "left_semi") for df in (student, teacher))
-    s_own, t_own = (df.join(shared, "token", "left_anti") for df in (student, teacher))
+    split = lambda df: join_unique(df, vocabulary, ["token"], "n", ["shared"])
+    s_all, t_all = split(student), split(teacher)
+    is_shared = F.coalesce("shared", F.lit(False))
+    s_shared, t_shared = s_all.filter(is_shared).drop("shared"), t_all.filter(is_shared).drop("shared")
+    s_own, t_own = s_all.filter(~is_shared).drop("shared"), t_all.filter(~is_shared).drop("shared")
 
     t_side = t_shared.filter("p > 0").withColumnRenamed("p", "q")
     pairs = t_side.join(s_shared, [*keys, "token"], "left")

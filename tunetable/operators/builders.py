@@ -11,6 +11,7 @@ from tunetable.functions.binding import let
 from tunetable.functions.messages import message
 from tunetable.functions.render import common_prefix_length
 from tunetable.operators.ordering import running_totals
+from tunetable.operators.skew import with_group_stats
 
 # Batch names of the two source families, and the marker of a step.
 NEWS_BATCHES = ("batch0_cnndm", "cnndm0", "cnndm2")
@@ -189,8 +190,7 @@ def rotate_in_batch(df: DataFrame, batch: str, order: str, value: str, out: str,
     Rows are matched by their rank in the batch, so a batch of any size is split.
     """
     ranked = running_totals(df, [order], {"_pos": F.lit(1).cast("long")}, [batch], hot_rows=hot_rows)
-    sizes = df.groupBy(batch).agg(F.count("*").alias("_n"))
-    donors = ranked.join(sizes, batch).select(
+    donors = with_group_stats(ranked, [batch], {"_n": F.count("*")}).select(
         batch, F.pmod(F.col("_pos") + 1, F.col("_n")).alias("_pos"), F.col(value).alias(out)
     )
     return ranked.join(donors, [batch, "_pos"]).drop("_pos")

@@ -1,28 +1,24 @@
 """Group analytics over rollouts.
 
-Group statistics are pre-aggregated and joined back, so one prompt with a third
-of all rollouts costs no more than many small ones.
+Group statistics are pre-aggregated and joined back with the heavy groups served
+by a broadcast, so one prompt with a third of all rollouts is spread like the others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunetable.functions.objectives import clip
 from tunetable.operators.ordering import exact_quantile
+from tunetable.operators.skew import with_group_stats
 
 EPS = 1e-4
 ZERO_STD = 1e-8
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
-    """Attach aggregates of each group to its rows."""
-    return df.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys))
-
-
 def all_null_rows(df: DataFrame, rewards: Sequence[str]) -> DataFrame:
     """Rows no reward function applied to."""
     return df.filter(F.coalesce(*[F.col(r) for r in rewards]).isNull())

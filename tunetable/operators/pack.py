@@ -12,9 +12,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tunetable.functions.tokens import first_n
 from tunetable.operators.ordering import running_totals
+from tunetable.operators.skew import with_group_stats
 
 
 def _list_columns(df: DataFrame) -> list[str]:
@@ -76,19 +78,17 @@ def pack_bfd(df: DataFrame, key: str, length: int, batch_rows: int = 1000, keys:
     lists, keys = _list_columns(df), list(keys)
     df = df.select(*keys, key, *[first_n(F.col(c), length).alias(c) for c in lists]).filter(F.size(lists[0]) > 0)
     if keys:
-        df = df.join(df.groupBy(*keys).agg(F.count("*").alias("_rows")), keys)
-        rows = F.col("_rows")
+        df = with_group_stats(df, keys, {"_total": F.count("*")})
+        rows = F.col("_total")
     else:
         rows = df.agg(F.count("*")).scalar()
     slots = F.greatest(F.ceil(rows / F.lit(batch_rows)), F.lit(1))
-    df = df.withColumn("_slot", F.pmod(F.xxhash64(key), slots)).drop("_rows")
+    df = df.withColumn("_slot", F.pmod(F.xxhash64(key), slots)).drop("_total")
     out = T.StructType(
         [df.schema[k] for k in keys]
         + [df.schema[c] for c in lists]
         + [T.StructField("seq_lengths", T.ArrayType(T.IntegerType()))]
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     fold = _bfd_folder(length, lists, keys, to_arrow_schema(out), key)
     return df.groupBy(*keys, "_slot").applyInArrow(fold, out)
 

@@ -1,4 +1,4 @@
-"""Vocabulary building and token lookups that stand a hot token."""
+"""Vocabulary building and encoding."""
 
 from __future__ import annotations
 
@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 
 from tunetable.functions.tokens import words
 from tunetable.operators.ordering import global_index
-
-# The most frequent tokens are looked up from a broadcast table of this many rows;
-# any other token is at most this fraction of all rows, so it cannot be hot.
-HEAD_TOKENS = 10_000
-_SALTS = 1024
+from tunetable.operators.skew import join_unique
 
 
 def tokens_of(df: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -33,26 +29,9 @@ def build_vocabulary(tokens: DataFrame, first_id: int = 0) -> DataFrame:
     return ranked.withColumn("id", (F.col("id") + first_id).cast("int"))
 
 
-def lookup_tokens(rows: DataFrame, table: DataFrame, values: Sequence[str], weight: str, spread: Sequence[str]) -> DataFrame:
-    """Add ``values`` of ``table`` (unique by token) to every row.
-
-    Frequent tokens come from a broadcast of fixed size, the rest from a
-    shuffle join; rows already served are spread over the join by ``spread``.
-    """
-    head = table.orderBy(F.desc(weight), "token").limit(HEAD_TOKENS).select("token", *[F.col(v).alias(f"_h_{v}") for v in values])
-    tail = table.select(F.col("token").alias("_token"), *[F.col(v).alias(f"_t_{v}") for v in values])
-    served = rows.join(F.broadcast(head), "token", "left")
-    probe = values[0]
-    salt = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*spread), F.lit(_SALTS)).cast("string"))
-    served = served.withColumn("_key", F.when(F.col(f"_h_{probe}").isNull(), F.col("token")).otherwise(salt))
-    joined = served.join(tail, F.col("_key") == F.col("_token"), "left")
-    picked = {v: F.coalesce(f"_h_{v}", f"_t_{v}") for v in values}
-    return joined.withColumns(picked).select(*rows.columns, *values)
-
-
 def encode(df: DataFrame, text: str, vocabulary: DataFrame, keys: Sequence[str], out: str = "input_ids") -> DataFrame:
     """Token ids of a text column, regrouped to one row per text."""
-    rows = lookup_tokens(tokens_of(df, text, *keys), vocabulary, ["id"], "n", [*keys, "pos"])
+    rows = join_unique(tokens_of(df, text, *keys), vocabulary, ["token"], "n", ["id"])
     pairs = F.array_sort(F.collect_list(F.struct("pos", "id")))
     ids = rows.groupBy(*keys).agg(F.transform(pairs, lambda x: x.id).alias(out))
     empty = F.array().cast("array<int>")

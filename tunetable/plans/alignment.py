@@ -160,9 +160,10 @@ _MIX = "(0.5 * p + 0.5 * q)"
 )
 def hybrid_comparison(spark, sf):
     student, teacher = half_distributions(spark, sf)
-    matched, _, own = A.map_vocabularies(*_vocabularies(spark, sf))
-    shared = matched.select("token")
-    n_shared = shared.agg(F.count("*")).scalar()
-    n_teacher = n_shared + own.agg(F.count("*")).scalar()
-    out = A.hybrid_loss(student, teacher, shared, ["doc_id"], 0.5, teacher_tokens=n_teacher, matched_tokens=n_shared)
+    words_of_docs, words_of_turns = _vocabularies(spark, sf)
+    sides = words_of_docs.withColumn("teacher", F.lit(False)).unionByName(words_of_turns.withColumn("teacher", F.lit(True)))
+    # Ids fall with frequency, so a negative id is a weight.
+    vocabulary = sides.groupBy("token").agg((-F.min("id")).alias("n"), (F.count("*") > 1).alias("shared"), F.bool_or("teacher").alias("teacher"))
+    sizes = vocabulary.agg(F.struct(F.count_if("shared").alias("both"), F.count_if("teacher").alias("teacher")).alias("s")).scalar()
+    out = A.hybrid_loss(student, teacher, vocabulary, ["doc_id"], 0.5, teacher_tokens=sizes.teacher, matched_tokens=sizes.both)
     return out.select(*[num(F.col(c)).alias(c) for c in ("matched_loss", "unmatched_loss", "loss")])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tunetable.functions.messages import first_index, head, last_index, turns_to_messages
 from tunetable.functions.objectives import array_sum
 from tunetable.functions.tokens import TOKEN_PATTERN, hashed_ids, words
-from tunetable.operators.vocab import count_tokens, lookup_tokens, tokens_of
+from tunetable.operators.skew import join_unique
+from tunetable.operators.vocab import count_tokens, tokens_of
 from tunetable.sources.scan import table
 
 SEP = "\x1f"
@@ -234,7 +235,7 @@ def token_logps(spark: SparkSession, sf: str) -> DataFrame:
         "token", "c_ref", *[F.log((F.col(f"c_{m}") + 1.0) / (F.col(f"_t.{m}") + F.col("_t.v"))).alias(m) for m in ("policy", "old", "ref")]
     )
     rows = tokens.filter(mine).drop("role")
-    return lookup_tokens(rows, models, ["policy", "old", "ref"], "c_ref", ["conv_id", "turn", "pos"])
+    return join_unique(rows, models, ["token"], "c_ref", ["policy", "old", "ref"])
 
 
 SQL_LOGPS = (

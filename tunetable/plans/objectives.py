@@ -9,6 +9,7 @@ from tunetable.functions.tokens import IGNORED
 from tunetable.operators import density as D
 from tunetable.operators.align import rank_pairs
 from tunetable.operators.metrics import running_moments, share
+from tunetable.operators.skew import join_unique, with_group_stats
 from tunetable.plans.inputs import (
     SQL_PAIR_LOGPS,
     SQL_SEQ_LOGPS,
@@ -169,8 +170,7 @@ _SQL_UNPAIRED = (
 )
 def unpaired_losses(spark, sf):
     df = sequence_logps(spark, sf).withColumn("batch", F.col("conv_id") % 8)
-    kl = df.groupBy("batch").agg(F.greatest(F.avg(F.col("old") - F.col("ref")), F.lit(0.0)).alias("kl"))
-    df = df.join(kl, "batch")
+    df = with_group_stats(df, ["batch"], {"kl": F.greatest(F.avg(F.col("old") - F.col("ref")), F.lit(0.0))})
     ratio, label = F.col("policy") - F.col("ref"), F.col("n") % 2 == 1
     loss = lambda n: num(O.unpaired_loss(n, label, ratio, F.col("kl"), BETA, 1.0, 1.3)).alias(n)
     return df.select("conv_id", "turn", loss("kto"), loss("apo_zero_unpaired"))
@@ -184,10 +184,11 @@ def unpaired_losses(spark, sf):
 )
 def classifier_losses(spark, sf):
     df = sequence_logps(spark, sf).withColumn("r", BETA * (F.col("policy") - F.col("ref")))
-    baseline = running_moments(df, "turn", "r").select("turn", F.col("mean").alias("delta"))
+    baseline = running_moments(df, "turn", "r").select("turn", F.col("mean").alias("delta"), "count")
     weight = O.density_ratio_weight(F.exp("old") * 300, 0.5, 10.0)
     loss = O.classifier_loss(F.col("n") % 2 == 1, F.col("r"), F.col("delta"), weight)
-    return df.join(baseline, "turn").select("conv_id", "turn", num(loss).alias("loss"), num(F.col("delta")).alias("delta"))
+    df = join_unique(df, baseline, ["turn"], "count", ["delta"])
+    return df.select("conv_id", "turn", num(loss).alias("loss"), num(F.col("delta")).alias("delta"))
 
 
 @query()

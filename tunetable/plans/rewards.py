@@ -8,6 +8,7 @@ from tunetable import udf
 from tunetable.functions import rewards as R
 from tunetable.functions.tokens import n_words
 from tunetable.operators.align import fill_tail
+from tunetable.operators.skew import with_group_stats
 from tunetable.plans.inputs import (
     SQL_HALVES,
     SQL_MESSAGES,
@@ -166,7 +167,7 @@ def boxed_match_reward(spark, sf):
 )
 def length_rank_reward(spark, sf):
     df = rollouts(spark, sf).select("group_id", "idx", F.length("completion").alias("n"))
-    df = df.join(df.groupBy("group_id").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "group_id")
+    df = with_group_stats(df, ["group_id"], {"lo": F.min("n"), "hi": F.max("n")})
     reward = R.length_rank(F.col("n"), F.col("lo"), F.col("hi"), F.col("n") % 2 == 0)
     return df.select("group_id", "idx", num(reward).alias("reward"))
 

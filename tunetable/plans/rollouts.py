@@ -11,6 +11,7 @@ from tunetable.functions.render import render_chat
 from tunetable.functions.rewards import overlong_penalty, weighted_sum
 from tunetable.functions.tokens import n_words
 from tunetable.operators import groups as G
+from tunetable.operators.skew import with_group_stats
 from tunetable.plans.datasets import sql_render
 from tunetable.plans.inputs import (
     ROLLOUT_ORDER,
@@ -139,7 +140,7 @@ def filtered_group_advantage(spark, sf):
 
 @query(f"WITH {SQL_ORDER_ROLLOUTS} SELECT {_KEYS}, {sql_num('avg(reward) OVER (PARTITION BY group_id)')} AS group_mean, count(*) OVER (PARTITION BY group_id) AS group_rows FROM orr")
 def group_values_on_rows(spark, sf):
-    out = G.with_group_stats(order_rollouts(spark, sf), ["group_id"], {"group_mean": F.avg("reward"), "group_rows": F.count("*")})
+    out = with_group_stats(order_rollouts(spark, sf), ["group_id"], {"group_mean": F.avg("reward"), "group_rows": F.count("*")})
     return out.select(*KEYS, num(F.col("group_mean")).alias("group_mean"), "group_rows")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tunetable.functions import messages as M
 from tunetable.functions import tokens as K
 from tunetable.functions.render import append_end, render_chat, render_pair, render_prompt
+from tunetable.operators.batches import flush, pad_to_longest
 from tunetable.operators.vocab import build_vocabulary, encode, tokens_of
 from tunetable.plans.datasets import sql_render
 from tunetable.plans.inputs import (
@@ -127,7 +128,7 @@ _LEN16 = "CAST(ceil(max(len(input_ids)) OVER (PARTITION BY lang) / 16.0) * 16 AS
 )
 def padded_batches(spark, sf):
     df = documents(spark, sf).select("doc_id", "lang", K.hashed_ids(F.col("text")).alias("ids"))
-    df = K.pad_to_longest(df, "ids", "padded", FILL, ["lang"], multiple=16)
+    df = pad_to_longest(df, "ids", "padded", FILL, ["lang"], multiple=16)
     left = K.pad(F.col("ids"), F.size("padded"), FILL, "left")
     return df.select("doc_id", F.size("padded").alias("n"), digest(F.col("padded")).alias("padded_right"), digest(left).alias("padded_left"))
 
@@ -279,8 +280,8 @@ _VALID = "list_filter(completion_ids, lambda x: x % 3 <> 0)"
 )
 def flushed_rows(spark, sf):
     df = turn_tokens(spark, sf).withColumn("mask", F.transform("completion_ids", lambda x: F.when(x % 3 != 0, 1).otherwise(0)))
-    left = K.flush(df, "completion_ids", "mask", "left", ["group_id"], FILL)
-    right = K.flush(df, "completion_ids", "mask", "right", ["group_id"], FILL).select("group_id", "idx", F.col("completion_ids").alias("r"))
+    left = flush(df, "completion_ids", "mask", "left", ["group_id"], FILL)
+    right = flush(df, "completion_ids", "mask", "right", ["group_id"], FILL).select("group_id", "idx", F.col("completion_ids").alias("r"))
     return left.join(right, ["group_id", "idx"]).select(
         "group_id", "idx", show_ids(F.col("completion_ids")).alias("flushed_left"), show_ids(F.col("r")).alias("flushed_right"),
         show_ids(F.col("mask")).alias("mask"),
