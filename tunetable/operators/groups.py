@@ -24,15 +24,20 @@ def all_null_rows(df: DataFrame, rewards: Sequence[str]) -> DataFrame:
     return df.filter(F.coalesce(*[F.col(r) for r in rewards]).isNull())
 
 
-def group_advantage(df: DataFrame, keys: Sequence[str], reward: str, scale: str = "group") -> DataFrame:
+def group_advantage(df: DataFrame, keys: Sequence[str], reward: str, scale: str = "group", small_groups: bool = False) -> DataFrame:
     """Advantage relative to the group mean, with the scaling std and a zero-std flag.
 
-    ``scale``: ``group``, ``batch`` (the whole table) or ``none``.
+    ``scale``: ``group``, ``batch`` (the whole table) or ``none``. With ``small_groups``
+    (say, what ``keep_best`` left) windows reuse the shuffle the groups already have.
     """
     if scale not in ("group", "batch", "none"):
         raise ValueError("scale is 'group', 'batch' or 'none'")
-    std = F.coalesce(F.stddev_samp(reward), F.lit(0.0))
-    out = with_group_stats(df, keys, {"group_mean": F.avg(reward), "group_std": std})
+    mean, std = F.avg(reward), F.coalesce(F.stddev_samp(reward), F.lit(0.0))
+    if small_groups:
+        w = Window.partitionBy(*keys)
+        out = df.withColumns({"group_mean": mean.over(w), "group_std": F.coalesce(F.stddev_samp(reward).over(w), F.lit(0.0))})
+    else:
+        out = with_group_stats(df, keys, {"group_mean": mean, "group_std": std})
     if scale == "batch":
         out = out.withColumn("group_std", df.agg(std.alias("s")).scalar())
     centred = F.col(reward) - F.col("group_mean")

@@ -26,11 +26,14 @@ def join_unique(
 ) -> DataFrame:
     """Left join adding ``values`` of ``table``, whose ``weight`` counts the rows of each key.
 
-    Keys are never NULL. Rows of the heaviest keys are served by a broadcast and spread
+    A NULL key finds nothing. Rows of the heaviest keys are served by a broadcast and spread
     over the shuffle join that serves the rest.
     """
     keys = list(keys)
-    entry = F.struct(*values)
+    for k in keys:
+        table = table.filter(F.col(k).isNotNull())
+    # Both sides read the same columns of the table, so its shuffle is computed once.
+    entry = F.struct(*values, F.col(weight).alias("_weight"))
     head = table.orderBy(F.desc(weight), *keys).limit(head_keys).select(*keys, entry.alias("_head"))
     tail = table.select(*keys, F.lit(_TAIL).alias("_salt"), entry.alias("_rest"))
     salted = rows.join(F.broadcast(head), keys, "left").withColumn(

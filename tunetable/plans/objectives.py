@@ -184,10 +184,10 @@ def unpaired_losses(spark, sf):
 )
 def classifier_losses(spark, sf):
     df = sequence_logps(spark, sf).withColumn("r", BETA * (F.col("policy") - F.col("ref")))
-    baseline = running_moments(df, "turn", "r").select("turn", F.col("mean").alias("delta"), "count")
+    baseline = running_moments(df, "turn", "r").select("turn", F.col("mean").alias("delta"), "rows")
     weight = O.density_ratio_weight(F.exp("old") * 300, 0.5, 10.0)
     loss = O.classifier_loss(F.col("n") % 2 == 1, F.col("r"), F.col("delta"), weight)
-    df = join_unique(df, baseline, ["turn"], "count", ["delta"])
+    df = join_unique(df, baseline, ["turn"], "rows", ["delta"])
     return df.select("conv_id", "turn", num(loss).alias("loss"), num(F.col("delta")).alias("delta"))
 
 

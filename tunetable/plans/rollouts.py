@@ -134,7 +134,7 @@ def normalised_leave_one_out(spark, sf):
 def filtered_group_advantage(spark, sf):
     df = order_rollouts(spark, sf).withColumn("score", F.col("r_quantity") - F.coalesce("r_tax", F.lit(0.0)))
     kept = G.keep_best(df, ["group_id"], "score", ROLLOUT_ORDER, 2)
-    out = G.group_advantage(kept, ["group_id"], "reward")
+    out = G.group_advantage(kept, ["group_id"], "reward", small_groups=True)
     return out.select(*KEYS, num(F.col("advantage")).alias("advantage"))
 
 
