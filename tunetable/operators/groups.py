@@ -114,18 +114,18 @@ def draw_with_replacement(rows: DataFrame, buffer: DataFrame, weight: str, keys:
     return rows.withColumn(out, picked).drop("_b", "_u")
 
 
-def fill_from_replay(groups: DataFrame, keys: Sequence[str], std: str, buffer: DataFrame, seed: int) -> DataFrame:
-    """A replayed group for each zero-variance group, drawn by score.
+def fill_from_replay(groups: DataFrame, keys: Sequence[str], std: str, buffer: DataFrame, u: Column) -> DataFrame:
+    """A replayed group for each zero-variance group, drawn by score with the numbers ``u``.
 
     Without replacement while the buffer is large enough, else with.
     """
     flat = groups.filter(F.col(std) < ZERO_STD).select(*keys)
     needed, held = flat.count(), buffer.count()
     if needed > held:
-        drawn = draw_with_replacement(flat, buffer, "score", keys, uniform(seed, *keys), "_r")
+        drawn = draw_with_replacement(flat, buffer, "score", keys, u, "_r")
         return drawn.select(*keys, *[F.col(f"_r.{k}").alias(f"replay_{k}") for k in keys])
     # At most as many rows as the buffer holds on both sides.
-    drawn = weighted_draw(buffer, "score", needed, uniform(seed, *keys), keys)
+    drawn = weighted_draw(buffer, "score", needed, u, keys)
     number = lambda df: df.withColumn("_i", F.row_number().over(Window.orderBy(*keys)))
     renamed = number(drawn).select("_i", *[F.col(k).alias(f"replay_{k}") for k in keys])
     return number(flat).join(renamed, "_i").drop("_i")

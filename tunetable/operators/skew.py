@@ -12,13 +12,17 @@ from pyspark.sql import types as T
 # key holds at most this fraction of all rows, so it cannot be hot in the shuffle.
 HEAD_KEYS = 10_000
 _SALTS = 4096
-_TAIL = -1
 
 
 def _row_salt(rows: DataFrame) -> Column:
-    """A reproducible salt from the row's plain columns."""
+    """A reproducible salt from the row's plain columns, outside the range of ``_key_salt``."""
     plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    return F.pmod(F.xxhash64(*plain), F.lit(_SALTS)).cast("int")
+    return F.pmod(F.xxhash64(*plain), F.lit(_SALTS)) + 2
+
+
+def _key_salt(keys: Sequence[str]) -> Column:
+    # Computed from the key: a literal would be folded out of the join keys.
+    return F.pmod(F.xxhash64(*keys), F.lit(2))
 
 
 def join_unique(
@@ -35,9 +39,9 @@ def join_unique(
     # Both sides read the same columns of the table, so its shuffle is computed once.
     entry = F.struct(*values, F.col(weight).alias("_weight"))
     head = table.orderBy(F.desc(weight), *keys).limit(head_keys).select(*keys, entry.alias("_head"))
-    tail = table.select(*keys, F.lit(_TAIL).alias("_salt"), entry.alias("_rest"))
+    tail = table.select(*keys, _key_salt(keys).alias("_salt"), entry.alias("_rest"))
     salted = rows.join(F.broadcast(head), keys, "left").withColumn(
-        "_salt", F.when(F.col("_head").isNull(), F.lit(_TAIL)).otherwise(_row_salt(rows))
+        "_salt", F.when(F.col("_head").isNull(), _key_salt(keys)).otherwise(_row_salt(rows))
     )
     joined = salted.join(tail, [*keys, "_salt"], "left").withColumn("_v", F.coalesce("_head", "_rest"))
     kept = [c for c in rows.columns if c not in values]

@@ -170,12 +170,18 @@ def replay_draw(spark, sf):
     return G.weighted_draw(buffer, "score", 64, u, ["group_id"])
 
 
-@query()
+@query(
+    f"""WITH {_SQL_SCORES}, b AS (SELECT group_id, score FROM sc ORDER BY score DESC, group_id LIMIT 64), c AS (SELECT *, sum(score) OVER (ORDER BY group_id) AS upto, sum(score) OVER () AS total FROM b),
+    f AS (SELECT group_id, (((group_id * 7919 + 13) % 10007) + 0.5::DOUBLE) / 10007 AS u FROM g GROUP BY group_id HAVING max(sd) < 0.00000001)
+    SELECT f.group_id, min(c.group_id) AS replay_group_id FROM f JOIN c ON c.upto > f.u * c.total GROUP BY f.group_id"""
+)
 def replay_fill(spark, sf):
+    # There are more flat groups than the buffer holds, so draws repeat.
     scored = G.group_advantage(order_rollouts(spark, sf), ["group_id"], "reward")
     groups = scored.groupBy("group_id").agg(F.max("group_std").alias("std"))
-    buffer = G.replay_buffer(_scores(spark, sf), ["group_id"], 256)
-    return G.fill_from_replay(groups, ["group_id"], "std", buffer, seed=7)
+    buffer = G.replay_buffer(_scores(spark, sf), ["group_id"], 64)
+    u = (F.pmod(F.col("group_id") * 7919 + 13, F.lit(10007)) + 0.5) / 10007
+    return G.fill_from_replay(groups, ["group_id"], "std", buffer, u)
 
 
 @query(
