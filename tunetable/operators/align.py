@@ -11,6 +11,7 @@ from tunetable.functions.objectives import divergence_term
 from tunetable.functions.render import common_prefix_length
 from tunetable.operators.ordering import rank_within, running_totals
 from tunetable.operators.skew import join_unique, with_group_stats
+from tunetable.session import settle
 
 
 def attach(df: DataFrame, other: DataFrame, keys: Sequence[str], complete: bool = True) -> DataFrame:
@@ -55,16 +56,16 @@ def alignment_groups(student: DataFrame, teacher: DataFrame, seq: str) -> DataFr
     Inputs are ``(seq, pos, piece)``. A boundary is a text length where pieces of both
     sides end and the texts so far are equal; what follows the last boundary is one group.
     """
-    shared = _shared_boundaries(student, teacher, seq)
-    out = None
-    for side, df in (("student", student), ("teacher", teacher)):
-        ends = piece_ends(df, seq).select(seq, "pos", "end")
-        marked = ends.join(shared, [seq, "end"], "left").withColumn("_b", F.coalesce("_b", F.lit(0)))
+    # Read for the texts, the boundaries and the groups, so written once.
+    ends = [settle(piece_ends(df.select(seq, "pos", "piece"), seq)) for df in (student, teacher)]
+    shared = _shared_boundaries(*ends, seq)
+    parts = []
+    for side, df in zip(("student", "teacher"), ends, strict=True):
+        marked = df.join(shared, [seq, "end"], "left").select(seq, "pos", F.coalesce("_b", F.lit(0)).alias("_b"))
         # A piece belongs to the group its boundary closes: boundaries strictly before it.
-        grouped = running_totals(marked, ["pos"], {"group": F.col("_b").cast("long")}, [seq])
-        part = grouped.select(seq, F.lit(side).alias("side"), "pos", "group")
-        out = part if out is None else out.unionByName(part)
-    return out
+        grouped = running_totals(settle(marked), ["pos"], {"group": F.col("_b").cast("long")}, [seq])
+        parts.append(grouped.select(seq, F.lit(side).alias("side"), "pos", "group"))
+    return parts[0].unionByName(parts[1])
 
 
 def _shared_boundaries(student: DataFrame, teacher: DataFrame, seq: str) -> DataFrame:
@@ -74,8 +75,7 @@ def _shared_boundaries(student: DataFrame, teacher: DataFrame, seq: str) -> Data
     )
     texts = text(student, "a").join(text(teacher, "b"), seq)
     same = texts.select(seq, common_prefix_length(F.col("a"), F.col("b")).alias("_same"))
-    s_ends = piece_ends(student, seq).filter(F.length("piece") > 0).select(seq, "end").distinct()
-    t_ends = piece_ends(teacher, seq).filter(F.length("piece") > 0).select(seq, "end").distinct()
+    s_ends, t_ends = (df.filter(F.length("piece") > 0).select(seq, "end").distinct() for df in (student, teacher))
     both = s_ends.join(t_ends, [seq, "end"])
     return both.join(same, seq).filter(F.col("end") <= F.col("_same")).select(seq, "end", F.lit(1).alias("_b"))
 
@@ -145,32 +145,27 @@ def hybrid_loss(
     """
     eps = 1e-8
     keys = list(keys)
-    split = lambda df: join_unique(df, vocabulary, ["token"], "n", ["shared"])
-    s_all, t_all = split(student), split(teacher)
-    is_shared = F.coalesce("shared", F.lit(False))
-    s_shared, t_shared = s_all.filter(is_shared).drop("shared"), t_all.filter(is_shared).drop("shared")
-    s_own, t_own = s_all.filter(~is_shared).drop("shared"), t_all.filter(~is_shared).drop("shared")
-
-    t_side = t_shared.filter("p > 0").withColumnRenamed("p", "q")
-    pairs = t_side.join(s_shared, [*keys, "token"], "left")
-    p, q = F.greatest(F.coalesce("p", F.lit(0.0)), F.lit(eps)), F.greatest("q", F.lit(eps))
+    both = student.join(teacher.withColumnRenamed("p", "q"), [*keys, "token"], "full_outer").fillna(0.0, ["p", "q"])
+    # Read several times below, so it is computed once.
+    both = settle(join_unique(both, vocabulary, ["token"], "n", ["shared"]).fillna(False, ["shared"]))
+
+    p, q = F.greatest("p", F.lit(eps)), F.greatest("q", F.lit(eps))
     mix = F.greatest((1 - beta) * p + beta * q, F.lit(eps))
     term = (1 - beta) * p * (F.log(p) - F.log(mix)) + beta * q * (F.log(q) - F.log(mix))
-    matched = pairs.groupBy(*keys).agg(F.sum(term).alias("x")).agg(F.coalesce(F.avg("x"), F.lit(0.0)).alias("matched_loss"))
+    matched = both.filter("shared AND q > 0").groupBy(*keys).agg(F.sum(term).alias("x"))
 
-    ranked = lambda df, out: rank_within(
-        df.filter("p > 0").select(*keys, "token", F.col("p").alias(out)), keys, [F.desc(out), "token"], "_rank"
+    own = both.filter("NOT shared")
+    ranked = lambda value: rank_within(
+        own.filter(F.col(value) > 0).select(*keys, "token", value), keys, [F.desc(value), "token"], "_rank"
     ).drop("token")
-    # The teacher's ranks end at k, so the left side is the cut.
-    both = ranked(t_own, "_t").join(ranked(s_own, "_s"), [*keys, "_rank"], "left")
-    # A position whose student has no token of its own has nothing to compare.
-    present = s_own.select(*keys).distinct()
-    l1 = F.sum(F.abs(F.col("_t") - F.coalesce("_s", F.lit(0.0)))).alias("x")
-    unmatched = (
-        both.join(present, keys, "left_semi").groupBy(*keys).agg(l1)
-        .agg(F.coalesce(F.avg("x"), F.lit(0.0)).alias("unmatched_loss"))
-    )
-    out = matched.withColumn("unmatched_loss", unmatched.scalar())
+    # The teacher's ranks end at k, so the left side is the cut. A position whose
+    # student has no token of its own has nothing to compare.
+    pairs = ranked("q").join(ranked("p"), [*keys, "_rank"], "left")
+    l1 = F.sum(F.abs(F.col("q") - F.coalesce("p", F.lit(0.0))))
+    unmatched = pairs.groupBy(*keys).agg(l1.alias("x"), F.count("p").alias("_n")).filter("_n > 0")
+
+    mean = lambda df, name: df.agg(F.coalesce(F.avg("x"), F.lit(0.0)).alias(name))
+    out = mean(matched, "matched_loss").withColumn("unmatched_loss", mean(unmatched, "u").scalar())
     share = F.lit(float(weights[0])) if weights else matched_tokens / F.greatest(teacher_tokens, F.lit(1))
     rest = F.lit(float(weights[1])) if weights else 1 - share
     return out.withColumn("loss", share * F.col("matched_loss") + rest * F.col("unmatched_loss"))

@@ -10,7 +10,8 @@ from tunetable.functions.objectives import array_sum
 from tunetable.functions.tokens import TOKEN_PATTERN, hashed_ids, words
 from tunetable.operators.skew import join_unique
 from tunetable.operators.vocab import count_tokens, tokens_of
-from tunetable.sources.scan import table
+from tunetable.session import settle
+from tunetable.sources.scan import spread, table
 
 SEP = "\x1f"
 
@@ -148,7 +149,9 @@ SQL_TEXT_PAIRS = (
 
 
 def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return table(spark, sf, "documents", *columns)
+    df = table(spark, sf, "documents", *columns)
+    # Texts are tokenised; the other columns are only read.
+    return spread(df, "doc_id") if {"doc_id", "text"} <= set(df.columns) else df
 
 
 def unpaired(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,6 +192,11 @@ def token_rows(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf, "doc_id", "text").select("doc_id", hashed_ids(F.col("text")).alias("input_ids"))
 
 
+def stored_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, written once like any tokenised dataset, for jobs that read the ids more than once."""
+    return settle(token_rows(spark, sf))
+
+
 SQL_TOKENS = f"toks AS (SELECT doc_id, {sql_hashed('text')} AS input_ids FROM documents)"
 
 
@@ -342,17 +350,24 @@ SQL_ORDER_ROLLOUTS = (
 # --- distributions ----------------------------------------------------------
 
 
-def half_distributions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Word distributions of the two halves of each document: ``doc_id, token, p`` (student, teacher)."""
+def half_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Word distributions of the two halves of each document: ``doc_id, token, p, q``, written once."""
     tokens = documents(spark, sf, "doc_id", "text").select("doc_id", words(F.col("text")).alias("w"))
     rows = tokens.select("doc_id", F.size("w").alias("n"), F.posexplode("w").alias("pos", "token"))
     late = F.col("pos") * 2 >= F.col("n")
     # The size of each half follows from the length, so one aggregation does.
-    size = F.when(late, F.col("n") - F.ceil(F.col("n") / 2)).otherwise(F.ceil(F.col("n") / 2))
-    counts = rows.groupBy("doc_id", "token", late.alias("late"), size.alias("size")).agg(F.count("*").alias("c"))
-    dist = counts.withColumn("p", F.col("c") / F.col("size"))
-    side = lambda cond: dist.filter(cond).select("doc_id", "token", "p")
-    return side("NOT late"), side("late")
+    first = F.ceil(F.col("n") / 2)
+    counts = rows.groupBy("doc_id", "token", "n").agg(F.count_if(~late).alias("a"), F.count_if(late).alias("b"))
+    share = lambda c, size: F.coalesce(F.try_divide(c, size.cast("double")), F.lit(0.0))
+    return settle(
+        counts.select("doc_id", "token", share(F.col("a"), first).alias("p"), share(F.col("b"), F.col("n") - first).alias("q"))
+    )
+
+
+def half_distributions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The same as student (first half) and teacher (second half): ``doc_id, token, p``."""
+    both = half_table(spark, sf)
+    return both.filter("p > 0").select("doc_id", "token", "p"), both.filter("q > 0").select("doc_id", "token", F.col("q").alias("p"))
 
 
 SQL_HALVES = (

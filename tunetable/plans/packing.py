@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 from tunetable.functions import tokens as K
 from tunetable.operators.pack import concat_batches, pack_bfd, pack_wrapped
 from tunetable.operators.sampling import equal_chunks
-from tunetable.plans.inputs import SQL_TOKENS, documents, show_ids, sql_hashed, sql_ids, token_rows
+from tunetable.plans.inputs import SQL_TOKENS, documents, show_ids, sql_hashed, sql_ids, stored_tokens
 from tunetable.plans.registry import query
+from tunetable.session import settle
 
 LENGTH = 512
 
 
 @query()
 def pack_best_fit(spark, sf):
-    packed = pack_bfd(token_rows(spark, sf), "doc_id", LENGTH)
+    packed = pack_bfd(stored_tokens(spark, sf), "doc_id", LENGTH)
     return packed.select(
         F.md5(show_ids(F.col("input_ids"))).alias("input_ids"), F.size("input_ids").alias("n"), show_ids(F.col("seq_lengths")).alias("seq_lengths")
     )
@@ -25,7 +26,7 @@ _SQL_LANG_TOKENS = f"lt AS (SELECT doc_id, lang, {sql_hashed('text')} AS input_i
 
 
 def _lang_tokens(spark, sf):
-    return documents(spark, sf, "doc_id", "lang", "text").select("doc_id", "lang", K.hashed_ids(F.col("text")).alias("input_ids"))
+    return settle(documents(spark, sf, "doc_id", "lang", "text").select("doc_id", "lang", K.hashed_ids(F.col("text")).alias("input_ids")))
 
 
 @query(
@@ -46,7 +47,7 @@ def best_fit_keeps_sequences(spark, sf):
     SELECT CAST(ix // {LENGTH} AS BIGINT) AS chunk, CAST(count(*) AS INTEGER) AS n, md5({sql_ids('list(id ORDER BY ix)')}) AS input_ids FROM e GROUP BY 1"""
 )
 def pack_wrapped_global(spark, sf):
-    packed = pack_wrapped(token_rows(spark, sf), "doc_id", LENGTH)
+    packed = pack_wrapped(stored_tokens(spark, sf), "doc_id", LENGTH)
     return packed.select("chunk", F.size("input_ids").alias("n"), F.md5(show_ids(F.col("input_ids"))).alias("input_ids"))
 
 
@@ -69,7 +70,7 @@ _SQL_BATCHES = (
 
 def _batches(spark, sf):
     rows = equal_chunks(documents(spark, sf, "doc_id"), ["doc_id"], 4).withColumnRenamed("chunk", "batch")
-    return concat_batches(token_rows(spark, sf).join(rows, "doc_id"), "batch", "doc_id", ["input_ids"])
+    return concat_batches(stored_tokens(spark, sf).join(rows, "doc_id"), "batch", "doc_id", ["input_ids"])
 
 
 @query(f"WITH {_SQL_BATCHES} SELECT batch, {sql_ids('lens')} AS seq_lengths, md5({sql_ids('positions')}) AS position_ids FROM c")

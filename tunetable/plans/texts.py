@@ -26,6 +26,7 @@ from tunetable.plans.inputs import (
     sql_ids,
     sql_words,
     stepwise,
+    stored_tokens,
     token_rows,
     turn_tokens,
 )
@@ -118,18 +119,18 @@ def tokenised_pairs(spark, sf):
     return pair_tokens(spark, sf).select("conv_id", show_ids(F.col("prompt_ids")).alias("prompt_ids"), end("chosen_ids"), end("rejected_ids"))
 
 
-_LEN16 = "CAST(ceil(max(len(input_ids)) OVER (PARTITION BY lang) / 16.0) * 16 AS BIGINT)"
+_LEN16 = "CAST(ceil(max(len(input_ids)) OVER (PARTITION BY batch) / 16.0) * 16 AS BIGINT)"
 
 
 @query(
-    f"""WITH t AS (SELECT doc_id, lang, {sql_hashed('text')} AS input_ids FROM documents), l AS (SELECT *, {_LEN16} AS n FROM t)
+    f"""WITH t AS (SELECT doc_id, doc_id // 16 AS batch, {sql_hashed('text')} AS input_ids FROM documents), l AS (SELECT *, {_LEN16} AS n FROM t)
     SELECT doc_id, CAST(n AS INTEGER) AS n, {sql_digest('input_ids || list_transform(range(n - len(input_ids)), lambda z: 0)')} AS padded_right,
     {sql_digest('list_transform(range(n - len(input_ids)), lambda z: 0) || input_ids')} AS padded_left FROM l"""
 )
 def padded_batches(spark, sf):
-    df = documents(spark, sf).select("doc_id", "lang", K.hashed_ids(F.col("text")).alias("ids"))
-    df = pad_to_longest(df, "ids", "padded", FILL, ["lang"], multiple=16)
-    left = K.pad(F.col("ids"), F.size("padded"), FILL, "left")
+    df = stored_tokens(spark, sf).withColumn("batch", F.floor(F.col("doc_id") / 16))
+    df = pad_to_longest(df, "input_ids", "padded", FILL, ["batch"], multiple=16)
+    left = K.pad(F.col("input_ids"), F.size("padded"), FILL, "left")
     return df.select("doc_id", F.size("padded").alias("n"), digest(F.col("padded")).alias("padded_right"), digest(left).alias("padded_left"))
 
 

@@ -38,7 +38,6 @@ def scratch_root(spark: SparkSession) -> str:
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="tunetable-")
     spark.conf.set("tunetable.scratch", root)
-    spark.sparkContext.setCheckpointDir(root)
     return root
 
 
@@ -48,10 +47,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Fix the rows and their partitions in reliable storage.
+    """Write the rows as a table in the shared folder and read them from there.
 
-    Needed wherever a later step depends on which partition a row fell into:
-    a recomputed range shuffle may cut elsewhere.
+    For rows that are read several times, and wherever a later step depends on which
+    partition a row fell into: a recomputed range shuffle may cut elsewhere.
     """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -21,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return scan(spark, f"{sf_dir}/{name}.parquet", columns=columns or None)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table of fewer files than cores, for work that is heavy per row.
+
+    A table with enough input partitions is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass(frozen=True)
 class DatasetSpec:
     """One member of a mixture."""
