@@ -39,9 +39,8 @@ def reference_logps_attached(spark, sf):
 
 def _vocabularies(spark, sf):
     """Student words from documents, teacher words from conversations."""
-    return tuple(
-        build_vocabulary(tokens_of(table(spark, sf, t, "text"), "text")).select("token", "id") for t in ("documents", "conversations")
-    )
+    texts = documents(spark, sf, "doc_id", "text"), table(spark, sf, "conversations", "text")
+    return tuple(build_vocabulary(tokens_of(t, "text")).select("token", "id") for t in texts)
 
 
 def _sql_vocab(name: str, source: str) -> str:
@@ -135,6 +134,15 @@ def sorted_distance(spark, sf):
     return A.sorted_l1(student, teacher, ["doc_id"], "p").withColumn("l1", num(F.col("l1")))
 
 
+@query(
+    f"""WITH {SQL_HALVES}, s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p DESC, token) AS r FROM stu), t AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p DESC, token) AS r FROM tea)
+    SELECT {sql_num('sum(abs(coalesce(s.p, 0) - coalesce(t.p, 0))) / (SELECT count(DISTINCT doc_id) FROM stu)')} AS loss FROM s FULL JOIN t ON s.doc_id = t.doc_id AND s.r = t.r"""
+)
+def rank_aligned_distance(spark, sf):
+    student, teacher = half_distributions(spark, sf)
+    return A.rank_aligned_loss(student, teacher, ["doc_id"], "p").withColumn("loss", num(F.col("loss")))
+
+
 @query(
     f"""WITH {SQL_HALVES}, b AS (SELECT coalesce(s.doc_id, t.doc_id) AS doc_id, coalesce(s.p, 0) AS p, coalesce(t.p, 0) AS q FROM stu s FULL JOIN tea t ON s.doc_id = t.doc_id AND s.token = t.token)
     SELECT doc_id, {sql_num('sum(0.3 * CASE WHEN q > 0 THEN q * (ln(q) - ln(0.7 * p + 0.3 * q)) ELSE 0 END + 0.7 * CASE WHEN p > 0 THEN p * (ln(p) - ln(0.7 * p + 0.3 * q)) ELSE 0 END)')} AS divergence FROM b GROUP BY doc_id"""

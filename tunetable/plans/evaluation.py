@@ -34,6 +34,7 @@ from tunetable.plans.inputs import (
     turn_tokens,
 )
 from tunetable.plans.registry import query
+from tunetable.session import settle
 from tunetable.sources.scan import table
 
 END = 20568  # id of a full stop
@@ -218,22 +219,30 @@ _BETA = 2.0
 
 @query(
     f"""WITH {SQL_TOKEN_ROWS}, s AS (SELECT conv_id, turn, sum(policy) AS p, sum(ref) AS r, max(a) AS a FROM tr GROUP BY conv_id, turn)
-    SELECT {sql_num('avg(p - r)')} AS kl, {sql_num('avg(-0.05 * (p - r))')} AS non_score_reward, {sql_num('avg(a - 0.05 * (p - r))')} AS rlhf_reward, {sql_num('avg(-p)')} AS entropy, {sql_num('avg(a)')} AS scores FROM s"""
+    SELECT {sql_num('avg(p - r)')} AS kl, {sql_num('avg(-0.05 * (p - r))')} AS non_score_reward, {sql_num('avg(a - 0.05 * (p - r))')} AS rlhf_reward, {sql_num('avg(-p)')} AS entropy, {sql_num('avg(a)')} AS scores,
+    {sql_num('(SELECT avg(x - y) FROM (SELECT arg_max(a, turn) AS x, arg_min(a, turn) AS y FROM s GROUP BY conv_id HAVING count(*) > 1))')} AS scores_margin FROM s"""
 )
 def policy_statistics(spark, sf):
-    rows = sequence_rows(spark, sf).select(O.array_sum(F.col("policy")).alias("p"), O.array_sum(F.col("ref")).alias("r"), "advantage")
+    rows = sequence_rows(spark, sf).select(
+        "conv_id", "turn", O.array_sum(F.col("policy")).alias("p"), O.array_sum(F.col("ref")).alias("r"), "advantage"
+    )
+    rows = settle(rows)
     kl = F.col("p") - F.col("r")
+    gap = F.max_by("advantage", "turn") - F.min_by("advantage", "turn")
+    margins = rows.groupBy("conv_id").agg(gap.alias("gap"), F.count("*").alias("k")).filter("k > 1")
     return rows.agg(
         num(F.avg(kl)).alias("kl"), num(F.avg(-0.05 * kl)).alias("non_score_reward"),
         num(F.avg(F.col("advantage") - 0.05 * kl)).alias("rlhf_reward"), num(F.avg(-F.col("p"))).alias("entropy"),
         num(F.avg("advantage")).alias("scores"),
-    )
+    ).withColumn("scores_margin", num(margins.agg(F.avg("gap")).scalar()))
 
 
 @query(
     f"""WITH {SQL_PAIR_LOGPS}, r AS (SELECT *, {_BETA} * (chosen - ref_chosen) AS g, {_BETA} * (rejected - ref_rejected) AS b FROM pl)
     SELECT {sql_num('avg(((chosen - ref_chosen) + (rejected - ref_rejected)) / 2)')} AS kl, {sql_num('-(avg(chosen) + avg(rejected)) / 2')} AS entropy, {sql_num('avg(chosen) + avg(ref_chosen)')} AS logps_chosen,
-    {sql_num('avg(rejected) + avg(ref_rejected)')} AS logps_rejected, {sql_num('avg(g)')} AS rewards_chosen, {sql_num('avg(b)')} AS rewards_rejected, {sql_num('avg(g - b)')} AS margins, {sql_num('avg(CASE WHEN g - b > 0 THEN 1.0 ELSE 0.0 END)')} AS accuracies FROM r"""
+    {sql_num('avg(rejected) + avg(ref_rejected)')} AS logps_rejected, {sql_num('avg(g)')} AS rewards_chosen, {sql_num('avg(b)')} AS rewards_rejected, {sql_num('avg(g - b)')} AS margins, {sql_num('avg(CASE WHEN g - b > 0 THEN 1.0 ELSE 0.0 END)')} AS accuracies,
+    (WITH {SQL_TEXT_PAIRS} SELECT {sql_num("avg(CASE WHEN ends_with(chosen, '.') THEN 1.0 ELSE 0.0 END)")} FROM tpairs) AS model_ends,
+    (WITH {SQL_TEXT_PAIRS} SELECT {sql_num("avg(CASE WHEN contains(rejected, 'tion.') THEN 1.0 ELSE 0.0 END)")} FROM tpairs) AS ref_ends FROM r"""
 )
 def two_source_statistics(spark, sf):
     # The chosen side stands for the model's own data, the rejected one for the reference's.
@@ -244,7 +253,11 @@ def two_source_statistics(spark, sf):
         "logps_rejected": F.avg(r) + F.avg(rr), "rewards_chosen": F.avg(good), "rewards_rejected": F.avg(bad),
         "margins": F.avg(good - bad), "accuracies": E.share(good - bad > 0),
     }
-    return pair_logps(spark, sf).agg(*[num(x).alias(n) for n, x in stats.items()])
+    out = pair_logps(spark, sf).agg(*[num(x).alias(n) for n, x in stats.items()])
+    ends = text_pairs(spark, sf).agg(
+        F.struct(E.share(F.endswith("chosen", F.lit("."))).alias("m"), E.share(F.contains("rejected", F.lit("tion."))).alias("r")).alias("e")
+    ).scalar()
+    return out.withColumns({"model_ends": num(ends.m), "ref_ends": num(ends.r)})
 
 
 # --- distinct, samples, orders ----------------------------------------------

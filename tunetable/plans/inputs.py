@@ -357,7 +357,7 @@ def half_table(spark: SparkSession, sf: str) -> DataFrame:
     late = F.col("pos") * 2 >= F.col("n")
     # The size of each half follows from the length, so one aggregation does.
     first = F.ceil(F.col("n") / 2)
-    counts = rows.groupBy("doc_id", "token", "n").agg(F.count_if(~late).alias("a"), F.count_if(late).alias("b"))
+    counts = rows.groupBy("doc_id", "token").agg(F.max("n").alias("n"), F.count_if(~late).alias("a"), F.count_if(late).alias("b"))
     share = lambda c, size: F.coalesce(F.try_divide(c, size.cast("double")), F.lit(0.0))
     return settle(
         counts.select("doc_id", "token", share(F.col("a"), first).alias("p"), share(F.col("b"), F.col("n") - first).alias("q"))

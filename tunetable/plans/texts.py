@@ -96,7 +96,7 @@ _SQL_VOCAB = (
 
 @query(f"WITH {_SQL_VOCAB} SELECT token, n, id FROM voc")
 def vocabulary(spark, sf):
-    return build_vocabulary(tokens_of(documents(spark, sf, "text"), "text"), first_id=3).select("token", "n", "id")
+    return build_vocabulary(tokens_of(documents(spark, sf, "doc_id", "text"), "text"), first_id=3).select("token", "n", "id")
 
 
 @query(
