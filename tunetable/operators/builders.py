@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tunetable.functions.binding import let
 from tunetable.functions.messages import message
+from tunetable.functions.objectives import backward_scan
 from tunetable.functions.render import common_prefix_length
 from tunetable.operators.ordering import running_totals
 from tunetable.operators.skew import with_group_stats
@@ -146,8 +147,9 @@ def marked_steps(text: Column, marks: Column, first_is_extra: Column | None = No
     parts = F.split(text, STEP_MARK)
     steps = F.slice(parts, 1, F.size(parts) - 1)
     # In the parallel string a mark takes one character.
-    ends = F.transform(steps, lambda s, i: F.aggregate(F.slice(steps, 1, i + 1), F.lit(0), lambda a, x: a + F.length(x)) + i + 1)
-    labels = F.transform(ends, lambda e: F.substr(marks, e, F.lit(1)) == "+")
+    widths = F.transform(steps, lambda s: (F.length(s) + 1).cast("double"))
+    ends = F.reverse(backward_scan(F.reverse(widths), 1.0))
+    labels = F.transform(ends, lambda e: F.substr(marks, e.cast("int"), F.lit(1)) == "+")
     lead = F.get(parts, F.lit(0))
     trim = lambda x: F.regexp_replace(x, r"\A\s+|\s+\z", "")
     rest = F.transform(F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0))), trim)

@@ -37,8 +37,8 @@ def slice_ranges(roles: Column, counts: Column, budget: int, max_messages: int)
 
         fit = F.aggregate(back, state, walk, lambda s: s.fit)
         first = F.greatest(stop - fit + 1, low)
-        before = F.slice(roles, 1, F.greatest(end - 1, F.lit(0)))
-        user_at = F.coalesce(F.array_max(F.transform(before, lambda r, i: F.when(r == "user", i + 1).otherwise(0))), F.lit(0))
+        before = F.slice(roles, low, F.greatest(end - low, F.lit(0)))
+        user_at = F.coalesce(F.array_max(F.transform(before, lambda r, i: F.when(r == "user", low + i).otherwise(0))), F.lit(0))
         last = F.when(target == "assistant", user_at).otherwise(end)
         return F.struct(end.alias("end"), first.alias("first"), last.alias("last"))
 

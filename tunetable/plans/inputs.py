@@ -68,7 +68,7 @@ def sql_last_index(msgs: str, test: str) -> str:
 
 
 def conversations(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "conversations")
+    return spread(table(spark, sf, "conversations"), "conv_id")
 
 
 def message_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -329,7 +329,8 @@ def sql_sig(x: str) -> str:
 
 def order_rollouts(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as rollouts of their order: a large table of groups with numeric rewards."""
-    li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax")
+    cols = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax")
+    li = spread(table(spark, sf, "lineitem", *cols), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return li.select(
         F.col("l_orderkey").alias("group_id"), "l_linenumber", "l_partkey", "l_suppkey",
         F.col("l_quantity").alias("r_quantity"),
