@@ -96,17 +96,22 @@ def running_token_count(df: DataFrame, step: str, tokens: Column) -> DataFrame:
 
 
 def running_moments(df: DataFrame, batch: str, value: str) -> DataFrame:
-    """Count, mean and sample std of all values up to and including each batch, and the batch's rows."""
-    v = F.col(value)
+    """Count, mean and sample std of all values up to and including each batch, and the batch's rows.
+
+    Sums are taken around the overall mean, which keeps small variances exact.
+    """
+    df = df.select(batch, value).withColumn("_centre", df.agg(F.avg(value)).scalar())
+    centre, v = F.max("_centre"), F.col(value) - F.col("_centre")
     sums = df.groupBy(batch).agg(
-        F.count("*").alias("rows"), F.count(v).cast("double").alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q")
+        F.count("*").alias("rows"), F.count(v).cast("double").alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q"),
+        centre.alias("_centre"),
     )
     run = running_totals(
         sums, [batch], {"count": F.col("n"), "_s": F.col("s"), "_q": F.col("q")}, inclusive=True
     )
     n, s, q = F.col("count"), F.col("_s"), F.col("_q")
     var = F.greatest(q - s * s / n, F.lit(0.0)) / F.nullif(n - 1, F.lit(0.0))
-    return run.select(batch, "rows", n.cast("long").alias("count"), (s / n).alias("mean"), F.sqrt(var).alias("std"))
+    return run.select(batch, "rows", n.cast("long").alias("count"), (F.col("_centre") + s / n).alias("mean"), F.sqrt(var).alias("std"))
 
 
 def win_rates(df: DataFrame, winner: str, probability: str | None = None) -> DataFrame:

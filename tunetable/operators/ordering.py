@@ -80,16 +80,22 @@ def running_totals(
     inside = Window.partitionBy(*keys, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, end)
     local = ranged.withColumns({f"_l_{n}": F.coalesce(F.sum(f"_m_{n}").over(inside), F.lit(0)) for n in measures})
 
-    totals = ranged.groupBy(*keys, "_part").agg(*[F.sum(f"_m_{n}").alias(f"_t_{n}") for n in measures])
+    same = [f"_k_{k}" for k in keys]
+    totals = ranged.groupBy(*[F.col(k).alias(s) for k, s in zip(keys, same)], "_part").agg(
+        *[F.sum(f"_m_{n}").alias(f"_t_{n}") for n in measures]
+    )
+    # Only groups cut by a partition border need carries: at most two rows per partition.
+    parts_of_group = Window.partitionBy(*same)
     if keys:
-        # Only groups cut by a partition border need carries: at most two rows per partition.
-        cut = totals.groupBy(*keys).count().filter("count > 1").drop("count")
-        totals = totals.join(F.broadcast(cut), list(keys), "left_semi")
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        totals = totals.withColumn("_parts", F.count("*").over(parts_of_group)).filter("_parts > 1")
+    before = parts_of_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
-        *keys, "_part", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in measures]
+        *same, F.col("_part").alias("_k"), *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in measures]
     )
-    joined = local.join(F.broadcast(carry), [*keys, "_part"], "left")
+    match = F.col("_part") == F.col("_k")
+    for k, s in zip(keys, same):
+        match = match & F.col(k).eqNullSafe(F.col(s))
+    joined = local.join(F.broadcast(carry), match, "left").drop("_k", *same)
     sums = {n: F.col(f"_l_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in measures}
     spare = [f"_{k}_{n}" for n in measures for k in "mlc"]
     return joined.withColumns(sums).drop("_part", "_at", *spare)
@@ -105,7 +111,7 @@ def rank_within(
     """1-based row number inside each group."""
     limit = HOT_ROWS if hot_rows is None else hot_rows
     if not has_hot_group(df, keys, limit):
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*_columns(order))))
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*_columns(order))).cast("long"))
     return running_totals(df, order, {name: F.lit(1).cast("long")}, keys, inclusive=True, hot_rows=-1)
 
 

@@ -11,18 +11,19 @@ from pyspark.sql import types as T
 # The heaviest keys are joined from a broadcast table of this many rows. Any other
 # key holds at most this fraction of all rows, so it cannot be hot in the shuffle.
 HEAD_KEYS = 10_000
-_SALTS = 4096
+_SALTS = 4096  # a power of two
 
 
 def _row_salt(rows: DataFrame) -> Column:
     """A reproducible salt from the row's plain columns, outside the range of ``_key_salt``."""
     plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    return F.pmod(F.xxhash64(*plain), F.lit(_SALTS)) + 2
+    return F.xxhash64(*plain).bitwiseAND(F.lit(_SALTS - 1)) + 2
 
 
 def _key_salt(keys: Sequence[str]) -> Column:
-    # Computed from the key: a literal would be folded out of the join keys.
-    return F.pmod(F.xxhash64(*keys), F.lit(2))
+    # Computed from the key: a literal would be folded out of the join keys. Never NULL,
+    # so no filter is inferred that would keep the table's shuffle from being reused.
+    return F.xxhash64(*keys).bitwiseAND(F.lit(1))
 
 
 def join_unique(
@@ -30,20 +31,21 @@ def join_unique(
 ) -> DataFrame:
     """Left join adding ``values`` of ``table``, whose ``weight`` counts the rows of each key.
 
-    A NULL key finds nothing. Rows of the heaviest keys are served by a broadcast and spread
-    over the shuffle join that serves the rest.
+    Rows of the heaviest keys are served by a broadcast and spread over the shuffle join
+    that serves the rest. A NULL key is a key like any other.
     """
     keys = list(keys)
-    for k in keys:
-        table = table.filter(F.col(k).isNotNull())
     # Both sides read the same columns of the table, so its shuffle is computed once.
     entry = F.struct(*values, F.col(weight).alias("_weight"))
-    head = table.orderBy(F.desc(weight), *keys).limit(head_keys).select(*keys, entry.alias("_head"))
-    tail = table.select(*keys, _key_salt(keys).alias("_salt"), entry.alias("_rest"))
-    salted = rows.join(F.broadcast(head), keys, "left").withColumn(
+    named = lambda p: [F.col(k).alias(f"_{p}_{k}") for k in keys]
+    head = table.orderBy(F.desc(weight), *keys).limit(head_keys).select(*named("h"), entry.alias("_head"))
+    tail = table.select(*named("t"), _key_salt(keys).alias("_tail_salt"), entry.alias("_rest"))
+    match = lambda p: [F.col(k).eqNullSafe(F.col(f"_{p}_{k}")) for k in keys]
+    salted = rows.join(F.broadcast(head), match("h"), "left").withColumn(
         "_salt", F.when(F.col("_head").isNull(), _key_salt(keys)).otherwise(_row_salt(rows))
     )
-    joined = salted.join(tail, [*keys, "_salt"], "left").withColumn("_v", F.coalesce("_head", "_rest"))
+    joined = salted.join(tail, [*match("t"), F.col("_salt") == F.col("_tail_salt")], "left")
+    joined = joined.withColumn("_v", F.coalesce("_head", "_rest"))
     kept = [c for c in rows.columns if c not in values]
     return joined.select(*kept, *[F.col(f"_v.{v}").alias(v) for v in values])
 

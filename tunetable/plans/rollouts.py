@@ -314,7 +314,7 @@ def _long(df, *cols):
     return df.select("conv_id", "turn", F.posexplode(zipped).alias("pos", "z")).select("conv_id", "turn", "pos", *[num(F.col(f"z.{c}"), 4).alias(c) for c in cols])
 
 
-@query(f"WITH {_SQL_DELTAS} SELECT conv_id, turn, pos, {sql_num('adv', 4)} AS advantages, {sql_num('adv + v', 4)} AS returns FROM ga")
+@query(f"WITH {_SQL_DELTAS} SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, {sql_num('adv', 4)} AS advantages, {sql_num('adv + v', 4)} AS returns FROM ga")
 def generalised_advantages(spark, sf):
     advantages, returns = O.generalised_advantage(F.col("rewards"), F.col("values"), 0.99, 0.95)
     return _long(_shaped(spark, sf).select("conv_id", "turn", advantages.alias("advantages"), returns.alias("returns")), "advantages", "returns")
@@ -334,7 +334,7 @@ def shaped_rewards(spark, sf):
 
 @query(
     f"""WITH {SQL_TOKEN_ROWS}, s AS (SELECT avg(policy) AS m, var_samp(policy) AS v FROM tr WHERE mask = 1)
-    SELECT conv_id, turn, pos, {sql_num('CASE WHEN mask = 1 THEN (policy - s.m) / sqrt(s.v + 1e-8) ELSE 0 END', 4)} AS white,
+    SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, {sql_num('CASE WHEN mask = 1 THEN (policy - s.m) / sqrt(s.v + 1e-8) ELSE 0 END', 4)} AS white,
     {sql_num('CASE WHEN mask = 1 THEN (policy - s.m) / sqrt(s.v + 1e-8) + s.m ELSE 0 END', 4)} AS scaled FROM tr, s"""
 )
 def whitened_tokens(spark, sf):
@@ -346,7 +346,7 @@ def whitened_tokens(spark, sf):
 @query(
     f"""WITH {SQL_TOKEN_ROWS}, s AS (SELECT conv_id, turn, pos, (ref - policy) * pow(0.98, pos) AS r, pow(0.98, pos) AS g FROM tr),
     w AS (SELECT *, sum(r) OVER x AS a, sum(g) OVER x AS l FROM s WINDOW x AS (PARTITION BY conv_id, turn ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-    SELECT conv_id, turn, pos, {sql_num('a', 4)} AS plain, {sql_num('a / l', 4)} AS normalised, {sql_num('a / g', 4)} AS divided FROM w"""
+    SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, {sql_num('a', 4)} AS plain, {sql_num('a / l', 4)} AS normalised, {sql_num('a / g', 4)} AS divided FROM w"""
 )
 def discounted_suffix_rewards(spark, sf):
     args = F.col("policy"), F.col("ref"), 0.98
