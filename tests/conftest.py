@@ -12,7 +12,10 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(4, partitions=4, app="tests")
+    session = local_session(4, partitions=4, app="tests")
+    # Keep several partitions on small tables, so that carries between them are tested.
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    return session
 
 
 @pytest.fixture

@@ -35,6 +35,13 @@ def test_global_index(spark):
     assert got == {i: n for n, (i, _, _) in enumerate(sorted(rows, key=lambda r: (-r[2], r[0])))}
 
 
+def test_the_order_really_is_split(spark):
+    _, df = skewed(spark)
+    parts = order._ranged(df, ["k", "v", "id"])
+    assert parts.select("_part").distinct().count() > 1
+    assert parts.filter("k = 0").select("_part").distinct().count() > 1
+
+
 @pytest.mark.parametrize("hot_rows", [None, 10, -1])
 def test_rank_within_splits_hot_groups(spark, hot_rows):
     rows, df = skewed(spark)

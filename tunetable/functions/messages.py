@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunetable.functions.binding import let
-from tunetable.schema import message_columns, share_columns
+from tunetable.schema import share_columns
 
 
 def message(role: Column | str, content: Column) -> Column:
@@ -198,7 +198,3 @@ def not_all_equal(samples: Sequence[Column]) -> Column:
 def prune_to(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     """Keep the wanted columns that are there."""
     return df.select(*[c for c in wanted if c in df.columns])
-
-
-def conversational_columns(df: DataFrame) -> list[str]:
-    return message_columns(df.schema)

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 IGNORED = -100  # label of a position that takes no part in the objective
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
-HASHED_IDS = 1 << 16
 
 
 def words(text: Column) -> Column:
@@ -224,8 +223,3 @@ def ended(ids: Column, end_ids: list[int]) -> Column:
 def drop_truncated(mask: Column, ids: Column, end_ids: list[int]) -> Column:
     """Zero the mask of rows that did not end."""
     return F.when(ended(ids, end_ids), mask).otherwise(F.transform(mask, lambda m: m * 0))
-
-
-def joined(ids: Column) -> Column:
-    """Comma-separated text of a list, for output."""
-    return F.array_join(F.transform(ids, lambda x: x.cast("string")), ",", "null")

@@ -27,9 +27,9 @@ def _columns(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def _ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = _columns(order)
-    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # No partition count, so small tables end up in few partitions at run time.
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return settle(placed.withColumn("_at", F.monotonically_increasing_id())).withColumn(
         "_part", F.shiftright("_at", _LOCAL_BITS)
     )

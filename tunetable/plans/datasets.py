@@ -316,7 +316,6 @@ def token_length_filter(spark, sf):
     return df.select("doc_id", "lengths")
 
 
-_PROMPT_WORDS = f"len({sql_words('messages[1].content')})"
 _N_WORDS = f"coalesce(list_sum(list_transform({_ASKED}, lambda m: len({sql_words('m.content')}))), 0)"
 
 

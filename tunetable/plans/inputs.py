@@ -41,16 +41,6 @@ def sql_ids(expr: str) -> str:
     return f"coalesce(array_to_string(list_transform({expr}, lambda x: coalesce(CAST(x AS VARCHAR), 'null')), ','), '')"
 
 
-def show_reals(values: Column, places: int = 6) -> Column:
-    """Fixed-point text of a list of numbers (as scaled integers)."""
-    scale = float(10**places)
-    return show_ids(F.transform(values, lambda x: F.round(x * scale).cast("long")))
-
-
-def sql_reals(expr: str, places: int = 6) -> str:
-    return sql_ids(f"list_transform({expr}, lambda v: CAST(round(v * {float(10**places)}) AS BIGINT))")
-
-
 def sql_words(expr: str) -> str:
     return f"regexp_extract_all({expr}, '{TOKEN_PATTERN}')"
 
@@ -100,8 +90,6 @@ def rollouts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-REWARDS = ("r_length", "r_comma", "r_lines")
-
 SQL_ROLLOUTS = (
     "rollouts AS (SELECT a.conv_id AS group_id, a.turn AS idx, p.text AS prompt, a.text AS completion, "
     "least(length(a.text) / 1000.0::DOUBLE, 1.0) AS r_length, "
@@ -269,13 +257,6 @@ def sequence_rows(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumn("advantage", F.round(array_sum(gap) / F.size("policy"), 6))
 
 
-SQL_SEQUENCES = (
-    SQL_LOGPS
-    + ", seqs AS (SELECT conv_id, turn, list(policy ORDER BY pos) AS policy, list(old ORDER BY pos) AS old, list(ref ORDER BY pos) AS ref, "
-    r"list(CASE WHEN regexp_matches(token, '^[\p{L}\p{N}]') THEN 1 ELSE 0 END ORDER BY pos) AS mask, "
-    "round(sum(policy - ref) / count(*), 6) AS advantage FROM tlp GROUP BY conv_id, turn)"
-)
-
 # Long form with the same mask and advantage, for oracles that aggregate tokens.
 SQL_TOKEN_ROWS = (
     SQL_LOGPS
