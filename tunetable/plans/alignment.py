@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tunetable.functions.tokens import words
 from tunetable.operators import align as A
-from tunetable.operators.vocab import build_vocabulary, tokens_of
+from tunetable.operators.vocab import build_vocabulary, count_tokens, tokens_of
 from tunetable.plans.inputs import (
     SQL_HALVES,
     SQL_LOGPS,
@@ -21,6 +21,7 @@ from tunetable.plans.inputs import (
     token_logps,
 )
 from tunetable.plans.registry import query
+from tunetable.session import settle
 from tunetable.sources.scan import table
 
 
@@ -39,8 +40,11 @@ def reference_logps_attached(spark, sf):
 
 def _vocabularies(spark, sf):
     """Student words from documents, teacher words from conversations."""
-    texts = documents(spark, sf, "doc_id", "text"), table(spark, sf, "conversations", "text")
-    return tuple(build_vocabulary(tokens_of(t, "text")).select("token", "id") for t in texts)
+    return tuple(build_vocabulary(tokens_of(t, "text")).select("token", "id") for t in _texts(spark, sf))
+
+
+def _texts(spark, sf):
+    return documents(spark, sf, "doc_id", "text"), conversations(spark, sf).select("text")
 
 
 def _sql_vocab(name: str, source: str) -> str:
@@ -168,10 +172,11 @@ _MIX = "(0.5 * p + 0.5 * q)"
 )
 def hybrid_comparison(spark, sf):
     student, teacher = half_distributions(spark, sf)
-    words_of_docs, words_of_turns = _vocabularies(spark, sf)
-    sides = words_of_docs.withColumn("teacher", F.lit(False)).unionByName(words_of_turns.withColumn("teacher", F.lit(True)))
-    # Ids fall with frequency, so a negative id is a weight.
-    vocabulary = sides.groupBy("token").agg((-F.min("id")).alias("n"), (F.count("*") > 1).alias("shared"), F.bool_or("teacher").alias("teacher"))
+    counts = [count_tokens(tokens_of(t, "text")) for t in _texts(spark, sf)]
+    sides = counts[0].withColumn("teacher", F.lit(False)).unionByName(counts[1].withColumn("teacher", F.lit(True)))
+    vocabulary = settle(
+        sides.groupBy("token").agg(F.sum("n").alias("n"), (F.count("*") > 1).alias("shared"), F.bool_or("teacher").alias("teacher"))
+    )
     sizes = vocabulary.agg(F.struct(F.count_if("shared").alias("both"), F.count_if("teacher").alias("teacher")).alias("s")).scalar()
     out = A.hybrid_loss(student, teacher, vocabulary, ["doc_id"], 0.5, teacher_tokens=sizes.teacher, matched_tokens=sizes.both)
     return out.select(*[num(F.col(c)).alias(c) for c in ("matched_loss", "unmatched_loss", "loss")])
