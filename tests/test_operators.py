@@ -147,6 +147,27 @@ def test_group_advantage(spark, small):
         groups.group_advantage(df, ["g"], "r", "other")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keep_best_cuts_groups_before_the_shuffle(spark):
+    _, df = skewed(spark)
+    out = groups.keep_best(df, ["k"], "v", ["id"], 3)
+    below = plan_of(out).split("Exchange", 1)[1]
+    assert "WindowGroupLimit" in below
+    assert out.groupBy("k").count().filter("count > 3").isEmpty()
+
+
+def test_group_stats_share_one_shuffle(spark):
+    _, df = skewed(spark)
+    out = groups.with_group_stats(df, ["k"], {"m": F.avg("v")})
+    out.collect()
+    final = out._jdf.queryExecution().toString()
+    assert "ReusedExchange" in final
+    assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final
+
+
 def test_leave_one_out(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 6.0), (2, 5.0)], "g long, r double")
     got = {(r.g, r.r): r.advantage for r in groups.leave_one_out_advantage(df, ["g"], "r").collect()}
