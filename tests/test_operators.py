@@ -42,14 +42,13 @@ def test_the_order_really_is_split(spark):
     assert parts.filter("k = 0").select("_part").distinct().count() > 1
 
 
-@pytest.mark.parametrize("hot_rows", [None, 10, -1])
-def test_rank_within_splits_hot_groups(spark, hot_rows):
+def test_rank_within_splits_hot_groups(spark):
     rows, df = skewed(spark)
     want, seen = {}, Counter()
     for i, k, v in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
         seen[k] += 1
         want[i] = seen[k]
-    got = {r.id: r["rank"] for r in order.rank_within(df, ["k"], ["v", "id"], hot_rows=hot_rows).collect()}
+    got = {r.id: r["rank"] for r in order.rank_within(df, ["k"], ["v", "id"]).collect()}
     assert got == want
 
 
@@ -62,13 +61,13 @@ def test_running_totals(spark, keys, inclusive):
         g = k if keys else None
         want[i] = total[g] + (v if inclusive else 0)
         total[g] += v
-    out = order.running_totals(df, ["id"], {"t": F.col("v")}, keys, inclusive, hot_rows=10)
+    out = order.running_totals(df, ["id"], {"t": F.col("v")}, keys, inclusive)
     assert {r.id: r.t for r in out.collect()} == want
 
 
 def test_running_totals_of_a_null_group(spark):
     df = spark.range(50).select("id", F.when(F.col("id") % 5 == 0, F.col("id")).alias("k"))
-    got = {r.id: r["rank"] for r in order.rank_within(df, ["k"], ["id"], hot_rows=3).collect()}
+    got = {r.id: r["rank"] for r in order.rank_within(df, ["k"], ["id"]).collect()}
     nulls = [i for i in range(50) if i % 5]
     assert got == {**{i: n + 1 for n, i in enumerate(nulls)}, **{i: 1 for i in range(0, 50, 5)}}
 
@@ -118,7 +117,7 @@ def test_hot_rows_are_spread_over_the_shuffle(spark):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.enabled", "false")
-        out = skew.join_unique(df, table, ["k"], "n", ["x"], head_keys=1).withColumn("part", F.spark_partition_id())
+        out = skew.join_unique(df, table, ["k"], "n", ["x"], head_keys=4).withColumn("part", F.spark_partition_id())
         per_task = [r["count"] for r in out.groupBy("part").count().collect()]
     finally:
         for c, v in before.items():
@@ -175,9 +174,9 @@ def test_leave_one_out(spark):
 
 
 def test_replay_buffer(spark):
-    scores = spark.createDataFrame([(i, s) for i, s in enumerate([0.5, 0.8, 0.3, 0.9, 0.7, 0.6, 0.4])], "g long, score double")
-    kept = [r.score for r in groups.replay_buffer(scores, ["g"], 5).collect()]
-    assert kept == [0.9, 0.8, 0.7, 0.6, 0.5]
+    scores = spark.createDataFrame([(i, s) for i, s in enumerate([1.25, 0.1, 2.5, 1.25, 0.05, 3.0, 0.75, 0.75])], "g long, score double")
+    kept = [r.score for r in groups.replay_buffer(scores, ["g"], 4).collect()]
+    assert kept == [3.0, 2.5, 1.25, 1.25]
 
 
 @pytest.mark.parametrize("flat", [3, 40])
@@ -247,12 +246,11 @@ def test_fill_tail(spark):
     assert got[1].tail_logp is None
 
 
-@pytest.mark.parametrize("hot_rows", [None, 2])
-def test_rank_pairs(spark, hot_rows):
+def test_rank_pairs(spark):
     rng = random.Random(4)
     rows = [(i, i % 3, rng.random(), rng.random()) for i in range(40)]
     df = spark.createDataFrame(rows, "id long, b long, x double, y double")
-    got = sorted((r.b, r["rank"], r.first, r.second) for r in align.rank_pairs(df, "b", F.col("x"), F.col("y"), "id", hot_rows).collect())
+    got = sorted((r.b, r["rank"], r.first, r.second) for r in align.rank_pairs(df, "b", F.col("x"), F.col("y"), "id").collect())
     want = []
     for b in range(3):
         xs, ys = (sorted(r[c] for r in rows if r[1] == b) for c in (2, 3))
@@ -308,15 +306,14 @@ def test_budget_filter_needs_rows(spark):
 # --- builders ---------------------------------------------------------------
 
 
-@pytest.mark.parametrize("hot_rows", [None, 5])
-def test_rotation(spark, hot_rows):
+def test_rotation(spark):
     rows, df = skewed(spark, 120)
     by_k = defaultdict(list)
     for i, k, _ in rows:
         by_k[k].append(i)
     want = {i: ids[n - 1] for ids in by_k.values() for n, i in enumerate(ids)}
     df = df.withColumn("x", F.col("id"))
-    assert {r.id: r.y for r in builders.rotate_in_batch(df, "k", "id", "x", "y", hot_rows).collect()} == want
+    assert {r.id: r.y for r in builders.rotate_in_batch(df, "k", "id", "x", "y").collect()} == want
 
 
 def test_step_tree(spark):
@@ -440,3 +437,17 @@ def test_length_metrics_without_ended_rows(spark):
 def test_pair_accuracy_drops_ties(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, 1.0), (0.0, 2.0)], "c double, r double")
     assert tuple(metrics.pair_accuracy(df, "c", "r").first()) == (2, 0.5)
+
+
+def test_null_and_repeated_keys_lose_nothing(spark):
+    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 4.0), ("a", 3, 2.0)], "k string, id long, x double")
+    assert {r.id: r.y for r in builders.rotate_in_batch(df, "k", "id", "x", "y").collect()} == {1: 4.0, 2: 1.0, 3: 2.0}
+    pairs = align.rank_pairs(df, "k", F.col("x"), -F.col("x"), "id").collect()
+    assert sorted((str(r.k), r["rank"], r.first, r.second) for r in pairs) == [("None", 1, 1.0, -4.0), ("None", 2, 4.0, -1.0), ("a", 1, 2.0, -2.0)]
+    one = spark.createDataFrame([(None, "t", 0.75), (None, "u", 0.25)], "k string, token string, p double")
+    assert [r.l1 for r in align.sorted_l1(one, one, ["k"], "p").collect()] == [0.0]
+
+
+def test_small_test_shares_are_not_empty(spark):
+    _, test = splits.fraction_split(spark.range(200_000), splits.hash_slot("id", 3), 0.0005)
+    assert 50 < test.count() < 200

@@ -194,3 +194,22 @@ def test_divergence_ends(spark):
     assert total(1) == pytest.approx(kl(0, 1))
     mix = [(p, q, (p + q) / 2) for p, q in rows]
     assert total(0.5) == pytest.approx(sum(0.5 * q * math.log(q / m) + 0.5 * p * math.log(p / m) for p, q, m in mix))
+
+
+@pytest.mark.parametrize(
+    ("text", "gold", "want"),
+    [
+        (r"so \boxed{\frac{\sqrt{3}}{2}} holds", r"\boxed{\frac{\sqrt{3}}{2}}", 1.0),
+        (r"\boxed{1} or rather \boxed{ \{2, {5}\} }.", r"$\{2,{5}\}$", 1.0),
+        (r"\boxed{1,2}", "12", 0.0),
+        (r"\boxed{1,234,567}", "1234567", 1.0),
+        (r"\boxed{1,2345}", "12345", 0.0),
+        (r"\boxed{\frac{7}{40}}", "7/40", 1.0),
+        (r"\boxed{\dfrac{-7}{40}}", "-7/40", 1.0),
+        (r"\boxed{\frac{7}{4}}", "4/7", 0.0),
+        (r"never closed \boxed{3", "3", 0.0),
+        ("🙂 \\boxed{a🙂{b}}", "a🙂{b}", 1.0),
+    ],
+)
+def test_answers_in_boxes(one, text, gold, want):
+    assert one(r=R.answer_accuracy(F.lit(text), F.lit(gold))).r == want

@@ -76,7 +76,7 @@ def infer_messages(schema: T.StructType) -> Column:
     for key in (k for k in CONVERSATION_KEYS if k in names and isinstance(schema[k].dataType, T.ArrayType)):
         item = schema[key].dataType.elementType
         if isinstance(item, T.StringType):
-            return F.array(message("user", F.col(key)[0]), message("assistant", F.col(key)[1]))
+            return F.array(message("user", F.get(key, F.lit(0))), message("assistant", F.get(key, F.lit(1))))
         fields = item.fieldNames() if isinstance(item, T.StructType) else []
         if {"role", "content"} <= set(fields):
             return F.col(key)
@@ -188,7 +188,7 @@ def content_filter(df: DataFrame, messages: str, max_chars: int) -> DataFrame:
 
 
 def prompt_filter(df: DataFrame, prompt: str, max_chars: int) -> DataFrame:
-    return df.filter(F.length(F.col(prompt)[0].content) <= max_chars)
+    return df.filter(F.length(F.get(prompt, F.lit(0)).content) <= max_chars)
 
 
 def not_all_equal(samples: Sequence[Column]) -> Column:

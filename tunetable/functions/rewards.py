@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tunetable.functions.binding import let
+
 # Formats a reward checks, anchored at the start of the text.
 THINK = r"(?s)\A<think>(?!.*<think>).*?</think>.*"
 THINK_ANSWER = r"(?d)\A<think>.*?</think><answer>.*?</answer>$"
 THINK_ANSWER_LINES = r"(?smd)\A<think>\n.*?\n</think>\n<answer>\n.*?\n</answer>$"
 THINK_ANSWER_LOOSE = r"(?s)\A<think>.*?</think>.*?<answer>.*?</answer>"
 REASONING_ENDS = ("</think>",)
+BOX = "\\boxed{"
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -35,10 +38,23 @@ def overlong_penalty(n_tokens: Column, max_length: int, margin: int) -> Column:
 
 def extract_answer(text: Column) -> Column:
     """Normalised answer: the last boxed expression, else the whole text; NULL if nothing is left."""
-    boxed = F.regexp_extract_all(text, F.lit(r"\\boxed\{([^{}]*(?:\{[^{}]*\}[^{}]*)*)\}"), F.lit(1))
-    raw = F.when(F.size(boxed) > 0, F.try_element_at(boxed, F.lit(-1))).otherwise(text)
-    clean = F.lower(F.regexp_replace(F.regexp_replace(raw, r"[\s$,]+", ""), r"\.+\z", ""))
-    return F.nullif(clean, F.lit(""))
+    raw = F.coalesce(_last_boxed(text), text)
+    bare = F.regexp_replace(F.regexp_replace(raw, r"[\s$]+", ""), r"(?<=\d),(?=\d{3}(?!\d))", "")
+    plain = F.regexp_replace(bare, r"\\[dt]?frac\{(-?\d+)\}\{(-?\d+)\}", "$1/$2")
+    return F.nullif(F.lower(F.regexp_replace(plain, r"\.+\z", "")), F.lit(""))
+
+
+def _last_boxed(text: Column) -> Column:
+    """What the last box holds, to the brace that closes it at any depth; NULL without a closed box."""
+    tail = F.substring_index(text, BOX, -1)
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"))
+    turn = lambda c: F.when(c == "{", 1).when(c == "}", -1).otherwise(0)
+    step = lambda s, c: F.when(s["depth"] == 0, s).otherwise(
+        F.struct((s["depth"] + turn(c)).alias("depth"), (s["at"] + F.lit(1)).alias("at"))
+    )
+    end = F.aggregate(F.regexp_extract_all(tail, F.lit("(?s)."), F.lit(0)), start, step)
+    inside = let(end, lambda e: F.when(e["depth"] == 0, F.substr(tail, F.lit(1), e["at"] - 1)))
+    return F.when(F.contains(text, F.lit(BOX)), inside)
 
 
 def answer_accuracy(text: Column, gold: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,11 +22,16 @@ def n_words(text: Column) -> Column:
 
 
 def hashed_ids(text: Column) -> Column:
-    """Token ids from a hash: no vocabulary, so it also works on streams."""
-    slot = lambda t: F.conv(F.substr(F.md5(t), F.lit(1), F.lit(4)), 16, 10).cast("int")
+    """Token ids of 31 bits from a hash: no vocabulary, so it also works on streams."""
+    slot = lambda t: F.shiftright(F.conv(F.substr(F.md5(t), F.lit(1), F.lit(8)), 16, 10).cast("long"), 1).cast("int")
     return F.transform(words(text), slot)
 
 
+def token_id(token: str) -> int:
+    """The id that ``hashed_ids`` gives a token."""
+    return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) >> 1
+
+
 def _n(n: Column | int) -> Column:
     return F.lit(n) if isinstance(n, int) else n
 

@@ -44,10 +44,10 @@ def first_teacher_ids(matched: DataFrame) -> DataFrame:
     return matched.groupBy("student_id").agg(F.min("teacher_id").alias("teacher_id"))
 
 
-def piece_ends(pieces: DataFrame, seq: str, hot_rows: int | None = None) -> DataFrame:
+def piece_ends(pieces: DataFrame, seq: str) -> DataFrame:
     """Long form with the text length up to and including each piece."""
     n = F.length("piece")
-    return running_totals(pieces, ["pos"], {"end": n.cast("long")}, [seq], inclusive=True, hot_rows=hot_rows)
+    return running_totals(pieces, ["pos"], {"end": n.cast("long")}, [seq], inclusive=True)
 
 
 def alignment_groups(student: DataFrame, teacher: DataFrame, seq: str) -> DataFrame:
@@ -103,12 +103,15 @@ def merge_group_distributions(dists: DataFrame, groups: DataFrame, seq: str, p:
     return whole.select(seq, "group", "token", scaled.alias(p))
 
 
-def sorted_l1(student: DataFrame, teacher: DataFrame, keys: Sequence[str], value: str, hot_rows: int | None = None) -> DataFrame:
+def sorted_l1(student: DataFrame, teacher: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """L1 distance per key between two distributions sorted descending, the shorter filled with 0."""
     rank = lambda df, out: rank_within(
-        df.select(*keys, "token", F.col(value).alias(out)), keys, [F.desc(out), "token"], "_rank", hot_rows
+        df.select(*keys, "token", F.col(value).alias(out)), keys, [F.desc(out), "token"], "_rank"
     ).drop("token")
-    both = rank(student, "_a").join(rank(teacher, "_b"), [*keys, "_rank"], "full_outer")
+    # A union and an aggregate instead of a full join, so that NULL keys meet.
+    none = F.lit(None).cast("double")
+    sides = rank(student, "_a").withColumn("_b", none).unionByName(rank(teacher, "_b").withColumn("_a", none))
+    both = sides.groupBy(*keys, "_rank").agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
     gap = F.abs(F.coalesce("_a", F.lit(0.0)) - F.coalesce("_b", F.lit(0.0)))
     return both.groupBy(*keys).agg(F.sum(gap).alias("l1"))
 
@@ -185,7 +188,9 @@ def fill_tail(dists: DataFrame, keys: Sequence[str], order: str, vocab_size: int
     return tails.withColumn("tail_logp", F.when(left > 0, F.log(left)))
 
 
-def rank_pairs(df: DataFrame, batch: str, first: Column, second: Column, order: str, hot_rows: int | None = None) -> DataFrame:
+def rank_pairs(df: DataFrame, batch: str, first: Column, second: Column, order: str) -> DataFrame:
     """Two columns sorted independently within a batch and paired by rank."""
-    side = lambda c, out: rank_within(df.select(batch, order, c.alias(out)), [batch], [out, order], "_rank", hot_rows).drop(order)
-    return side(first, "first").join(side(second, "second"), [batch, "_rank"]).withColumnRenamed("_rank", "rank")
+    side = lambda c, out: rank_within(df.select(batch, order, c.alias(out)), [batch], [out, order], "_rank").drop(order)
+    other = side(second, "second").withColumnsRenamed({batch: "_batch", "_rank": "_same"})
+    paired = side(first, "first").join(other, F.col(batch).eqNullSafe(F.col("_batch")) & (F.col("_rank") == F.col("_same")))
+    return paired.drop("_batch", "_same").withColumnRenamed("_rank", "rank")

@@ -186,16 +186,17 @@ def parse_messages(text: Column) -> Column:
     return F.from_json(text, "array<struct<role:string,content:string>>")
 
 
-def rotate_in_batch(df: DataFrame, batch: str, order: str, value: str, out: str, hot_rows: int | None = None) -> DataFrame:
+def rotate_in_batch(df: DataFrame, batch: str, order: str, value: str, out: str) -> DataFrame:
     """Each row gets the previous row's value, the first row the last one's.
 
     Rows are matched by their rank in the batch, so a batch of any size is split.
     """
-    ranked = running_totals(df, [order], {"_pos": F.lit(1).cast("long")}, [batch], hot_rows=hot_rows)
+    ranked = running_totals(df, [order], {"_pos": F.lit(1).cast("long")}, [batch])
     donors = with_group_stats(ranked, [batch], {"_n": F.count("*")}).select(
-        batch, F.pmod(F.col("_pos") + 1, F.col("_n")).alias("_pos"), F.col(value).alias(out)
+        F.col(batch).alias("_batch"), F.pmod(F.col("_pos") + 1, F.col("_n")).alias("_to"), F.col(value).alias(out)
     )
-    return ranked.join(donors, [batch, "_pos"]).drop("_pos")
+    same = F.col(batch).eqNullSafe(F.col("_batch")) & (F.col("_pos") == F.col("_to"))
+    return ranked.join(donors, same).drop("_pos", "_batch", "_to")
 
 
 def class_balance(df: DataFrame, label: str, good_weight: float = 1.0, bad_weight: float = 1.0) -> DataFrame:

@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from tunetable.session import settle
 
-# Above this many rows a group is split over tasks instead of sorted in one.
-HOT_ROWS = 1_000_000
-
 _LOCAL_BITS = 33  # row bits of monotonically_increasing_id
 
 
@@ -50,31 +47,19 @@ def global_index(df: DataFrame, *order: str | Column, name: str = "row_index") -
     )
 
 
-def has_hot_group(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether any group holds more than ``limit`` rows (one pre-aggregated pass)."""
-    return not df.groupBy(*keys).count().filter(F.col("count") > limit).isEmpty()
-
-
 def running_totals(
     df: DataFrame,
     order: Sequence[str | Column],
     measures: Mapping[str, Column],
     keys: Sequence[str] = (),
     inclusive: bool = False,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Running sums of ``measures`` along ``order``, within ``keys`` if given.
 
-    The order must be total inside a group. Groups up to ``hot_rows`` rows use a
-    plain window; with a larger group, or without keys, the rows are split.
+    Rows that the order does not tell apart follow each other in any order. Groups of
+    any size are cut at the borders of the range partitions.
     """
     end = Window.currentRow if inclusive else -1
-    limit = HOT_ROWS if hot_rows is None else hot_rows
-    if keys and not has_hot_group(df, keys, limit):
-        w = Window.partitionBy(*keys).orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, end)
-        sums = {n: F.coalesce(F.sum(c).over(w), F.lit(0)) for n, c in measures.items()}
-        return df.withColumns(sums)
-
     named = {f"_m_{n}": c for n, c in measures.items()}
     ranged = _ranged(df.withColumns(named), [*_columns(keys), *_columns(order)])
     inside = Window.partitionBy(*keys, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, end)
@@ -106,13 +91,9 @@ def rank_within(
     keys: Sequence[str],
     order: Sequence[str | Column],
     name: str = "rank",
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """1-based row number inside each group."""
-    limit = HOT_ROWS if hot_rows is None else hot_rows
-    if not has_hot_group(df, keys, limit):
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*_columns(order))).cast("long"))
-    return running_totals(df, order, {name: F.lit(1).cast("long")}, keys, inclusive=True, hot_rows=-1)
+    return running_totals(df, order, {name: F.lit(1).cast("long")}, keys, inclusive=True)
 
 
 def first_in_order(df: DataFrame, n: int | Column, *order: str) -> Column:

@@ -97,12 +97,13 @@ def pack_wrapped(df: DataFrame, key: str, length: int, keys: Sequence[str] = ())
     """Concatenate all rows in ``key`` order and cut every ``length`` tokens.
 
     Each row finds its place from a running total and is cut in place, so only
-    pieces of at most ``length`` tokens are grouped.
+    pieces of at most ``length`` tokens are grouped. NULL keys are keys like any
+    other; rows that share a key follow each other in the order of their lists.
     """
     lists, keys = _list_columns(df), list(keys)
-    sizes = df.select(*keys, key, F.size(lists[0]).alias("_n")).filter("_n > 0")
-    starts = running_totals(sizes, [key], {"_start": F.col("_n")}, keys)
-    placed = df.join(starts, [*keys, key])
+    rows = df.select(*keys, key, *lists).filter(F.size(lists[0]) > 0).withColumn("_n", F.size(lists[0]))
+    # The rows themselves are placed: a key may be NULL or repeated, so nothing is joined by it.
+    placed = running_totals(rows, [key, *lists], {"_start": F.col("_n")}, keys)
     start, n = F.col("_start"), F.col("_n")
     chunks = F.sequence(F.floor(start / length), F.floor((start + n - 1) / length))
 

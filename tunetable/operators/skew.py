@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The heaviest keys are joined from a broadcast table of this many rows. Any other
-# key holds at most this fraction of all rows, so it cannot be hot in the shuffle.
+# Keys with more than one in this many of all rows are joined from a broadcast table, which has
+# fewer rows than this. Any other key holds too few rows to be hot in the shuffle.
 HEAD_KEYS = 10_000
 _SALTS = 4096  # a power of two
 
@@ -38,7 +38,9 @@ def join_unique(
     # Both sides read the same columns of the table, so its shuffle is computed once.
     entry = F.struct(*values, F.col(weight).alias("_weight"))
     named = lambda p: [F.col(k).alias(f"_{p}_{k}") for k in keys]
-    head = table.orderBy(F.desc(weight), *keys).limit(head_keys).select(*named("h"), entry.alias("_head"))
+    # At most ``head_keys`` keys can hold more than that share of the rows, so no sort is needed.
+    every = table.agg(F.sum(weight)).scalar()
+    head = table.filter(F.col(weight) * F.lit(head_keys) > every).select(*named("h"), entry.alias("_head"))
     tail = table.select(*named("t"), _key_salt(keys).alias("_tail_salt"), entry.alias("_rest"))
     match = lambda p: [F.col(k).eqNullSafe(F.col(f"_{p}_{k}")) for k in keys]
     salted = rows.join(F.broadcast(head), match("h"), "left").withColumn(

@@ -72,8 +72,8 @@ def vocabulary_mapping(spark, sf):
 
 
 def _pieces(spark, sf):
-    """Assistant turns without white space, as words and as pieces of three characters."""
-    turns = conversations(spark, sf).filter("role = 'assistant'").withColumn("seq", F.col("conv_id") * 1000 + F.col("turn"))
+    """Turns without white space, as words and as pieces of three characters."""
+    turns = conversations(spark, sf).withColumn("seq", F.concat_ws(":", "conv_id", "turn"))
     joined = F.array_join(words(F.col("text")), "")
     by_three = F.regexp_extract_all(joined, F.lit(r"(?s).{1,3}"), F.lit(0))
     student = turns.select("seq", F.posexplode(words(F.col("text"))).alias("pos", "piece"))
@@ -82,7 +82,7 @@ def _pieces(spark, sf):
 
 
 _SQL_GROUPS = (
-    f"wd AS (SELECT conv_id * 1000 + turn AS seq, {sql_words('text')} AS w FROM conversations WHERE role = 'assistant'), "
+    f"wd AS (SELECT conv_id || ':' || turn AS seq, {sql_words('text')} AS w FROM conversations), "
     "tp AS (SELECT seq, regexp_extract_all(array_to_string(w, ''), '(?s).{1,3}') AS t FROM wd), "
     "se AS (SELECT seq, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS piece FROM wd), te AS (SELECT seq, generate_subscripts(t, 1) - 1 AS pos, unnest(t) AS piece FROM tp), "
     "sx AS (SELECT *, sum(length(piece)) OVER (PARTITION BY seq ORDER BY pos) AS fin FROM se), tx AS (SELECT *, sum(length(piece)) OVER (PARTITION BY seq ORDER BY pos) AS fin FROM te), "
@@ -100,12 +100,12 @@ def alignment_groups(spark, sf):
 
 
 @query(
-    f"""WITH {SQL_LOGPS}, {_SQL_GROUPS} SELECT l.conv_id * 1000 + l.turn AS seq, CAST(grp AS BIGINT) AS "group", {sql_num('sum(policy)')} AS policy
-    FROM tlp l JOIN al ON al.seq = l.conv_id * 1000 + l.turn AND al.pos = l.pos AND side = 'student' GROUP BY 1, 2"""
+    f"""WITH {SQL_LOGPS}, {_SQL_GROUPS} SELECT l.conv_id || ':' || l.turn AS seq, CAST(grp AS BIGINT) AS "group", {sql_num('sum(policy)')} AS policy
+    FROM tlp l JOIN al ON al.seq = l.conv_id || ':' || l.turn AND al.pos = l.pos AND side = 'student' GROUP BY 1, 2"""
 )
 def merged_group_logps(spark, sf):
     groups = A.alignment_groups(*_pieces(spark, sf), "seq").filter("side = 'student'").drop("side")
-    logps = token_logps(spark, sf).select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq"), "pos", "policy")
+    logps = token_logps(spark, sf).select(F.concat_ws(":", "conv_id", "turn").alias("seq"), "pos", "policy")
     return A.merge_group_logps(logps, groups, "seq", "policy").withColumn("policy", num(F.col("policy")))
 
 
@@ -114,13 +114,13 @@ _TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 @query(
-    f"""WITH t AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS token), d AS (SELECT user_id AS seq, CAST(day(ts) AS INTEGER) AS pos, event_type, count(*) AS c FROM events GROUP BY ALL),
+    f"""WITH t AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS token), d AS (SELECT user_id AS seq, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS pos, event_type, count(*) AS c FROM events GROUP BY ALL),
     k AS (SELECT seq, pos, sum(c) AS n FROM d GROUP BY ALL), p AS (SELECT k.seq, k.pos, t.token, (coalesce(d.c, 0) + 1.0::DOUBLE) / (k.n + 5) AS p FROM k CROSS JOIN t LEFT JOIN d ON d.seq = k.seq AND d.pos = k.pos AND d.event_type = t.token),
     m AS (SELECT seq, CAST(pos // 7 AS INTEGER) AS g, token, sum(ln(p)) AS l, count(*) AS n, max(p) AS one FROM p GROUP BY ALL), w AS (SELECT *, CASE WHEN n > 1 THEN exp(l) ELSE one END AS w FROM m)
     SELECT seq, g AS "group", token, {sql_num('CASE WHEN n > 1 THEN w / sum(w) OVER (PARTITION BY seq, g) ELSE w END', 9)} AS p FROM w"""
 )
 def merged_group_distributions(spark, sf):
-    events = table(spark, sf, "events").select(F.col("user_id").alias("seq"), F.dayofmonth("ts").alias("pos"), "event_type")
+    events = table(spark, sf, "events").select(F.col("user_id").alias("seq"), F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")).alias("pos"), "event_type")
     counts = events.groupBy("seq", "pos").agg(F.count("*").alias("n"), *[F.count_if(F.col("event_type") == t).alias(t) for t in _TYPES])
     entry = lambda t: F.struct(F.lit(t).alias("token"), ((F.col(t) + 1.0) / (F.col("n") + len(_TYPES))).alias("p"))
     dists = counts.select("seq", "pos", F.explode(F.array(*[entry(t) for t in _TYPES])).alias("e")).select("seq", "pos", "e.*")

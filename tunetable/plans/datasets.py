@@ -65,7 +65,7 @@ def _both(train, test, key):
 @query("SELECT doc_id, CASE WHEN (doc_id * 7919 + 13) % 10000 < 2000 THEN 'test' ELSE 'train' END AS split FROM documents")
 def fraction_split(spark, sf):
     slot = F.pmod(F.col("doc_id") * 7919 + 13, F.lit(10000))
-    return _both(*splits.fraction_split(documents(spark, sf, "doc_id"), slot, 0.2), "doc_id")
+    return _both(*splits.fraction_split(documents(spark, sf, "doc_id"), slot, 0.2, 10_000), "doc_id")
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tunetable import udf
 from tunetable.functions import objectives as O
-from tunetable.functions.tokens import n_words
+from tunetable.functions.tokens import n_words, token_id
 from tunetable.operators import metrics as E
 from tunetable.operators import sampling as S
 from tunetable.operators.align import pair_models
@@ -37,7 +37,7 @@ from tunetable.plans.registry import query
 from tunetable.session import settle
 from tunetable.sources.scan import table
 
-END = 20568  # id of a full stop
+END = token_id(".")
 
 
 @query(
@@ -81,15 +81,15 @@ def zero_variance_fraction(spark, sf):
 
 
 def _metric_rows(spark, sf):
-    """Events as logged metrics: the day is the step, one user in five is an evaluation run."""
+    """Events as logged metrics: the date is the step, one user in five is an evaluation run."""
     mode = F.when(F.col("user_id") % 5 == 0, "eval").otherwise("train")
     return table(spark, sf, "events").select(
-        F.dayofmonth("ts").alias("step"), mode.alias("mode"), F.col("event_type").alias("name"), "value"
+        F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")).alias("step"), mode.alias("mode"), F.col("event_type").alias("name"), "value"
     )
 
 
 @query(
-    f"""WITH m AS (SELECT CAST(day(ts) AS INTEGER) AS step, CASE WHEN user_id % 5 = 0 THEN 'eval' ELSE 'train' END AS mode, event_type AS name, value FROM events)
+    f"""WITH m AS (SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS step, CASE WHEN user_id % 5 = 0 THEN 'eval' ELSE 'train' END AS mode, event_type AS name, value FROM events)
     SELECT step, mode, CASE WHEN mode = 'eval' THEN 'eval_' || name ELSE name END AS name, {sql_num('avg(value)', 9)} AS value FROM m GROUP BY ALL"""
 )
 def metric_roll_up(spark, sf):

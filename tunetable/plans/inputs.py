@@ -46,7 +46,7 @@ def sql_words(expr: str) -> str:
 
 
 def sql_hashed(expr: str) -> str:
-    return f"list_transform({sql_words(expr)}, lambda t: CAST('0x' || substr(md5(t), 1, 4) AS INTEGER))"
+    return f"list_transform({sql_words(expr)}, lambda t: CAST(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) // 2 AS INTEGER))"
 
 
 def sql_last_index(msgs: str, test: str) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tunetable import udf
 from tunetable.functions import rewards as R
-from tunetable.functions.tokens import n_words
+from tunetable.functions.tokens import n_words, token_id
 from tunetable.operators.align import fill_tail
 from tunetable.operators.skew import with_group_stats
 from tunetable.plans.inputs import (
@@ -309,11 +309,11 @@ def soft_preference(spark, sf):
 
 
 @query(
-    f"WITH {SQL_TURN_TOKENS} SELECT group_id, idx, {sql_num('len(completion_ids) / 100.0 - CASE WHEN list_contains(completion_ids, 20568) THEN 0 ELSE 1.5 END')} AS reward FROM tt"
+    f"WITH {SQL_TURN_TOKENS} SELECT group_id, idx, {sql_num(f'len(completion_ids) / 100.0 - CASE WHEN list_contains(completion_ids, {token_id(".")}) THEN 0 ELSE 1.5 END')} AS reward FROM tt"
 )
 def missing_end_penalty(spark, sf):
     reward = F.size("completion_ids") / 100.0
-    return turn_tokens(spark, sf).select("group_id", "idx", num(R.missing_end_penalty(reward, F.col("completion_ids"), 20568, 1.5)).alias("reward"))
+    return turn_tokens(spark, sf).select("group_id", "idx", num(R.missing_end_penalty(reward, F.col("completion_ids"), token_id("."), 1.5)).alias("reward"))
 
 
 @query(

@@ -9,6 +9,10 @@ from tunetable.plans.inputs import num, show_ids, sql_hashed, sql_ids, sql_num
 from tunetable.plans.registry import query
 from tunetable.streaming import jobs as J
 
+# Lanes of the streamed packing; each is cut by one task.
+LANES = 64
+
+
 @query(
     f"""WITH t AS (SELECT conv_id, turn, CASE WHEN ends_with(text, '<eos>') THEN text ELSE text || '<eos>' END AS text FROM conversations)
     SELECT conv_id, turn, {sql_ids(sql_hashed('text') + '[1:64]')} AS input_ids FROM t"""
@@ -35,13 +39,14 @@ def _events(spark, sf):
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_completion_log(spark, sf):
     events = _events(spark, sf).select("ts", "user_id", "event_type")
-    # The delay covers the whole log, so one entry per key is left.
-    return J.run_available(J.completion_log(events, "ts", ["user_id", "event_type"], "3650 days"), "append").select("user_id", "event_type")
+    # Each batch logs its entries once and the batches are merged at the end: no state, no late rows.
+    once = lambda df: df.select("user_id", "event_type").distinct()
+    return once(J.run_available(events, "append", per_batch=once))
 
 
 def _windows(spark, sf, width, slide=None):
-    stream = J.windowed_metrics(_events(spark, sf), "ts", "event_type", "value", width, slide)
-    final = J.latest(J.run_available(stream, "update"), ["start", "end", "event_type"])
+    sums = J.run_available(_events(spark, sf), "append", per_batch=lambda b: J.window_sums(b, "ts", "event_type", "value", width, slide))
+    final = J.merge_window_sums(sums, "event_type")
     shown = [F.unix_timestamp(c).alias(f"{c}_s") for c in ("start", "end")]
     return final.select(*shown, "event_type", "n", num(F.col("value"), 9).alias("value"))
 
@@ -72,13 +77,15 @@ def stream_replay_buffer(spark, sf):
 
 
 @query(
-    f"""WITH t AS (SELECT CAST(conv_id % 8 AS INTEGER) AS lane, sum(len({sql_hashed('text')})) AS n FROM conversations GROUP BY 1)
-    SELECT lane, CAST(ceil(n / 128.0) AS BIGINT) AS chunks, CAST(n // 128 AS BIGINT) AS full_chunks, CAST(n AS BIGINT) AS tokens FROM t"""
+    f"""WITH i AS (SELECT CAST(conv_id % {LANES} AS INTEGER) AS lane, {sql_hashed('text')} AS ids FROM conversations),
+    t AS (SELECT lane, sum(len(ids)) AS n, sum(list_sum(ids)) AS id_sum FROM i GROUP BY 1)
+    SELECT lane, CAST(ceil(n / 128.0) AS BIGINT) AS chunks, CAST(n // 128 AS BIGINT) AS full_chunks, CAST(n AS BIGINT) AS tokens, CAST(id_sum AS BIGINT) AS id_sum FROM t"""
 )
 def stream_packed_chunks(spark, sf):
-    turns = J.table_stream(spark, sf, "conversations").select("conv_id", hashed_ids(F.col("text")).alias("ids"))
-    updates = J.run_available(J.pack_stream(turns, F.col("conv_id") % 8, "ids", 128), "append", stateful=True)
+    turns = J.table_stream(spark, sf, "conversations").select("conv_id", "turn", hashed_ids(F.col("text")).alias("ids"))
+    updates = J.run_available(J.pack_stream(turns, F.col("conv_id") % LANES, "ids", 128, ["conv_id", "turn"]), "append", stateful=True)
     packed = J.packed_so_far(updates)
     return packed.groupBy("lane").agg(
-        F.count("*").alias("chunks"), F.count_if("is_full").alias("full_chunks"), F.sum(F.size("ids")).alias("tokens")
+        F.count("*").alias("chunks"), F.count_if("is_full").alias("full_chunks"), F.sum(F.size("ids")).alias("tokens"),
+        F.sum(F.aggregate("ids", F.lit(0).cast("long"), lambda s, x: s + x)).alias("id_sum"),
     )

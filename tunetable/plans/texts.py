@@ -139,12 +139,12 @@ _FIRST = 22  # an id that some rows start or end with
 
 @query(
     f"""WITH {SQL_TOKENS} SELECT doc_id, {sql_digest(f'CASE WHEN len(input_ids) > 0 AND input_ids[1] = {_FIRST} THEN input_ids ELSE [{_FIRST}] || input_ids END')} AS with_start,
-    {sql_digest('CASE WHEN len(input_ids) > 0 AND input_ids[-1] = 20568 THEN input_ids ELSE input_ids || [20568] END')} AS with_end FROM toks"""
+    {sql_digest(f'CASE WHEN len(input_ids) > 0 AND input_ids[-1] = {K.token_id(".")} THEN input_ids ELSE input_ids || [{K.token_id(".")}] END')} AS with_end FROM toks"""
 )
 def special_ids_added(spark, sf):
     ids = F.col("input_ids")
     return token_rows(spark, sf).select(
-        "doc_id", digest(K.add_special(ids, first=_FIRST)).alias("with_start"), digest(K.add_special(ids, last=20568)).alias("with_end")
+        "doc_id", digest(K.add_special(ids, first=_FIRST)).alias("with_start"), digest(K.add_special(ids, last=K.token_id("."))).alias("with_end")
     )
 
 
@@ -289,7 +289,7 @@ def flushed_rows(spark, sf):
     )
 
 
-_STOP_ID = 20568  # the id of a full stop
+_STOP_ID = K.token_id(".")
 _END = f"CASE WHEN list_contains(completion_ids, {_STOP_ID}) THEN list_position(completion_ids, {_STOP_ID}) ELSE len(completion_ids) END"
 
 

@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 
 from tunetable.operators.ordering import first_in_order
 
-_SLOTS = 10_000
+_SLOTS = 1 << 40
 
 
 def hash_slot(key: str | Column, seed: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(_SLOTS))
 
 
-def fraction_split(df: DataFrame, slot: Column, test_size: float) -> tuple[DataFrame, DataFrame]:
-    """Split by a row's slot in ``[0, 10000)``: no shuffle, no count."""
-    test = slot < F.lit(round(test_size * _SLOTS))
+def fraction_split(df: DataFrame, slot: Column, test_size: float, slots: int = _SLOTS) -> tuple[DataFrame, DataFrame]:
+    """Split by a row's slot in ``[0, slots)``, by default a ``hash_slot``: no shuffle, no count."""
+    test = slot < F.lit(round(test_size * slots))
     return df.filter(~test), df.filter(test)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -26,24 +26,34 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream of files."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return read_stream(spark, sf_dir, schema, f"{name}.parquet")
-
-
-def run_available(stream: DataFrame, mode: str, stateful: bool = False, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """A given table as a stream of files, be it one file or a folder of part files."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    # Written as a pattern: the file source takes a plain path for a folder.
+    return read_stream(spark, f"{path[:-1]}[{path[-1]}]", schema)
+
+
+def run_available(
+    stream: DataFrame,
+    mode: str,
+    stateful: bool = False,
+    path: str | None = None,
+    checkpoint: str | None = None,
+    per_batch: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> DataFrame:
     """Process what is there and read back what was written, with the batch it came from.
 
-    Each micro-batch overwrites its own folder, so a batch repeated after a failure
-    leaves one copy.
+    Each micro-batch is passed through ``per_batch`` and overwrites its own folder, so a
+    batch repeated after a failure leaves one copy.
     """
     spark = stream.sparkSession
     path = path or scratch_path(spark, "stream-out")
     checkpoint = checkpoint or scratch_path(spark, "stream-state")
-    schema = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
+    shape = per_batch(spark.createDataFrame([], stream.schema)).schema
+    schema = T.StructType([*shape.fields, T.StructField("batch_id", T.LongType())])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        per_batch(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     before = spark.conf.get(_PROVIDER, None)
     if stateful:
@@ -91,6 +101,18 @@ def windowed_metrics(df: DataFrame, ts: str, name: str, value: str, width: str,
     return out.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), name, "n", "value")
 
 
+def window_sums(batch: DataFrame, ts: str, name: str, value: str, width: str, slide: str | None = None) -> DataFrame:
+    """Partial sums of a micro-batch. They merge exactly, so no row is ever late and no state is kept."""
+    w = F.window(ts, width, slide) if slide else F.window(ts, width)
+    return batch.groupBy(w.alias("w"), name).agg(F.count("*").alias("n"), F.count(value).alias("values"), F.sum(value).alias("total"))
+
+
+def merge_window_sums(sums: DataFrame, name: str) -> DataFrame:
+    """Rows and mean per window and name over all micro-batches."""
+    out = sums.groupBy("w", name).agg(F.sum("n").alias("n"), (F.sum("total") / F.nullif(F.sum("values"), F.lit(0))).alias("value"))
+    return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), name, "n", "value")
+
+
 class _BestRows(StatefulProcessor):
     """The ``capacity`` best rows of a key so far."""
 
@@ -138,8 +160,8 @@ def merge_lanes(updates: DataFrame, capacity: int) -> DataFrame:
 class _Packer(StatefulProcessor):
     """Cuts a key's tokens every ``length``; the remainder waits in state."""
 
-    def __init__(self, length: int):
-        self.length = length
+    def __init__(self, length: int, order: Sequence[str]):
+        self.length, self.order = length, list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.rest = handle.getValueState("rest", "ids array<int>, chunk long")
@@ -147,14 +169,14 @@ class _Packer(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         ids, chunk = self.rest.get() if self.rest.exists() else ([], 0)
         rest, chunk = np.asarray(ids, dtype=np.int32), int(chunk)
-        for part in rows:
-            joined = np.concatenate([rest, *[np.asarray(x, dtype=np.int32) for x in part["ids"]]])
-            full = len(joined) // self.length
-            rest = joined[full * self.length :]
-            if full:
-                cut = [joined[i * self.length : (i + 1) * self.length].tolist() for i in range(full)]
-                yield pd.DataFrame({"lane": key[0], "chunk": range(chunk, chunk + full), "ids": cut, "is_full": True})
-                chunk += full
+        part = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
+        joined = np.concatenate([rest, *[np.asarray(x, dtype=np.int32) for x in part["ids"]]])
+        full = len(joined) // self.length
+        rest = joined[full * self.length :]
+        if full:
+            cut = [joined[i * self.length : (i + 1) * self.length].tolist() for i in range(full)]
+            yield pd.DataFrame({"lane": key[0], "chunk": range(chunk, chunk + full), "ids": cut, "is_full": True})
+            chunk += full
         self.rest.update((rest.tolist(), chunk))
         if len(rest):
             yield pd.DataFrame({"lane": [key[0]], "chunk": [chunk], "ids": [rest.tolist()], "is_full": [False]})
@@ -163,17 +185,18 @@ class _Packer(StatefulProcessor):
         pass
 
 
-def pack_stream(df: DataFrame, lane: Column, ids: str, length: int) -> DataFrame:
+def pack_stream(df: DataFrame, lane: Column, ids: str, length: int, order: Sequence[str]) -> DataFrame:
     """Wrapped packing that carries the tail of a micro-batch into the next.
 
-    One lane is cut by one task, so ``lane`` should spread the rows. The tail so far
-    is also emitted, marked as not full; ``packed_so_far`` keeps the last one.
+    One lane is cut by one task, so ``lane`` should spread the rows; a lane's rows of a
+    micro-batch follow each other by ``order``. The tail so far is also emitted, marked
+    as not full; ``packed_so_far`` keeps the last one.
     """
     out = "lane int, chunk long, ids array<int>, is_full boolean"
     return (
-        df.select(lane.cast("int").alias("lane"), F.col(ids).alias("ids"))
+        df.select(lane.cast("int").alias("lane"), *order, F.col(ids).alias("ids"))
         .groupBy("lane")
-        .transformWithStateInPandas(_Packer(length), outputStructType=out, outputMode="Append", timeMode="None")
+        .transformWithStateInPandas(_Packer(length, order), outputStructType=out, outputMode="Append", timeMode="None")
     )
 
 

@@ -73,16 +73,13 @@ def group_scores(
     completion: str,
     reward: str,
     score: Callable[[list[str], list[float]], Sequence[float]],
-    max_rows: int = 100_000,
     out: str = "filter_score",
 ) -> DataFrame:
     """Filter scores from a function of whole groups.
 
-    The function sees a group at once, so a group must fit a task: beyond ``max_rows``
-    rows this fails before any group is collected.
+    The function sees a group at once, so a group must fit a task; for larger ones use a
+    column score with ``keep_best``.
     """
-    if not df.groupBy(*keys).count().filter(F.col("count") > max_rows).isEmpty():
-        raise ValueError(f"a group has more than {max_rows} rows; use a column score with keep_best instead")
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
 
     def per_group(rows: pd.DataFrame) -> pd.DataFrame:
