@@ -146,3 +146,71 @@ def op8_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *kinds, F.sha2(say(F.col("base")), 256).alias("base_sha256"), say(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added")
     )
+
+
+# --- SQL twins ---------------------------------------------------------------
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_GAP = r"[\x20\x09-\x0D]"
+
+SQL["op2_line_quality"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source FROM documents),
+w AS (SELECT r, {_WORDS} AS w FROM d),
+k AS (SELECT r, i, array_to_string(list_slice(w, i, i + 7), ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+p AS (SELECT DISTINCT r, i + j AS at FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM k), (SELECT unnest(range(8)) AS j) WHERE n > 1),
+rep AS (SELECT r, count(*) AS n FROM p GROUP BY r),
+li AS (SELECT r, source, i, line, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'), '{_GAP}+', ' ', 'g')) AS norm
+       FROM (SELECT r, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d)),
+lh AS (SELECT *, CASE WHEN norm <> '' THEN CAST('0x' || substr(md5(norm), 1, 15) AS BIGINT) END AS h FROM li),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lh WHERE h IS NOT NULL GROUP BY r),
+hs AS (SELECT r, source, list_sort(list_distinct(list(h))) AS hs FROM lh WHERE h IS NOT NULL GROUP BY r, source),
+held AS (SELECT source, unnest(hs) AS h, generate_subscripts(hs, 1) AS i, hs FROM hs),
+cnt AS (SELECT source, h, count(DISTINCT CASE WHEN len(hs) = 1 THEN -1 WHEN i = 1 THEN hs[2] ELSE hs[1] END) AS docs, max(CASE WHEN i = 1 THEN 1 ELSE 0 END) AS leads FROM held GROUP BY ALL),
+host AS (SELECT source, sum(leads) AS n FROM cnt GROUP BY source),
+hot AS (SELECT cnt.source, h FROM cnt JOIN host ON cnt.source IS NOT DISTINCT FROM host.source WHERE docs > {line_quality.LINE_DOCS} AND docs > {line_quality.LINE_SHARE} * host.n),
+st AS (SELECT r, count(*) FILTER (WHERE hot.h IS NOT NULL) AS gone, sum(CASE WHEN hot.h IS NULL THEN len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) ELSE 0 END) AS words_left
+       FROM lh LEFT JOIN hot ON lh.source IS NOT DISTINCT FROM hot.source AND lh.h = hot.h GROUP BY r),
+b AS (SELECT d.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{_GAP}+', '', 'g')) AS BIGINT) AS word_chars,
+      CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+      coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, st.gone AS n_common_lines, CAST(st.words_left AS BIGINT) AS words_left
+      FROM d JOIN w ON d.r = w.r JOIN st ON d.r = st.r LEFT JOIN dup ON d.r = dup.r LEFT JOIN rep ON d.r = rep.r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND words_left >= {line_quality.MIN_LEFT} * n_words AS kept, n_common_lines, words_left FROM b
+"""
+
+SQL["op4_url_globs"] = r"""
+WITH u AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+  WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM h)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN path <> '' AND regexp_matches(host, 'cheap-pills|free-bets|adult-|casino') THEN 'block'
+  WHEN regexp_matches(path, '(?s)/wp-login[^/]*$|/[^/]*[.]exe$') THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
+_CONTROL = "'</s>[INST] ok [/INST]'"
+SQL["op6_chat_parts"] = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', {_CONTROL} UNION ALL SELECT -1, 1, 'assistant', {_CONTROL}),
+e AS (SELECT *, length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;')) + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;')) AS n FROM t),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+  coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss, sum(n + {len(chat_parts.TURN + chat_parts.BODY + chat_parts.END)}) AS chars FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars, 0::BIGINT AS n_attachments FROM g
+"""
+
+SQL["op10_fair_mix"] = rf"""
+WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS DOUBLE) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS weight, 2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS budget FROM s),
+l AS (SELECT *, cap / weight < (budget - coalesce(sum(cap) OVER e, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER e, 0)) AS is_out FROM w
+  WINDOW e AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, (budget - coalesce(sum(cap) FILTER (WHERE is_out) OVER (), 0)) / sum(weight) FILTER (WHERE NOT is_out) OVER () AS cut FROM l),
+t AS (SELECT *, CASE WHEN is_out OR cut IS NULL THEN cap ELSE least(weight * cut, cap) END AS target FROM c),
+x AS (SELECT d.*, CAST(t.source_size AS BIGINT) AS source_size, target,
+  CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST(greatest(0, least(size, CAST(round(target) AS BIGINT) - before)) + greatest(0, least(size, CAST(round(target) AS BIGINT) - before - source_size)) AS BIGINT) AS taken,
+source, CASE WHEN target > 0 THEN (before + size) / target END AS finish FROM x
+"""
