@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunetable.llm.components import component_roots
+from tunetable.operators.skew import join_unique
 from tunetable.session import settle
 
 DISTANCE = 3
@@ -191,7 +192,7 @@ def near_duplicates(df: DataFrame, ident: str = "doc_id", text: str = "text", sh
     """
     rows = df.select(F.col(ident).alias("ident"), F.col(text).alias("text"))
     prints = settle(with_fingerprint(rows, "text", shingle))
-    apart = settle(prints.groupBy("fingerprint").agg(F.min("ident").alias("least")))
+    apart = settle(prints.groupBy("fingerprint").agg(F.min("ident").alias("least"), F.count("*").alias("rows")))
     roots = component_roots(links(apart.select("fingerprint"), distance))
     return _attach(prints, apart, settle(roots)).withColumnRenamed("ident", ident)
 
@@ -201,9 +202,10 @@ def _attach(prints: DataFrame, apart: DataFrame, roots: DataFrame) -> DataFrame:
     groups = linked.groupBy("root").agg(F.min("least").alias("component"))
     known = linked.select("fingerprint", "root").join(groups, "root").select(F.col("fingerprint").alias("node"), "component")
     table = apart.join(known, F.col("fingerprint") == F.col("node"), "left").select(
-        F.col("fingerprint").alias("of"), F.coalesce("component", "least").alias("component")
+        "fingerprint", F.coalesce("component", "least").alias("component"), "rows"
     )
-    return prints.join(table, F.col("fingerprint") == F.col("of")).select("ident", "fingerprint", "component")
+    # Rows of a fingerprint that many copies share are spread.
+    return join_unique(prints, table, ["fingerprint"], "rows", ["component"])
 
 
 def hex_print(value: Column) -> Column:
