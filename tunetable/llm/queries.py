@@ -20,6 +20,7 @@ from tunetable.llm import (
     virtual_slots,
 )
 from tunetable.llm.text import whole, word_count
+from tunetable.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -73,7 +74,8 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    # Stored, so that the texts are read once.
+    docs = settle(table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size")))
     mix = fair_mix.served(docs.withColumn("row", F.lit(True)))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "finish").orderBy("finish", "doc_id")
 
