@@ -6,9 +6,11 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from tests.llm.data import awkward, documents, prose
 from tunetable.llm import pii_crf as pc
 from tunetable.llm import secret_owners as so
+from tunetable.llm.queries import QUERIES
 
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
@@ -151,5 +153,22 @@ def test_held_out_labels(spark):
     assert right > 100 and right / (right + wrong) > 0.95
 
 
-def test_hash_of_spans():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+def test_pii_query(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = QUERIES["op8_pii_crf"](spark, SF).collect()
+    assert len(got) == len(texts)
+    some = 0
+    for r in got:
+        want = base_pii(texts[r["doc_id"]])
+        said = ",".join(f"{pc.KINDS[k]}:{a}:{b}" for k, a, b in want)
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(k == n for k, _, _ in want) for n in range(4)]
+        assert r["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+        assert set(said.split(",")) - {""} <= set(r["spans"].split(","))
+        some += bool(want)
+    assert some
+
+
+def test_counts_differ_by_kind(spark, tmp_path):
+    documents(spark, [(1, "1.2.3.4 and 5.6.7.8 and a@b.c", "s")]).write.parquet(str(tmp_path / "documents.parquet"))
+    r = QUERIES["op8_pii_crf"](spark, str(tmp_path)).first()
+    assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (1, 2, 0, 0)

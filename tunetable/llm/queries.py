@@ -144,7 +144,8 @@ def op8_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     say = lambda spans: F.array_join(
         F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ","
     )
-    kinds = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii_crf.KINDS)]
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    kinds = [count(k).alias(f"n_{name}") for k, name in enumerate(pii_crf.KINDS)]
     return found.select(
         "doc_id", *kinds, F.sha2(say(F.col("base")), 256).alias("base_sha256"), say(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added")
     )
