@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunetable.functions.objectives import divergence_term
+from tunetable.functions.objectives import backward_scan, divergence_term
 from tunetable.functions.render import common_prefix_length
-from tunetable.operators.ordering import rank_within, running_totals
+from tunetable.operators.ordering import rank_within
 from tunetable.operators.skew import join_unique, with_group_stats
 from tunetable.session import settle
 
@@ -44,40 +44,45 @@ def first_teacher_ids(matched: DataFrame) -> DataFrame:
     return matched.groupBy("student_id").agg(F.min("teacher_id").alias("teacher_id"))
 
 
-def piece_ends(pieces: DataFrame, seq: str) -> DataFrame:
-    """Long form with the text length up to and including each piece."""
-    n = F.length("piece")
-    return running_totals(pieces, ["pos"], {"end": n.cast("long")}, [seq], inclusive=True)
-
-
 def alignment_groups(student: DataFrame, teacher: DataFrame, seq: str) -> DataFrame:
     """Group number of every position on both sides: ``(seq, side, pos, group)``.
 
     Inputs are ``(seq, pos, piece)``. A boundary is a text length where pieces of both
     sides end and the texts so far are equal; what follows the last boundary is one group.
+    A sequence becomes one row, so one shuffle brings both sides together.
     """
-    # Read for the texts, the boundaries and the groups, so written once.
-    ends = [settle(piece_ends(df.select(seq, "pos", "piece"), seq)) for df in (student, teacher)]
-    shared = _shared_boundaries(*ends, seq)
-    parts = []
-    for side, df in zip(("student", "teacher"), ends, strict=True):
-        marked = df.join(shared, [seq, "end"], "left").select(seq, "pos", F.coalesce("_b", F.lit(0)).alias("_b"))
-        # A piece belongs to the group its boundary closes: boundaries strictly before it.
-        grouped = running_totals(settle(marked), ["pos"], {"group": F.col("_b").cast("long")}, [seq])
-        parts.append(grouped.select(seq, F.lit(side).alias("side"), "pos", "group"))
-    return parts[0].unionByName(parts[1])
-
-
-def _shared_boundaries(student: DataFrame, teacher: DataFrame, seq: str) -> DataFrame:
-    """Text lengths where both sides end a piece, up to the first difference of their texts."""
-    text = lambda df, name: df.groupBy(seq).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x.piece), "").alias(name)
-    )
-    texts = text(student, "a").join(text(teacher, "b"), seq)
-    same = texts.select(seq, common_prefix_length(F.col("a"), F.col("b")).alias("_same"))
-    s_ends, t_ends = (df.filter(F.length("piece") > 0).select(seq, "end").distinct() for df in (student, teacher))
-    both = s_ends.join(t_ends, [seq, "end"])
-    return both.join(same, seq).filter(F.col("end") <= F.col("_same")).select(seq, "end", F.lit(1).alias("_b"))
+    part = lambda df, side: df.select(seq, F.lit(side).alias("side"), F.struct("pos", "piece").alias("p"))
+    of = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, F.col("p")))).alias(side)
+    rows = part(student, "student").unionByName(part(teacher, "teacher")).groupBy(seq).agg(of("student"), of("teacher"))
+    text = lambda side: F.array_join(F.transform(side, lambda x: x.piece), "")
+    rows = rows.withColumns({"_s": _ends("student"), "_t": _ends("teacher"), "_same": common_prefix_length(text("student"), text("teacher"))})
+    shared = F.filter(F.array_intersect("_s", "_t"), lambda e: (e > 0) & (e <= F.col("_same")))
+    rows = rows.withColumn("_shared", shared)
+
+    def placed(side: str, ends: str) -> Column:
+        group = lambda i: _count_below(F.col("_shared"), F.get(ends, i)).alias("group")
+        return F.transform(side, lambda x, i: F.struct(F.lit(side).alias("side"), x.pos.alias("pos"), group(i)))
+
+    return rows.select(seq, F.inline(F.concat(placed("student", "_s"), placed("teacher", "_t"))))
+
+
+def _ends(side: str) -> Column:
+    """Text length up to and including each piece."""
+    widths = F.transform(side, lambda x: F.length(x.piece).cast("double"))
+    return F.transform(F.reverse(backward_scan(F.reverse(widths), 1.0)), lambda e: e.cast("long"))
+
+
+def _count_below(ascending: Column, bound: Column) -> Column:
+    """How many entries are below the bound, found by halving."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(ascending) + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), F.size(ascending).alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s.low + s.high) / 2).cast("int")
+        below = (s.low < s.high) & (F.get(ascending, mid) < bound)
+        return F.struct(F.when(below, mid + 1).otherwise(s.low).alias("low"), F.when(below, s.high).otherwise(F.greatest(s.low, F.least(mid, s.high))).alias("high"))
+
+    return F.aggregate(steps, start, halve, lambda s: s.low.cast("long"))
 
 
 def merge_group_logps(logps: DataFrame, groups: DataFrame, seq: str, value: str) -> DataFrame:
