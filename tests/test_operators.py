@@ -451,3 +451,36 @@ def test_null_and_repeated_keys_lose_nothing(spark):
 def test_small_test_shares_are_not_empty(spark):
     _, test = splits.fraction_split(spark.range(200_000), splits.hash_slot("id", 3), 0.0005)
     assert 50 < test.count() < 200
+
+
+def test_running_baseline_weighs_batches_alike(spark):
+    df = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, None), (2, 8.0), (4, 2.0), (4, 2.0), (4, 5.0)], "b long, v double")
+    got = {r.b: (r.rows, r.baseline) for r in metrics.running_baseline(df, "b", "v").collect()}
+    assert got == {0: (2, 2.0), 1: (1, 2.0), 2: (1, 5.0), 4: (3, pytest.approx(13 / 3))}
+    none = spark.createDataFrame([(0, None)], "b long, v double")
+    assert metrics.running_baseline(none, "b", "v").first().baseline is None
+
+
+@pytest.mark.parametrize("weights", [None, (0.25, 0.5)])
+def test_dense_hybrid_loss(spark, weights):
+    p = np.array([[0.5, 0.2, 0.2, 0.1], [0.1, 0.3, 0.2, 0.4]])  # tokens 0, 1 shared; 2, 3 the student's
+    q = np.array([[0.3, 0.4, 0.3], [0.6, 0.2, 0.2]])  # tokens 0, 1 shared; 4 the teacher's
+    rows = lambda a, names: [(k, t, float(a[k, i])) for k in range(2) for i, t in enumerate(names)]
+    student = spark.createDataFrame(rows(p, [0, 1, 2, 3]), "k long, token long, p double")
+    teacher = spark.createDataFrame(rows(q, [0, 1, 4]), "k long, token long, p double")
+    vocabulary = spark.createDataFrame([(t, 2, t < 2) for t in range(5)], "token long, n long, shared boolean")
+    mix = (p[:, :2] + q[:, :2]) / 2
+    matched = (0.5 * p[:, :2] * np.log(p[:, :2] / mix) + 0.5 * q[:, :2] * np.log(q[:, :2] / mix)).sum() / 2
+    own = (np.sort(p[:, 2:])[:, ::-1] - np.pad(q[:, 2:], ((0, 0), (0, 1)))).__abs__().sum() / 2
+    a, b = weights or (2 / 3, 1 / 3)
+    row = align.hybrid_loss(
+        student, teacher, vocabulary, ["k"], 0.5, weights, teacher_tokens=F.lit(3), matched_tokens=F.lit(2), dense=True
+    ).first()
+    assert (row.matched_loss, row.unmatched_loss, row.loss) == pytest.approx((matched, own, a * matched + b * own))
+
+
+def test_fill_tail_over_a_vocabulary(spark):
+    df = spark.createDataFrame([(0, "a", 0, 0.5), (0, "b", 1, 0.25), (0, "c", 7, 0.2), (1, "a", 0, 1.0)], "k long, token string, token_id int, p double")
+    rows = align.fill_tail(df.withColumn("logp", F.log("p")), ["k"], "token", F.lit(5)).orderBy("k").collect()
+    assert rows[0].tail_logp == pytest.approx(math.log(0.25 / 3))  # id 7 is out of range
+    assert rows[1].tail_logp is None

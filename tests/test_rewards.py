@@ -7,6 +7,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+from tests.conftest import SF
+from tunetable import udf
 from tunetable.functions import objectives as O
 from tunetable.functions import rewards as R
 
@@ -213,3 +216,37 @@ def test_divergence_ends(spark):
 )
 def test_answers_in_boxes(one, text, gold, want):
     assert one(r=R.answer_accuracy(F.lit(text), F.lit(gold))).r == want
+
+
+def test_rank_judge_is_not_told_the_places(spark):
+    texts = [["bb", "a", "cccc", "ddd"], [], ["only"]]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, texts array<string>").withColumn("p", F.lit("?"))
+    order = R.shown_order(F.col("texts"), "k")
+    df = df.withColumn("order", order).withColumn("shown", R.in_order(F.col("texts"), F.col("order")))
+
+    def make():
+        return lambda prompts, lists: [sorted(range(len(c)), key=lambda i: -len(c[i])) for c in lists]
+
+    rows = udf.rank_rows(df, make, "p", "shown").withColumn("own", R.own_places(F.col("ranks"), F.col("order"))).orderBy("k").collect()
+    assert [r.own for r in rows] == [[2, 3, 0, 1], [], [0]]
+    assert [sorted(r.shown) for r in rows] == [sorted(t) for t in texts]
+
+
+def test_binary_judge_with_and_without_gold(spark):
+    df = spark.createDataFrame([("p", "yes", "yes"), ("p", "no", "yes"), ("p", None, "yes")], "p string, c string, g string")
+
+    def make():
+        return lambda prompts, given, gold=None: [-1 if c is None else int(gold is None or c == g) for c, g in zip(given, gold or given)]
+
+    assert [r.satisfied for r in udf.binary_rows(df, make, "p", "c", "g").collect()] == [1, 0, -1]
+    assert [r.satisfied for r in udf.binary_rows(df, make, "p", "c").collect()] == [1, 1, -1]
+
+
+def test_fitted_weights_follow_the_formula(spark):
+    rows = queries()["fitted_classifier_losses"](spark, SF).collect()
+    assert {r.desirable for r in rows} == {True, False}
+    for r in rows:
+        weight = 1.0 if r.p is None else min(max(r.p / (1 - r.p + 1e-8), 0.5), 10.0)
+        sign = 1 if r.desirable else -1
+        loss = math.log1p(math.exp(-sign * (r.r - r.delta))) * (1 if r.desirable else weight)
+        assert r.weight == pytest.approx(weight) and r.loss == pytest.approx(loss)

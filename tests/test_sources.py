@@ -80,3 +80,15 @@ def test_no_stray_names():
 
     assert all(n.replace("_", "").isalnum() and not n.startswith("op") for n in plans.QUERIES)
     json.dumps(entry.oracle_sql())
+
+
+def test_inputs_are_spread_by_the_setting_alone(spark):
+    df = spark.range(10)
+    before = spark.conf.get("tunetable.input.partitions")
+    try:
+        spark.conf.set("tunetable.input.partitions", "3")
+        assert scan.spread(df, "id").rdd.getNumPartitions() == 3
+        spark.conf.unset("tunetable.input.partitions")
+        assert scan.spread(df, "id") is df
+    finally:
+        spark.conf.set("tunetable.input.partitions", before)

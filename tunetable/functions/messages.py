@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunetable.functions.binding import let
+from tunetable.functions.objectives import running_sum
 from tunetable.schema import share_columns
 
 
@@ -181,6 +182,62 @@ def image_blocks(messages: Column, images: Column) -> Column:
         .otherwise(out)
     )
 
+def prepared_image_blocks(messages: Column, images: Column) -> Column:
+    """``role, content`` with blocks, from messages that may be prepared already.
+
+    A message has ``role``, ``content`` (a text) and ``blocks`` (``type, text``; NULL unless prepared).
+    Texts become blocks, and the placeholders of all images stand before the first user text. Then the
+    placeholders, given or new, get the images in order. A role other than system, user and
+    assistant is an error, and so is any other number of placeholders than of images.
+    """
+    block = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.cast("string").alias("text"))
+    first = first_index(messages, lambda m: (m.role == "user") & m.blocks.isNull())
+    slots = F.transform(images, lambda i: block("image", F.lit(None)))
+
+    def as_blocks(m: Column, here: Column) -> Column:
+        own = F.transform(m.blocks, lambda b: F.struct(b.type.alias("type"), b.text.alias("text")))
+        text = F.array(block("text", m.content))
+        return F.when(m.blocks.isNotNull(), own).when(here, F.concat(slots, text)).otherwise(text)
+
+    wrapped = let(first, lambda at: F.transform(messages, lambda m, i: F.struct(m.role.alias("role"), as_blocks(m, i + 1 == at).alias("content"))))
+    is_image = lambda b: F.when(b.type == "image", 1.0).otherwise(0.0)
+    known = F.forall(messages, lambda m: m.role.isin("system", "user", "assistant"))
+
+    def filled(w: Column) -> Column:
+        # The number of an image counts the placeholders up to it, over the blocks of all messages.
+        seen = running_sum(F.flatten(F.transform(w, lambda m: F.transform(m.content, is_image))))
+        ends = running_sum(F.transform(w, lambda m: F.size(m.content).cast("double")))
+        part = lambda b, at, s: F.struct(
+            b.type.alias("type"), b.text.alias("text"),
+            F.when(b.type == "image", F.get(images, F.get(s, at).cast("int") - 1)).cast("string").alias("image_ref"),
+        )
+        place = lambda m, i, e, s: F.transform(m.content, lambda b, j: part(b, (F.get(e, i) - F.size(m.content)).cast("int") + j, s))
+        done = let(
+            F.struct(seen.alias("seen"), ends.alias("ends")),
+            lambda x: F.struct(
+                F.coalesce(F.try_element_at(x.seen, F.lit(-1)), F.lit(0.0)).alias("slots"),
+                F.transform(w, lambda m, i: F.struct(m.role.alias("role"), place(m, i, x.ends, x.seen).alias("content"))).alias("messages"),
+            ),
+        )
+        return let(
+            done,
+            lambda d: F.when(d.slots == F.size(images), d.messages).otherwise(
+                F.raise_error(F.concat(F.size(images).cast("string"), F.lit(" images for "), d.slots.cast("int").cast("string"), F.lit(" placeholders")))
+            ),
+        )
+
+    checked = F.when(known, wrapped).otherwise(F.raise_error(F.lit("messages may only have the roles system, user and assistant")))
+    return let(checked, filled)
+
+
+def rename_image_blocks(messages: Column, kind: str = "image_pil") -> Column:
+    """Image blocks under another name, as some engines want: both the type and the field of the image."""
+    part = lambda b: F.struct(
+        F.when(b.type == "image", F.lit(kind)).otherwise(b.type).alias("type"), b.text.alias("text"), b.image_ref.alias(kind)
+    )
+    return F.transform(messages, lambda m: F.struct(m.role.alias("role"), F.transform(m.content, part).alias("content")))
+
+
 
 def content_filter(df: DataFrame, messages: str, max_chars: int) -> DataFrame:
     """Rows whose messages have at most ``max_chars`` characters together."""

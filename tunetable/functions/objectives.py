@@ -340,6 +340,12 @@ def backward_scan(deltas: Column, decay: float) -> Column:
     return F.reverse(let(F.reverse(deltas), scan))
 
 
+def running_sum(values: Column) -> Column:
+    """Sums up to and including each entry of a list of doubles."""
+    return F.reverse(backward_scan(F.reverse(values), 1.0))
+
+
+
 def generalised_advantage(rewards: Column, values: Column, gamma: float, lam: float) -> tuple[Column, Column]:
     """Token-level advantages and returns."""
     deltas = let(

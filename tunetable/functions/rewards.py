@@ -154,6 +154,22 @@ def unflip(rank: Column, flip: Column) -> Column:
     return F.when(rank == -1, -1).when(flip, F.lit(1) - rank).otherwise(rank)
 
 
+def shown_order(candidates: Column, *keys: Column | str) -> Column:
+    """A reproducible shuffle of the candidates' places, against a judge's bias for a position."""
+    n = F.size(candidates)
+    drawn = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.xxhash64(*keys, i).alias("h"), i.alias("i")))
+    return F.when(n > 0, F.transform(F.array_sort(drawn), lambda x: x.i)).otherwise(F.array().cast("array<int>"))
+
+
+def in_order(candidates: Column, order: Column) -> Column:
+    return F.transform(order, lambda i: F.get(candidates, i))
+
+
+def own_places(ranks: Column, order: Column) -> Column:
+    """Ranks given to shuffled candidates, as places in the list before the shuffle."""
+    return F.transform(ranks, lambda r: F.get(order, r))
+
+
 def soft_preference(score0: Column, score1: Column, temperature: float = 1.0) -> Column:
     """Probability that the first of two is better."""
     return F.lit(1.0) / (F.lit(1.0) + F.exp((score1 - score0) / F.lit(float(temperature))))

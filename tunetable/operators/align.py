@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunetable.functions.objectives import backward_scan, divergence_term
+from tunetable.functions.objectives import divergence_term, running_sum
 from tunetable.functions.render import common_prefix_length
 from tunetable.operators.ordering import rank_within
 from tunetable.operators.skew import join_unique, with_group_stats
@@ -69,7 +69,7 @@ def alignment_groups(student: DataFrame, teacher: DataFrame, seq: str) -> DataFr
 def _ends(side: str) -> Column:
     """Text length up to and including each piece."""
     widths = F.transform(side, lambda x: F.length(x.piece).cast("double"))
-    return F.transform(F.reverse(backward_scan(F.reverse(widths), 1.0)), lambda e: e.cast("long"))
+    return F.transform(running_sum(widths), lambda e: e.cast("long"))
 
 
 def _count_below(ascending: Column, bound: Column) -> Column:
@@ -142,6 +142,7 @@ def hybrid_loss(
     weights: tuple[float, float] | None = None,
     teacher_tokens: Column | None = None,
     matched_tokens: Column | None = None,
+    dense: bool = False,
 ) -> DataFrame:
     """Divergence on shared tokens plus sorted L1 on the others.
 
@@ -150,6 +151,9 @@ def hybrid_loss(
     tokens with the student's best ``k``. ``vocabulary`` is ``(token, n, shared)`` over
     the tokens of both, ``n`` saying how frequent a token is. Without ``weights`` the
     matched share of the teacher's vocabulary decides.
+
+    With ``dense`` the teacher lists all tokens of its vocabulary at every position: nothing is cut to
+    the teacher's ``k``, the shorter side is filled with 0, and sums are divided by the number of positions.
     """
     eps = 1e-8
     keys = list(keys)
@@ -163,6 +167,13 @@ def hybrid_loss(
     matched = both.filter("shared AND q > 0").groupBy(*keys).agg(F.sum(term).alias("x"))
 
     own = both.filter("NOT shared")
+    if dense:
+        sides = [own.filter(F.col(c) > 0).select(*keys, "token", F.col(c).alias("p")) for c in ("p", "q")]
+        unmatched = sorted_l1(*sides, keys, "p")
+        positions = student.select(*keys).distinct().agg(F.count("*").alias("n")).scalar()
+        total = lambda df, c: df.agg(F.coalesce(F.try_divide(F.sum(c), positions), F.lit(0.0)).alias("x"))
+        out = total(matched, "x").select(F.col("x").alias("matched_loss")).withColumn("unmatched_loss", total(unmatched, "l1").scalar())
+        return _weighted(out, weights, teacher_tokens, matched_tokens)
     ranked = lambda value: rank_within(
         own.filter(F.col(value) > 0).select(*keys, "token", value), keys, [F.desc(value), "token"], "_rank"
     ).drop("token")
@@ -174,12 +185,16 @@ def hybrid_loss(
 
     mean = lambda df, name: df.agg(F.coalesce(F.avg("x"), F.lit(0.0)).alias(name))
     out = mean(matched, "matched_loss").withColumn("unmatched_loss", mean(unmatched, "u").scalar())
+    return _weighted(out, weights, teacher_tokens, matched_tokens)
+
+
+def _weighted(out: DataFrame, weights: tuple[float, float] | None, teacher_tokens: Column | None, matched_tokens: Column | None) -> DataFrame:
     share = F.lit(float(weights[0])) if weights else matched_tokens / F.greatest(teacher_tokens, F.lit(1))
     rest = F.lit(float(weights[1])) if weights else 1 - share
     return out.withColumn("loss", share * F.col("matched_loss") + rest * F.col("unmatched_loss"))
 
 
-def fill_tail(dists: DataFrame, keys: Sequence[str], order: str, vocab_size: int) -> DataFrame:
+def fill_tail(dists: DataFrame, keys: Sequence[str], order: str, vocab_size: int | Column) -> DataFrame:
     """Log-prob of each absent id in a partial distribution, stored once per position.
 
     Ids out of range are dropped, and of a repeated id the first is kept. ``tail_logp``
@@ -189,7 +204,8 @@ def fill_tail(dists: DataFrame, keys: Sequence[str], order: str, vocab_size: int
     kept = ranged.groupBy(*keys, "token_id").agg(F.min_by("logp", order).alias("logp"))
     mass = F.least(F.sum(F.exp("logp")), F.lit(1.0))
     tails = kept.groupBy(*keys).agg(mass.alias("mass"), F.count("*").alias("n_ids"))
-    left = (1 - F.col("mass")) / F.nullif(vocab_size - F.col("n_ids"), F.lit(0))
+    size = F.lit(vocab_size) if isinstance(vocab_size, int) else vocab_size
+    left = (1 - F.col("mass")) / F.nullif(size - F.col("n_ids"), F.lit(0))
     return tails.withColumn("tail_logp", F.when(left > 0, F.log(left)))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,14 @@ def pad_to_longest(df: DataFrame, ids: str, out: str, value: int, keys: list[str
     return df.withColumn(out, pad(F.col(ids), round_up(n, multiple), value, side)).drop("_longest")
 
 
-def flush(df: DataFrame, values: str, mask: str, side: str, keys: list[str] = (), fill: int = 0) -> DataFrame:
-    """Move valid positions to one side and drop columns empty in every row of the batch."""
-    df = df.withColumns({values: valid_only(F.col(values), F.col(mask)), mask: F.filter(mask, lambda m: m == 1)})
+def flush(df: DataFrame, values: str | Sequence[str], mask: str, side: str, keys: list[str] = (), fill: int = 0) -> DataFrame:
+    """Move valid positions to one side and drop columns empty in every row of the batch.
+
+    ``values`` names one list column, several, or none: then the mask alone is flushed.
+    """
+    named = [values] if isinstance(values, str) else list(values)
+    valid = {v: valid_only(F.col(v), F.col(mask)) for v in named}
+    df = df.withColumns({**valid, mask: F.filter(mask, lambda m: m == 1)})
     other = "right" if side == "left" else "left"
-    df = pad_to_longest(df, values, values, fill, keys, side=other)
-    return df.withColumn(mask, pad(F.col(mask), F.size(values), 0, other))
+    df = pad_to_longest(df, mask, mask, 0, keys, side=other)
+    return df.withColumns({v: pad(F.col(v), F.size(mask), fill, other) for v in named})

@@ -114,6 +114,17 @@ def running_moments(df: DataFrame, batch: str, value: str) -> DataFrame:
     return run.select(batch, "rows", n.cast("long").alias("count"), (F.col("_centre") + s / n).alias("mean"), F.sqrt(var).alias("std"))
 
 
+def running_baseline(df: DataFrame, batch: str, value: str) -> DataFrame:
+    """``batch, rows, baseline``: the mean of the batch means up to and including each batch.
+
+    Later batches have no part in it, and a batch weighs the same whatever its rows.
+    """
+    means = df.groupBy(batch).agg(F.avg(value).alias("_mean"), F.count("*").alias("rows"))
+    sums = {"_sum": F.coalesce("_mean", F.lit(0.0)), "_seen": F.col("_mean").isNotNull().cast("long")}
+    run = running_totals(means, [batch], sums, inclusive=True)
+    return run.select(batch, "rows", F.try_divide("_sum", "_seen").alias("baseline"))
+
+
 def win_rates(df: DataFrame, winner: str, probability: str | None = None) -> DataFrame:
     """Share of rows the policy (1) wins; failed verdicts (-1) stay in the denominator, and a rate without them."""
     w = F.col(winner)

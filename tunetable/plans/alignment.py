@@ -180,3 +180,33 @@ def hybrid_comparison(spark, sf):
     sizes = vocabulary.agg(F.struct(F.count_if("shared").alias("both"), F.count_if("teacher").alias("teacher")).alias("s")).scalar()
     out = A.hybrid_loss(student, teacher, vocabulary, ["doc_id"], 0.5, teacher_tokens=sizes.teacher, matched_tokens=sizes.both)
     return out.select(*[num(F.col(c)).alias(c) for c in ("matched_loss", "unmatched_loss", "loss")])
+
+
+# Words by their length modulo 16 stand for tokens: 0 to 9 are shared, 10 to 12 the student's, 13 to 15 the teacher's.
+_SQL_DENSE = (
+    f"hw AS (SELECT doc_id, {sql_words('text')} AS w FROM documents WHERE text IS NOT NULL), "
+    "hk AS (SELECT doc_id, w, (len(w) + 1) // 2 AS a, k FROM hw, (SELECT unnest(range(16)) AS k)), "
+    "hp AS (SELECT doc_id, k, (len(list_filter(w[1:a], lambda x: length(x) % 16 = k)) + 1.0::DOUBLE) / (a + 16) AS p, "
+    "(len(list_filter(w[a + 1:], lambda x: length(x) % 16 = k)) + 1.0::DOUBLE) / (len(w) - a + 16) AS q FROM hk)"
+)
+
+
+@query(
+    f"""WITH {_SQL_DENSE}, d AS (SELECT count(DISTINCT doc_id) AS n FROM hp),
+    m AS (SELECT sum(0.3 * p * (ln(p) - ln(0.3 * p + 0.7 * q)) + 0.7 * q * (ln(q) - ln(0.3 * p + 0.7 * q))) / (SELECT n FROM d) AS x FROM hp WHERE k < 10),
+    s AS (SELECT doc_id, p, row_number() OVER (PARTITION BY doc_id ORDER BY p DESC, k) AS r FROM hp WHERE k BETWEEN 10 AND 12),
+    t AS (SELECT doc_id, q, row_number() OVER (PARTITION BY doc_id ORDER BY q DESC, k) AS r FROM hp WHERE k > 12),
+    u AS (SELECT sum(abs(p - q)) / (SELECT n FROM d) AS x FROM s JOIN t USING (doc_id, r))
+    SELECT {sql_num('m.x')} AS matched_loss, {sql_num('u.x')} AS unmatched_loss, {sql_num('0.4 * m.x + 0.6 * u.x')} AS loss FROM m, u"""
+)
+def hybrid_dense(spark, sf):
+    docs = documents(spark, sf, "doc_id", "text").filter("text IS NOT NULL").select("doc_id", words(F.col("text")).alias("w"))
+    sizes = docs.select("doc_id", F.transform("w", lambda x: F.length(x) % 16).alias("w")).withColumn("a", F.ceil(F.size("w") / 2).cast("int"))
+    halves = {"p": F.slice("w", 1, F.col("a")), "q": F.slice("w", F.col("a") + 1, F.size("w"))}
+    rows = sizes.withColumns(halves).select("doc_id", "p", "q", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("token"))
+    share = lambda c: (F.size(F.filter(c, lambda x: x == F.col("token"))) + 1.0) / (F.size(c) + 16)
+    rows = settle(rows.select("doc_id", "token", share("p").alias("p"), share("q").alias("q")))
+    student, teacher = rows.filter("token < 13").select("doc_id", "token", "p"), rows.filter("token < 10 OR token > 12").select("doc_id", "token", F.col("q").alias("p"))
+    vocabulary = rows.groupBy("token").agg(F.count("*").alias("n")).withColumn("shared", F.col("token") < 10)
+    out = A.hybrid_loss(student, teacher, vocabulary, ["doc_id"], 0.7, weights=(0.4, 0.6), dense=True)
+    return out.select(*[num(F.col(c)).alias(c) for c in ("matched_loss", "unmatched_loss", "loss")])

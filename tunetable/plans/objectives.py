@@ -8,7 +8,7 @@ from tunetable.functions import objectives as O
 from tunetable.functions.tokens import IGNORED
 from tunetable.operators import density as D
 from tunetable.operators.align import rank_pairs
-from tunetable.operators.metrics import running_moments, share
+from tunetable.operators.metrics import running_baseline, running_moments, share
 from tunetable.operators.skew import join_unique, with_group_stats
 from tunetable.plans.inputs import (
     SQL_PAIR_LOGPS,
@@ -79,6 +79,25 @@ def pair_losses(spark, sf):
     return df.select("conv_id", *[num(loss(n)).alias(n) for n in O.PAIR_LOSSES])
 
 
+# A training step takes 16 conversations, in the order of their ids.
+_STEP = 16
+
+
+@query(
+    f"""WITH {SQL_PAIR_LOGPS}, m AS (SELECT conv_id // {_STEP} AS step, {BETA} * (avg({_A}) + avg({_B})) / 2 AS m FROM pl GROUP BY 1),
+    b AS (SELECT step, avg(m) OVER (ORDER BY step) AS base FROM m)
+    SELECT conv_id, {sql_num('base')} AS baseline, {sql_num(f"-{sql_ls(f'{BETA} * {_A} - base')} - {sql_ls(f'-({BETA} * {_B} - base)')}")} AS loss
+    FROM pl JOIN b ON conv_id // {_STEP} = step"""
+)
+def running_pair_baseline(spark, sf):
+    df = pair_logps(spark, sf).withColumn("step", F.floor(F.col("conv_id") / _STEP))
+    rewards = [O.implicit_reward(F.col(s), F.col(f"ref_{s}"), BETA) for s in ("chosen", "rejected")]
+    baseline = running_baseline(df.withColumn("reward", (rewards[0] + rewards[1]) / 2), "step", "reward")
+    df = join_unique(df, baseline, ["step"], "rows", ["baseline"])
+    loss = O.pair_loss("bco_pair", *_pair_cols(), beta=BETA, baseline=F.col("baseline"))
+    return df.select("conv_id", num(F.col("baseline")).alias("baseline"), num(loss).alias("loss"))
+
+
 @query(
     f"""WITH {SQL_PAIR_LOGPS}, c AS (SELECT conv_id % 4 AS batch, conv_id, chosen - rejected AS p, ref_chosen - ref_rejected AS q, {_A} AS a, {_B} AS b FROM pl),
     r AS (SELECT batch, row_number() OVER (PARTITION BY batch ORDER BY p, conv_id) AS rp, row_number() OVER (PARTITION BY batch ORDER BY q, conv_id) AS rq,
@@ -191,6 +210,19 @@ def classifier_losses(spark, sf):
     return df.select("conv_id", "turn", num(loss).alias("loss"), num(F.col("delta")).alias("delta"))
 
 
+@query()
+def fitted_classifier_losses(spark, sf):
+    """The classifier objective weighted by the fitted probability of each conversation's prompt vector; 1 without a vector."""
+    vectors = table(spark, sf, "embeddings").withColumn("good", F.col("label") < 5)
+    sample = D.sample_per_class(vectors, "good", F.xxhash64("vec_id", F.lit(11)), 1024)
+    scored = D.density_probability(vectors, D.fit_density(sample, "good", "embedding"), "embedding", "p").select(F.col("vec_id").alias("conv_id"), "p")
+    df = sequence_logps(spark, sf).withColumn("r", BETA * (F.col("policy") - F.col("ref"))).join(scored, "conv_id", "left")
+    baseline = running_moments(df, "turn", "r").select("turn", F.col("mean").alias("delta"), "rows")
+    df = join_unique(df, baseline, ["turn"], "rows", ["delta"]).withColumn("weight", F.coalesce(O.density_ratio_weight(F.col("p"), 0.5, 10.0), F.lit(1.0)))
+    loss = O.classifier_loss(F.col("n") % 2 == 1, F.col("r"), F.col("delta"), F.col("weight"))
+    return df.select("conv_id", "turn", "p", "weight", "r", "delta", (F.col("n") % 2 == 1).alias("desirable"), loss.alias("loss"))
+
+
 @query()
 def density_classifier(spark, sf):
     df = table(spark, sf, "embeddings").withColumn("good", F.col("label") < 5)

@@ -8,13 +8,15 @@ from tunetable import udf
 from tunetable.functions import rewards as R
 from tunetable.functions.tokens import n_words, token_id
 from tunetable.operators.align import fill_tail
-from tunetable.operators.skew import with_group_stats
+from tunetable.operators.skew import join_unique, with_group_stats
+from tunetable.operators.vocab import build_vocabulary, tokens_of
 from tunetable.plans.inputs import (
     SQL_HALVES,
     SQL_MESSAGES,
     SQL_PAIR_LOGPS,
     SQL_ROLLOUTS,
     SQL_TURN_TOKENS,
+    documents,
     half_distributions,
     message_table,
     num,
@@ -25,6 +27,7 @@ from tunetable.plans.inputs import (
     turn_tokens,
 )
 from tunetable.plans.registry import query
+from tunetable.session import settle
 from tunetable.sources.scan import table
 
 _KIND = "length(completion) % 5"
@@ -289,6 +292,48 @@ def judged_pairs_flipped(spark, sf):
     return df.select("group_id", "idx", R.unflip(F.col("shown"), F.col("flip")).alias("verdict"))
 
 
+def _long_first():
+    """A stub rank judge: the longest first, texts of equal length in code-point order, then as shown."""
+    def judge(prompts, lists):
+        return [sorted(range(len(c)), key=lambda i: (-len(c[i]), c[i], i)) for c in lists]
+
+    return judge
+
+
+@query(
+    f"""WITH {SQL_ROLLOUTS}, r AS (SELECT group_id, prompt, completion, row_number() OVER (PARTITION BY group_id ORDER BY idx) - 1 AS place FROM rollouts WHERE completion IS NOT NULL)
+    SELECT group_id, string_agg(CAST(place AS VARCHAR), ',' ORDER BY length(completion) DESC, completion, place) AS ranks,
+    md5(string_agg(completion, chr(31) ORDER BY length(completion) DESC, completion)) AS best_first FROM r GROUP BY group_id"""
+)
+def ranked_candidates(spark, sf):
+    sorted_texts = F.array_sort(F.collect_list(F.struct("idx", "completion")))
+    df = rollouts(spark, sf).filter("completion IS NOT NULL").groupBy("group_id").agg(F.transform(sorted_texts, lambda x: x.completion).alias("texts"))
+    # The group stands for its prompt.
+    df = df.withColumn("prompt", F.col("group_id").cast("string")).withColumn("order", R.shown_order(F.col("texts"), "group_id"))
+    df = df.withColumn("shown", R.in_order(F.col("texts"), F.col("order")))
+    df = udf.rank_rows(udf.rank_rows(df, _long_first, "prompt", "texts"), _long_first, "prompt", "shown", "shown_ranks")
+    best = R.in_order(F.col("texts"), R.own_places(F.col("shown_ranks"), F.col("order")))
+    ranks = F.array_join(F.transform("ranks", lambda r: r.cast("string")), ",")
+    return df.select("group_id", ranks.alias("ranks"), F.md5(F.array_join(best, "\x1f")).alias("best_first"))
+
+
+def _as_long_as_gold():
+    """A stub binary judge: a completion has to be as long as the gold one; without either it cannot say."""
+    def judge(prompts, completions, golds):
+        return [-1 if c is None or g is None else int(len(c) >= len(g)) for c, g in zip(completions, golds, strict=True)]
+
+    return judge
+
+
+@query(
+    f"WITH {SQL_ROLLOUTS}, r AS (SELECT group_id, idx, CASE WHEN idx % 7 <> 3 THEN prompt END AS gold, completion AS c FROM rollouts) "
+    "SELECT group_id, idx, CASE WHEN gold IS NULL OR c IS NULL THEN -1 WHEN length(c) >= length(gold) THEN 1 ELSE 0 END AS satisfied FROM r"
+)
+def binary_judged(spark, sf):
+    df = rollouts(spark, sf).withColumn("gold", F.when(F.col("idx") % 7 != 3, F.col("prompt")))
+    return udf.binary_rows(df, _as_long_as_gold, "prompt", "completion", "gold").select("group_id", "idx", "satisfied")
+
+
 _VOTES = "[CASE WHEN length(completion) > 500 THEN 1 ELSE 0 END, CASE WHEN contains(completion, ',') THEN 1 ELSE 0 END, CASE WHEN contains(completion, chr(10)) THEN 1 WHEN idx > 5 THEN -1 ELSE 0 END]"
 
 
@@ -316,17 +361,21 @@ def missing_end_penalty(spark, sf):
     return turn_tokens(spark, sf).select("group_id", "idx", num(R.missing_end_penalty(reward, F.col("completion_ids"), token_id("."), 1.5)).alias("reward"))
 
 
+_LOGGED = 0.002
+
+
 @query(
-    f"""WITH {SQL_HALVES}, i AS (SELECT doc_id, token, CAST('0x' || substr(md5(token), 1, 4) AS INTEGER) % 600 AS token_id, ln(p) AS logp FROM stu),
-    k AS (SELECT doc_id, token_id, arg_min(logp, token) AS logp FROM i WHERE token_id < 500 GROUP BY doc_id, token_id),
-    t AS (SELECT doc_id, least(sum(exp(logp)), 1.0) AS mass, count(*) AS n_ids FROM k GROUP BY doc_id)
-    SELECT doc_id, n_ids, {sql_num('mass')} AS mass, {sql_num('CASE WHEN round(mass, 9) < 1 AND n_ids < 500 THEN ln((1 - mass) / (500 - n_ids)) END', 4)} AS tail_logp FROM t"""
+    f"""WITH {SQL_HALVES}, v AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS token_id FROM hr GROUP BY token),
+    t AS (SELECT s.doc_id, least(sum(p), 1.0) AS mass, count(DISTINCT token_id) AS n_ids, (SELECT count(*) FROM v) AS size FROM stu s JOIN v USING (token) WHERE p >= {_LOGGED} GROUP BY s.doc_id)
+    SELECT doc_id, n_ids, {sql_num('mass')} AS mass, {sql_num('CASE WHEN round(mass, 9) < 1 AND n_ids < size THEN ln((1 - mass) / (size - n_ids)) END', 4)} AS tail_logp FROM t"""
 )
 def tail_mass(spark, sf):
+    """A log that lists a token from a least probability on, over the vocabulary of all documents."""
     student, _ = half_distributions(spark, sf)
-    token_id = (F.conv(F.substr(F.md5("token"), F.lit(1), F.lit(4)), 16, 10).cast("int") % 600).alias("token_id")
-    df = fill_tail(student.select("doc_id", "token", token_id, F.log("p").alias("logp")), ["doc_id"], "token", 500)
+    vocabulary = settle(build_vocabulary(tokens_of(documents(spark, sf, "doc_id", "text"), "text")))
+    logged = student.filter(F.col("p") >= _LOGGED).withColumn("logp", F.log("p"))
+    ids = join_unique(logged, vocabulary, ["token"], "n", ["id"]).withColumnRenamed("id", "token_id")
+    df = fill_tail(ids, ["doc_id"], "token", vocabulary.agg(F.count("*").alias("n")).scalar())
     # Sums that only differ from 1 by rounding leave no tail.
     tail = F.when(F.round("mass", 9) < 1, F.col("tail_logp"))
     return df.select("doc_id", "n_ids", num(F.col("mass")).alias("mass"), num(tail, 4).alias("tail_logp"))
-

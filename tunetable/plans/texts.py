@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tunetable.functions import messages as M
 from tunetable.functions import tokens as K
-from tunetable.functions.render import append_end, render_chat, render_pair, render_prompt
+from tunetable.functions.render import append_end, calling_chat, render_chat, render_pair, render_prompt
 from tunetable.operators.batches import flush, pad_to_longest
 from tunetable.operators.vocab import build_vocabulary, encode, tokens_of
 from tunetable.plans.datasets import sql_render
@@ -70,6 +70,40 @@ def rendered_chat(spark, sf):
 _P = f"{sql_render('prompt')} || '<|im_start|>assistant' || chr(10)"
 
 
+_TOOL = '{"name":"look_up","parameters":{"n":"integer"}}'
+_CALLS = "m.role = 'assistant' AND length(m.content) % 3 = 0"
+_SQL_CALL = (
+    "'<tool_call>' || chr(10) || '{\"name\":\"look_up\",\"arguments\":{\"n\":' || length(m.content) || '}}' || chr(10) || '</tool_call>'"
+)
+_SQL_WIDE = (
+    "coalesce(array_to_string(list_transform(messages, lambda m: '<|im_start|>' || m.role || CASE WHEN m.role = 'user' AND length(m.content) % 2 = 0 THEN ' ann' ELSE '' END || chr(10) || "
+    f"CASE WHEN {_CALLS} THEN CASE WHEN length(m.content) % 2 = 0 THEN {_SQL_CALL} ELSE m.content || chr(10) || {_SQL_CALL} || chr(10) || {_SQL_CALL} END ELSE m.content END || '<|im_end|>' || chr(10)), ''), '')"
+)
+_SQL_TOOLS = f"'<|im_start|>system' || chr(10) || '# Tools' || chr(10) || chr(10) || '<tools>' || chr(10) || '{_TOOL}' || chr(10) || '</tools><|im_end|>' || chr(10)"
+
+
+@query(
+    f"""WITH {SQL_MESSAGES} SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN '' ELSE {_SQL_TOOLS} END || {_SQL_WIDE} || '<|im_start|>assistant' || chr(10)
+    || CASE WHEN conv_id % 2 = 0 THEN '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) ELSE '' END AS text FROM msgs"""
+)
+def rendered_tool_chat(spark, sf):
+    def wide(m):
+        n = F.length(m.content)
+        call = F.struct(F.lit("look_up").alias("name"), F.concat(F.lit('{"n":'), n.cast("string"), F.lit("}")).alias("arguments"))
+        calls = F.when((m.role == "assistant") & (n % 3 == 0), F.when(n % 2 == 0, F.array(call)).otherwise(F.array(call, call)))
+        return F.struct(
+            m.role.alias("role"),
+            F.when(~(calls.isNotNull() & (n % 2 == 0)), m.content).alias("content"),
+            F.when((m.role == "user") & (n % 2 == 0), F.lit("ann")).alias("name"),
+            calls.alias("tool_calls"),
+        )
+
+    tools = F.when(F.col("conv_id") % 3 != 0, F.array(F.lit(_TOOL))).otherwise(F.array().cast("array<string>"))
+    options = F.when(F.col("conv_id") % 2 == 0, F.create_map(F.lit("enable_thinking"), F.lit("false")))
+    chat = calling_chat(F.transform("messages", wide))
+    return message_table(spark, sf).select("conv_id", render_chat(chat, "im", ask=True, tools=tools, options=options).alias("text"))
+
+
 @query(
     f"""WITH {SQL_PAIRS} SELECT conv_id, {_P} AS prompt, substr({sql_render('prompt || chosen')}, length({_P}) + 1) AS chosen,
     substr({sql_render('prompt || rejected')}, length({_P}) + 1) AS rejected FROM pairs WHERE len(prompt) > 0"""
@@ -289,6 +323,20 @@ def flushed_rows(spark, sf):
     )
 
 
+@query(
+    f"""WITH {SQL_TURN_TOKENS}, v AS (SELECT group_id, idx, {_VALID} AS v, list_filter(list_transform(completion_ids, lambda x, i: CASE WHEN x % 3 <> 0 THEN i ELSE 0 END), lambda i: i > 0) AS w FROM tt),
+    n AS (SELECT *, max(len(v)) OVER (PARTITION BY group_id) AS n FROM v)
+    SELECT group_id, idx, {sql_ids(_run('n - len(v)', '0') + ' || v')} AS ids, {sql_ids(_run('n - len(v)', '0') + ' || w')} AS places,
+    {sql_ids(_run('n - len(v)', '0') + ' || ' + _run('len(v)', '1'))} AS mask FROM n"""
+)
+def flushed_columns(spark, sf):
+    df = turn_tokens(spark, sf).withColumns(
+        {"mask": F.transform("completion_ids", lambda x: F.when(x % 3 != 0, 1).otherwise(0)), "places": F.transform("completion_ids", lambda x, i: i + 1)}
+    )
+    df = flush(df, ["completion_ids", "places"], "mask", "right", ["group_id"], FILL)
+    return df.select("group_id", "idx", show_ids(F.col("completion_ids")).alias("ids"), show_ids(F.col("places")).alias("places"), show_ids(F.col("mask")).alias("mask"))
+
+
 _STOP_ID = K.token_id(".")
 _END = f"CASE WHEN list_contains(completion_ids, {_STOP_ID}) THEN list_position(completion_ids, {_STOP_ID}) ELSE len(completion_ids) END"
 
@@ -352,6 +400,32 @@ def image_placeholders(spark, sf):
     return df.select("conv_id", F.array_join(shown, "\x1f").alias("messages"))
 
 
+@query(
+    f"""WITH {SQL_MESSAGES}, f AS (SELECT conv_id, messages, list_transform(messages, lambda m: m.role) AS r FROM msgs),
+    t AS (SELECT conv_id, unnest(messages) AS m, generate_subscripts(messages, 1) AS i, r FROM f WHERE list_contains(r, 'user')),
+    u AS (SELECT conv_id, i, m.role AS role, 'text(' || m.content || ')' AS text, len(list_filter(r[1:i], lambda x: x = 'user')) AS k FROM t)
+    SELECT conv_id, string_agg(role || '=' || CASE WHEN role <> 'user' OR (k > 1 AND conv_id % 2 = 1) THEN text
+    WHEN conv_id % 2 = 1 THEN 'image_pil(' || conv_id || '/1)+image_pil(' || conv_id || '/2)+' || text
+    WHEN k = 1 THEN 'image_pil(' || conv_id || '/1)+' || text || '+image_pil(' || conv_id || '/2)'
+    ELSE 'image_pil(' || conv_id || '/' || (k + 1) || ')+' || text END, chr(31) ORDER BY i) AS messages FROM u GROUP BY conv_id"""
+)
+def prepared_images(spark, sf):
+    """User turns of even conversations are prepared, with one placeholder more in the first; the others are texts with two images."""
+    m, even = F.col("messages"), F.col("conv_id") % 2 == 0
+    asked = lambda x: x.role == "user"
+    df = message_table(spark, sf).filter(F.exists(m, asked)).withColumn("first", M.first_index(m, asked))
+    block = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.cast("string").alias("text"))
+    slot = block("image", F.lit(None))
+    own = lambda x, i: F.when(i + 1 == F.col("first"), F.array(slot, block("text", x.content), slot)).otherwise(F.array(slot, block("text", x.content)))
+    mixed = F.transform(m, lambda x, i: F.struct(x.role.alias("role"), x.content.alias("content"), F.when(even & asked(x), own(x, i)).alias("blocks")))
+    count = F.when(even, F.size(F.filter(m, asked)) + 1).otherwise(2)
+    images = F.transform(F.sequence(F.lit(1), count), lambda i: F.concat_ws("/", F.col("conv_id").cast("string"), i.cast("string")))
+    blocks = M.rename_image_blocks(M.prepared_image_blocks(mixed, images))
+    part = lambda b: F.concat(b.type, F.lit("("), F.coalesce(b.text, b.image_pil), F.lit(")"))
+    shown = F.transform(blocks, lambda x: F.concat(x.role, F.lit("="), F.array_join(F.transform(x.content, part), "+")))
+    return df.select("conv_id", F.array_join(shown, "\x1f").alias("messages"))
+
+
 @query(f"WITH {SQL_TURN_TOKENS} SELECT group_id, idx, completion_ids[-1] = {_STOP_ID} AS terminated, {sql_ids(f'list_transform(completion_ids, lambda x: CASE WHEN completion_ids[-1] = {_STOP_ID} THEN 1 ELSE 0 END)')} AS mask FROM tt")
 def truncated_rows_masked(spark, sf):
     ids = F.col("completion_ids")

@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 MESSAGES = T.ArrayType(MESSAGE)
+# A message that may call tools or name its speaker; ``arguments`` is JSON text.
+CALL = T.StructType([T.StructField("name", T.StringType()), T.StructField("arguments", T.StringType())])
+CALLING_MESSAGE = T.StructType([*MESSAGE.fields, T.StructField("name", T.StringType()), T.StructField("tool_calls", T.ArrayType(CALL))])
+CALLING_MESSAGES = T.ArrayType(CALLING_MESSAGE)
 
 # The columns that may hold messages, in lookup order.
 MESSAGE_COLUMNS = ("prompt", "chosen", "rejected", "completion", "messages")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+INPUT_PARTITIONS = "tunetable.input.partitions"
 
 
 def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "tunetable") -> SparkSession:
@@ -22,6 +23,8 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "tuneta
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
+    # The test tables are single files, which would be one task each.
+    spark.conf.set(INPUT_PARTITIONS, str(partitions))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunetable.session import INPUT_PARTITIONS
+
 
 def scan(spark: SparkSession, path: str, fmt: str = "parquet", columns: Sequence[str] | None = None, **options) -> DataFrame:
     """Read a table, keeping the named columns."""
@@ -22,12 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table of fewer files than cores, for work that is heavy per row.
+    """Spread the rows over as many partitions as the session's ``tunetable.input.partitions`` names.
 
-    A table with enough input partitions is left as it is.
+    For tables of few files and work that is heavy per row. Unset, as on a cluster, the
+    table's own splits stay and nothing is shuffled; the size of the table never decides.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    parts = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(parts), *keys) if parts else df
 
 
 @dataclass(frozen=True)

@@ -90,6 +90,19 @@ def group_scores(
     return df.groupBy(*keys).applyInPandas(per_group, schema)
 
 
+def _judged(df: DataFrame, make_judge: Callable[[], Callable], inputs: Sequence[str], out: str, returns: T.DataType) -> DataFrame:
+    dtype = "Int32" if isinstance(returns, T.IntegerType) else object
+
+    @F.pandas_udf(returns)
+    def udf(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        judge = make_judge()
+        for columns in batches:
+            given = [[list(x) if hasattr(x, "__len__") and not isinstance(x, str) else x for x in c] for c in columns]
+            yield pd.Series(judge(*given), dtype=dtype)
+
+    return df.withColumn(out, udf(*inputs))
+
+
 def judge_rows(
     df: DataFrame,
     make_judge: Callable[[], Callable[[list, list], Sequence[int]]],
@@ -98,15 +111,30 @@ def judge_rows(
     out: str = "verdict",
 ) -> DataFrame:
     """Verdicts of a judge made once per task; ``completions`` is a text or a list of candidates."""
+    return _judged(df, make_judge, [prompt, completions], out, T.IntegerType())
+
+
+def rank_rows(
+    df: DataFrame,
+    make_judge: Callable[[], Callable[[list, list], Sequence[Sequence[int]]]],
+    prompt: str,
+    completions: str,
+    out: str = "ranks",
+) -> DataFrame:
+    """Ranks of any number of candidates: their 0-based places in the list, the best first."""
+    return _judged(df, make_judge, [prompt, completions], out, T.ArrayType(T.IntegerType()))
 
-    @F.pandas_udf(T.IntegerType())
-    def udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        judge = make_judge()
-        for prompts, answers in batches:
-            given = [list(a) if hasattr(a, "__len__") and not isinstance(a, str) else a for a in answers]
-            yield pd.Series(judge(prompts.tolist(), given), dtype="Int32")
 
-    return df.withColumn(out, udf(prompt, completions))
+def binary_rows(
+    df: DataFrame,
+    make_judge: Callable[[], Callable[..., Sequence[int]]],
+    prompt: str,
+    completion: str,
+    gold: str | None = None,
+    out: str = "satisfied",
+) -> DataFrame:
+    """Whether a completion satisfies a constraint: 1, 0, or -1 if the judge failed. A gold completion may be given."""
+    return _judged(df, make_judge, [prompt, completion, *([gold] if gold else [])], out, T.IntegerType())
 
 
 def apply_scorers(df: DataFrame, scorers: Mapping[str, Callable[[Column, Column], Column]], prompt: str, completion: str) -> DataFrame:
