@@ -172,3 +172,17 @@ def test_counts_differ_by_kind(spark, tmp_path):
     documents(spark, [(1, "1.2.3.4 and 5.6.7.8 and a@b.c", "s")]).write.parquet(str(tmp_path / "documents.parquet"))
     r = QUERIES["op8_pii_crf"](spark, str(tmp_path)).first()
     assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (1, 2, 0, 0)
+
+
+def test_text_of_many_spans_and_a_value_of_most_rows(spark):
+    rng = random.Random(8)
+    token = lambda: "aB3" + "".join(rng.choice("cdEF45_") for _ in range(27))
+    parts = [rng.choice([token(), "token=" + token(), "0123456789abcdef" * 2, "x"]) for _ in range(20000)]
+    rows = [(i, "token = Zq1AAAAAAAAAAAAAAAAAAAAAAAAA9", f"s{i % 3}") for i in range(600)] + [(1000, " ".join(parts), "s9"), (1001, None, None)]
+    got = {r["doc_id"]: r["spans"] for r in so.scan(documents(spark, rows)).collect()}
+    assert len(got) == len(rows) and got[1001] == []
+    assert all([(x["kind"], x["owners"], x["live"]) for x in got[i]] == [("assign", 3, False)] for i in range(600))
+    want = [w[:3] for w in base_secrets(rows[600][1])]
+    assert [(x["start"], ("assign", "access", "hex").index(x["kind"]), x["end"]) for x in got[1000] if x["kind"] != "token"] == want
+    alone = sum(p.startswith("aB3") for p in parts)
+    assert sum(x["kind"] == "token" for x in got[1000]) == alone

@@ -8,8 +8,9 @@ and does not touch a patterned span.
 
 Scale: the texts are scanned once; what is stored and shuffled are offsets and hashes of candidates, never
 texts or values. Ownership is counted in steps that are combined before each shuffle, so
-a value that a third of the corpus copies is a few rows. Offsets come from running sums over a text's
-own hits.
+a value that a third of the corpus copies is a few rows, and the hits of such a value are served
+from a broadcast of the heaviest values (fewer than 10,000) and so stay spread. Offsets and overlaps come
+from running values over a text's own hits, so a long text costs n log n.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunetable.llm.text import whole
+from tunetable.operators.skew import join_unique
 from tunetable.session import settle
 
 # Kinds in the order in which spans of the same start are listed: pattern, group of the value, its least length.
@@ -33,6 +35,7 @@ FREE_FORM = "token"
 # A value held by more owners than this is an example.
 LIVE_OWNERS = 1
 
+SPAN = ("kind", "start", "end", "value", "owners", "repositories", "live")
 _HIT = "array<struct<kind:int,i:int,gap:int,size:int,good:boolean,value:bigint>>"
 
 
@@ -90,27 +93,26 @@ def scan(
     end = F.sum(F.col("gap") + F.col("size")).over(earlier)
     placed = hits.withColumn("end", end).filter("good").withColumn("start", F.col("end") - F.col("size"))
 
-    held = hits.filter("good").groupBy("value", "owner", "repository").agg(F.lit(1).alias("one"))
-    owned = held.groupBy("value", "owner").agg(F.count("*").alias("repositories"))
-    counted = owned.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
-    judged = placed.join(counted, "value").withColumn("live", F.col("owners") <= live_owners)
-    span = F.struct("start", "kind", "end", "value", "owners", "repositories", "live")
-    listed = judged.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("found"))
-
-    all_rows = rows.select("key", "row").join(listed, "row", "left")
-    free = len(KINDS) - 1
-    patterned = F.filter("found", lambda x: x["kind"] < free)
-    names = F.array(*[F.lit(k[0]) for k in KINDS])
-    touches = lambda x: F.exists("patterned", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
-    out = all_rows.withColumn("found", F.coalesce("found", F.array().cast(listed.schema["found"].dataType))).withColumn("patterned", patterned)
-    kept = F.filter("found", lambda x: (x["kind"] < free) | (x["live"] & ~touches(x)))
-    spans = F.transform(
-        kept,
-        lambda x: F.struct(
-            F.get(names, x["kind"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"),
-            x["owners"].alias("owners"), x["repositories"].alias("repositories"), x["live"].alias("live"),
-        ),
-    )
+    # ``rows`` counts the hits of a value, so that those of a widely copied one can be spread.
+    held = hits.filter("good").groupBy("value", "owner", "repository").agg(F.count("*").alias("rows"))
+    owned = held.groupBy("value", "owner").agg(F.count("*").alias("repositories"), F.sum("rows").alias("rows"))
+    counted = owned.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("rows").alias("rows"))
+    judged = join_unique(placed.select("row", "kind", "start", "end", "value"), settle(counted), ["value"], "rows", ["owners", "repositories"])
+    judged = judged.withColumn("live", F.col("owners") <= live_owners)
+
+    # A free-form token touches a patterned span if one that starts no later reaches it, or the next one starts inside it.
+    patterned = F.col("kind") < len(KINDS) - 1
+    up = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy("row").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reach, following = F.max(F.when(patterned, F.col("end"))).over(up), F.min(F.when(patterned, F.col("start"))).over(down)
+    touches = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(following < F.col("end"), F.lit(False))
+    kept = judged.withColumn("touches", touches).filter(patterned | (F.col("live") & ~F.col("touches")))
+
+    name = F.get(F.array(*[F.lit(k[0]) for k in KINDS]), F.col("kind"))
+    span = F.struct("start", F.col("kind").alias("place"), name.alias("kind"), "end", "value", "owners", "repositories", "live")
+    found = kept.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("found"))
+    out = rows.select("key", "row").join(found, "row", "left")
+    spans = F.transform(F.coalesce("found", F.array().cast(found.schema["found"].dataType)), lambda x: F.struct(*[x[c].alias(c) for c in SPAN]))
     return out.select(F.col("key").alias(key), spans.alias("spans"))
 
 
