@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from tunetable.llm.text import short_hash, word_count
 from tunetable.session import settle
 
-BUCKETS = 1024
+# At 30 TB in one source a range holds about 2 GB.
+BUCKETS = 1 << 14
 _HASH_BITS = 60
 
 
