@@ -24,6 +24,7 @@ from tunetable.session import settle
 
 # At 30 TB in one source a range holds about 2 GB.
 BUCKETS = 1 << 14
+BLOCK = 128
 _HASH_BITS = 60
 
 
@@ -86,8 +87,17 @@ def served(
     rows = df.withColumn("_h", short_hash(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     rows = rows.withColumn("_b", F.shiftright("_h", _HASH_BITS - (BUCKETS.bit_length() - 1)))
     sums = settle(rows.groupBy("source", "_b").agg(F.sum("size").alias("size")))
-    earlier = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(F.col("source").alias("_s"), F.col("_b").alias("_sb"), F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("_start"))
+    # What lies before a range: the blocks of ranges before its own, and the ranges before it in its block. No
+    # window sees more than BLOCK rows of a source.
+    before_in = lambda *keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    sum_before = lambda window: F.coalesce(F.sum("size").over(window), F.lit(0))
+    ranges = sums.withColumn("_block", F.floor(F.col("_b") / BLOCK))
+    blocks = ranges.groupBy(F.col("source").alias("_bs"), F.col("_block").alias("_bb")).agg(F.sum("size").alias("size"))
+    blocks = blocks.select("_bs", "_bb", sum_before(before_in("_bs", by="_bb")).alias("_base"))
+    inside_block = ranges.withColumn("_inside", sum_before(before_in("source", "_block", by="_b")))
+    starts = inside_block.join(blocks, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("_block") == F.col("_bb"))).select(
+        F.col("source").alias("_s"), F.col("_b").alias("_sb"), (F.col("_base") + F.col("_inside")).alias("_start")
+    )
     targets = source_targets(sums.select("source", "size"), weights, budget_share, max_epochs).withColumnRenamed("source", "_t")
     # Both hold a row per range or source. Stored, so that Spark knows their size when it joins them.
     plan = settle(starts.join(targets, F.col("_s").eqNullSafe(F.col("_t"))).drop("_t"))
