@@ -78,6 +78,21 @@ def test_common_lines(spark, share):
     assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted((i, t) for i, t, k in want if k)
 
 
+def test_documents_that_share_several_common_lines(spark):
+    """Counted by whole documents: a second common line with a small hash does not hide the first."""
+    rng = random.Random(11)
+    for n, shared, share in ((100, 5, 0.01), (60, 10, 0.5)):
+        boilerplate = ["common part %s" % prose(rng, 6) for _ in range(shared)]
+        rows = [(i, "\n".join([*boilerplate, prose(rng, 12), prose(rng, 12)]), "hot" if i % 2 else None) for i in range(n)]
+        rows += [(1000 + i, rows[1][1].upper(), "hot") for i in range(50)]  # copies count once
+        few = "\n".join(prose(rng, 12) for _ in range(3))
+        rows += [(2000 + i, few, "hot") for i in range(50)]
+        got = {r["row"]["doc_id"]: r for r in lq.judge(documents(spark, rows), line_share=share).collect()}
+        assert all(got[i]["n_common_lines"] == shared for i, _, _ in rows if i < 2000)
+        assert all(got[i]["n_common_lines"] == 0 for i, _, _ in rows if i >= 2000)
+        assert got[1]["clean_text"] == "\n".join(rows[1][1].split("\n")[shared:])
+
+
 def test_empty(spark):
     df = documents(spark, [])
     assert lq.judge(df).count() == 0 and lq.clean_documents(df).count() == 0

@@ -4,13 +4,14 @@ Lines are normalised (lower case, digits to 0, blanks to one space) and hashed.
 host, a line's documents are counted; lines above the limit are removed, and a document
 that loses too much of itself is rejected.
 
-Copies of one document count once: a document is told apart by its *mate*, the smallest
-hash among its other lines. So a line that stands beside ever new text is boilerplate,
-and one that always comes with the same text is part of a copied document, which is the
-matter of near-duplicate detection, not of this rule.
+Copies of one document count once: a document is told apart by the set of all its
+normalised lines. So a line that stands beside ever new text is boilerplate, whatever other
+common lines stand there too, and one that always comes with the same text is part of a copied
+document, which is the matter of near-duplicate detection, not of this rule.
 
 Scale: two scans of the texts. Between them only hashes are shuffled, combined before the
-shuffle, keyed by host, line and mate, so neither a hot host nor a hot line meets in one
+shuffle: a host's different documents by their whole line sets, then its lines with their
+counts, so neither a hot host, a hot line nor a much copied document meets in one
 task. The lines above the limit come back as one row per host.
 """
 
@@ -51,21 +52,13 @@ def _lines(text: Column) -> Column:
 def _common_lines(docs: DataFrame, line_docs: int, line_share: float) -> DataFrame:
     """``host, common``: for each host the hashes of its lines above the limit."""
     hashes = F.array_sort(F.array_distinct(F.array_compact(F.transform(_lines(F.col("text")), line_hash))))
-    held = docs.select("host", hashes.alias("hashes")).select(
-        "host",
-        F.explode(
-            F.transform(
-                "hashes",
-                lambda h, i: F.struct(
-                    h.alias("line"), F.coalesce(F.get("hashes", F.when(i == 0, 1).otherwise(0)), F.lit(-1)).alias("mate"), (i == 0).alias("leads")
-                ),
-            )
-        ).alias("x"),
-    )
-    told_apart = held.select("host", "x.*").groupBy("host", "line", "mate").agg(F.max("leads").alias("leads"))
-    counted = settle(told_apart.groupBy("host", "line").agg(F.count("*").alias("docs"), F.max("leads").alias("leads")))
-    # One row per host: its number of different documents, by their smallest line.
-    hosts = counted.groupBy("host").agg(F.sum(F.col("leads").cast("long")).alias("host_docs")).withColumnRenamed("host", "of")
+    # Different documents of a host. The whole set is the key, so no two of them fall together.
+    different = docs.select("host", hashes.alias("hashes")).distinct()
+    held = different.select("host", F.posexplode("hashes").alias("i", "line"))
+    # Every document has one first line, so these add up to the host's number of different documents.
+    leads = F.sum((F.col("i") == 0).cast("long")).alias("leads")
+    counted = settle(held.groupBy("host", "line").agg(F.count("*").alias("docs"), leads))
+    hosts = counted.groupBy("host").agg(F.sum("leads").alias("host_docs")).withColumnRenamed("host", "of")
     above = (
         counted.filter(F.col("docs") > line_docs)
         .join(hosts, F.col("host").eqNullSafe(F.col("of")))
