@@ -123,6 +123,33 @@ def test_skip_links_carry_labels():
     assert linked[1, 0] > 0.9
 
 
+def test_mentions_are_found_at_every_corpus_size(spark):
+    """Bare mentions of a number whose full form stands in the document, in one mix of documents at two sizes."""
+    plain = lambda rng, n: re.sub("[0-9]", "", prose(rng, n))
+
+    def corpus(times):
+        rng, rows = random.Random(6), []
+        for k in range(times):
+            phone = lambda: ("+1 (%03d) " % rng.randrange(200, 999), "%03d-%04d" % (rng.randrange(200, 999), rng.randrange(9999)))
+            for i in range(2):
+                code, number = phone()
+                rows.append((k * 1000 + i, f"{plain(rng, 9)} {code}{number} {plain(rng, 9)} {number} {plain(rng, 5)}", "s"))
+            for i in range(10, 30):
+                full = "".join(phone())
+                rows.append((k * 1000 + i, f"{plain(rng, 9)} {full} {plain(rng, 9)} {full} {plain(rng, 5)}", "s"))
+            for i in range(100, 150):
+                word = "v%d" % rng.randrange(10, 99)
+                rows.append((k * 1000 + i, f"{plain(rng, 9)} {word} {plain(rng, 9)} {word} {plain(rng, 5)} 4-{i}", "s"))
+        return rows
+
+    for times in (1, 40):
+        rows = corpus(times)
+        got = {r["doc_id"]: [tuple(x) for x in r["added"]] for r in pc.find(documents(spark, rows)).collect()}
+        for i, t, _ in rows:
+            bare = re.search(r"(?<![)] )\b[0-9]{3}-[0-9]{4}", t) if i % 1000 < 2 else None
+            assert got[i] == ([(3, bare.start(), bare.end())] if bare else []), (times, t)
+
+
 def test_beliefs_are_exact_on_a_tree():
     rng = np.random.default_rng(1)
     size = len(pc.LABELS)

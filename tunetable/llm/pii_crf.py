@@ -9,6 +9,7 @@ added span; base spans stay.
 
 Training is piecewise, in closed form: each potential is the smoothed log frequency of labels
 given by the base spans, for each shape, each neighbour pair and each skip pair, counted by Spark over all documents.
+Bare mentions of a base span's token are what the field is to label, so they and their pairs are not counted.
 The tables are bounded by the number of shapes (2^15) times labels.
 
 Scale: texts are read once. Only documents with candidate tokens leave the scan, as short arrays; a
@@ -35,8 +36,11 @@ ROUNDS = 8
 DAMPING = 0.3
 # Belief from which a token is a span.
 CERTAIN = 0.9
-# Count that smooths a shape's label frequencies toward the corpus's.
-SMOOTH = 2.0
+# Share of the corpus's label frequencies in a shape's, and of chance in a label pair's. Shares, so that
+# what is found does not depend on the corpus's size.
+SMOOTH = 0.01
+# Share of a label that no token has.
+RARE = 1e-4
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -158,17 +162,27 @@ def _graph(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     order = np.lexsort((np.arange(len(same)), same, row))
     twin = (row[order][1:] == row[order][:-1]) & (same[order][1:] == same[order][:-1])
     late, early = order[1:][twin], order[:-1][twin]
-    apart = late != early + 1
+    apart = (late != early + 1) | ~np.isin(late, chain)  # neighbours in the text have their chain edge
     return row, shape, label, (chain, chain - 1), (late[apart], early[apart])
 
 
+def _mentions(row: np.ndarray, shape: np.ndarray, same: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Unlabelled tokens equal to a labelled one of their document. One to three digits alone mention nothing."""
+    _, key = np.unique(np.stack((row, same)), axis=1, return_inverse=True)
+    known = np.zeros(len(row), bool)
+    known[key[label > 0]] = True
+    return (label == 0) & known[key] & ((shape >> 12 >= 2) | (shape & 1 == 1))
+
+
 def _counts(found: DataFrame) -> DataFrame:
     """``table, a, b, n``: label counts by shape (table 0), by chain pair (1) and by skip pair (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, shape, label, chain, skip = _graph(batch)
-            parts = [(0, shape, label)] + [(k, label[e[1]], label[e[0]]) for k, e in ((1, chain), (2, skip))]
+            row, shape, label, chain, skip = _graph(batch)
+            sure = ~_mentions(row, shape, batch.column("same").flatten().to_numpy(zero_copy_only=False), label)
+            chain, skip = ((a[both], b[both]) for a, b in (chain, skip) for both in (sure[a] & sure[b],))
+            parts = [(0, shape[sure], label[sure])] + [(k, label[e[1]], label[e[0]]) for k, e in ((1, chain), (2, skip))]
             for kind, a, b in parts:
                 pair, n = np.unique(a.astype(np.int64) * 8 + b, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array((pair >> 3).astype(np.int32)), pa.array((pair & 7).astype(np.int32)), pa.array(n.astype(np.int64))], names=["table", "a", "b", "n"])
@@ -182,17 +196,21 @@ class Model:
 
     def __init__(self, shapes: Mapping[int, np.ndarray], chain: np.ndarray, skip: np.ndarray) -> None:
         size = len(LABELS)
-        total = sum(shapes.values(), np.zeros(size)) + 1.0
-        prior = total / total.sum()
+        prior = self._mixed(sum(shapes.values(), np.zeros(size)), np.full(size, 1 / size), RARE)
         self.unseen = np.log(prior)
-        self.shapes = {s: np.log((c + SMOOTH * prior) / (c.sum() + SMOOTH)) for s, c in shapes.items()}
+        self.shapes = {s: np.log(self._mixed(c, prior)) for s, c in shapes.items()}
         self.chain, self.skip = self._pairs(chain, prior), self._pairs(skip, prior)
 
     @staticmethod
-    def _pairs(counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    def _mixed(counts: np.ndarray, chance: np.ndarray, share: float = SMOOTH) -> np.ndarray:
+        """Frequencies with a share of chance; nothing but chance if nothing was counted."""
+        total = counts.sum()
+        return (1 - share) * counts / total + share * chance if total else chance
+
+    @classmethod
+    def _pairs(cls, counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
         """How much more often two labels meet than by chance, smoothed towards chance, either way round."""
-        both = counts + counts.T + 10 * np.outer(prior, prior)
-        both /= both.sum()
+        both = cls._mixed(counts + counts.T, np.outer(prior, prior))
         side = both.sum(axis=1)
         return np.log(both / np.outer(side, side))
 
