@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -78,3 +79,43 @@ def test_empty(spark):
     assert ss.leaks(documents(spark, []), bench).count() == 0
     assert ss.leaks(documents(spark, rows), bench.limit(0)).count() == 0
     assert ss.without_leaks(documents(spark, rows), bench.limit(0)).count() == len(rows)
+
+
+def rule(doc, item):
+    """The stated rule alone, with no seed condition."""
+    size = min(ss.STRETCH, len(item))
+    for d in range(-len(item), len(doc) + 1):
+        same = [doc[k + d] == w for k, w in enumerate(item) if 0 <= k + d < len(doc)]
+        if item and any(sum(same[k : k + size]) >= ss.SIMILARITY * size - 1e-9 for k in range(len(same) - size + 1)):
+            return True
+    return False
+
+
+def test_masks_miss_no_accepted_pattern():
+    for n in range(5, 41):
+        size = min(n, ss.STRETCH)
+        wrong = int(size * (1 - ss.SIMILARITY) + 1e-9)
+        for bad in itertools.combinations(range(size), wrong):
+            same = [k not in bad for k in range(size)]
+            assert any(all(same[k + j] for j, b in enumerate(m) if b == "1") for m in ss._masks(n) for k in range(size - len(m) + 1)), (n, bad)
+
+
+def test_leaks_follow_the_rule_alone(spark):
+    rng = random.Random(12)
+    items = [(k, prose(rng, k)) for k in range(5, 41)] + [(60, "\u6f22\u5b57\u306e\u554f\u984c\u3067\u3059")]
+    rows = [(1, "x " + items[-1][1] + "\u3002 y", "s"), (2, "\u6f22\u5b57 \u306e\u554f", "s"), (3, "", "s")]
+    for k, t in items[:-1]:
+        words = t.split()
+        for j in range(8):
+            some = list(words)
+            for at in rng.sample(range(k), min(k, j % 5)):
+                some[at] = "other"
+            rows.append((100 * k + j, " ".join(["left"] * (j % 3) + some + ["right"] * (j % 2)), "s"))
+        every = ["other" if i % 6 == 5 else w for i, w in enumerate(words)]
+        rows.append((100 * k + 8, " ".join(["left", *every, "right"]), "s"))
+        rows += [(100 * k + 9 + c, prose(rng, 30) + " " + " ".join(words[:c]), "s") for c in range(11, 16)]
+        rows += [(100 * k + 30 + c, " ".join(words[-c:]) + " " + prose(rng, 30), "s") for c in range(11, 16)]
+    got = {(r["key"], r["item"]) for r in ss.leaks(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    split = tokens
+    docs, bench = [(i, split(t)) for i, t, _ in rows], [(i, split(t)) for i, t in items]
+    assert got == {(i, j) for i, d in docs for j, u in bench if len(u) >= ss.SPAN and set(d) & set(u) and rule(d, u)}

@@ -1,8 +1,9 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A seed is a mask over ``SPAN`` tokens; positions with 0 are ignored, so a substituted word there
-does not change the hash. Every window of every document and benchmark item is hashed under every
-mask. Document windows first pass a Bloom filter of the benchmark's hashes, whose size is fixed;
+A seed is a mask over a few tokens; positions with 0 are ignored, so a substituted word there
+does not change the hash. The masks of an item's length leave no gap: every pattern of equal words that
+the verifier accepts has a hit. Every window of every document is hashed under the masks of all lengths
+that occur in the benchmark, and every window of an item under its own. Document windows first pass a Bloom filter of the benchmark's hashes, whose size is fixed;
 the regions around the hits go through an exact join on the hash, and the overlap along the
 hit's diagonal is verified: some stretch of ``STRETCH`` tokens (the whole item if it is
 shorter) must agree in ``SIMILARITY`` of its tokens or more, position by position.
@@ -18,7 +19,7 @@ more regions, not other results. The joins are left to Spark: small benchmarks a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,15 @@ from pyspark.sql import functions as F
 from tunetable.llm.text import whole
 from tunetable.session import settle
 
-MASKS = ("110110101011", "101101110011", "111010011101", "100111011011")
-SPAN = 12
+# Any SPAN words of which at most one differs: some such stretch is in every pattern that is similar enough.
+MASKS = ("11110", "01111", "11101", "11011", "10111")
+SPAN = 5
+# Heavier masks for the lengths that allow them: any 13 of 16 words, 12 of 15, and 10 of 12 have a hit.
+LONG_MASKS = (
+    (16, ("1110100111", "11101111", "1110000010111", "101100011011", "11110100011")),
+    (15, ("1111011", "11010001011", "1010001000111")),
+    (12, ("11101011", "101100111", "10100011101")),
+)
 STRETCH = 16
 SIMILARITY = 0.8
 BLOOM_BITS = 26
@@ -85,11 +93,18 @@ class _Tokens:
         return h | np.uint64(1)  # 0 stands for no token
 
 
-def _seeds(tokens: np.ndarray) -> Iterator[np.ndarray]:
+def _masks(words: int) -> tuple[str, ...]:
+    """The masks of an item of so many words, each from a 1 to a 1."""
+    if words < SPAN:
+        return ()
+    return next((m for least, m in LONG_MASKS if words >= least), tuple(sorted({m.strip("0") for m in MASKS})))
+
+
+def _seeds(tokens: np.ndarray, masks: Sequence[str]) -> Iterator[np.ndarray]:
     """For each mask the hashes of all windows."""
-    n = len(tokens) - SPAN + 1
-    for k, mask in enumerate(MASKS):
-        total = np.full(n, (k + 1) * 0xD6E8FEB86659FD93 & _MASK64, np.uint64)
+    for mask in masks:
+        n = max(0, len(tokens) - len(mask) + 1)
+        total = np.full(n, int(mask, 2) * 0xD6E8FEB86659FD93 & _MASK64, np.uint64)
         for j, bit in enumerate(mask):
             if bit == "1":
                 total += tokens[j : j + n] * np.uint64(pow(_BASE, 2 * j + 3, 1 << 64))
@@ -125,10 +140,9 @@ def _benchmark_seeds(items: DataFrame) -> tuple[DataFrame, DataFrame]:
         for batch in batches:
             for item, value in zip(batch.column("item"), batch.column("tokens"), strict=True):
                 tokens = np.array(value.as_py(), np.int64).view(np.uint64)
-                if len(tokens) >= SPAN:
-                    for h in _seeds(tokens):
-                        at = pa.array(np.arange(len(h), dtype=np.int32))
-                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([item.as_py()] * len(h), batch.schema.field("item").type), at], names=["seed", "item", "at"])
+                for h in _seeds(tokens, _masks(len(tokens))):
+                    at = pa.array(np.arange(len(h), dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([item.as_py()] * len(h), batch.schema.field("item").type), at], names=["seed", "item", "at"])
 
     kind = items.schema["item"].dataType.simpleString()
     tokens = settle(items.select("item", F.lower(whole(F.col("text"))).alias("text")).mapInArrow(run, f"item {kind}, tokens array<long>"))
@@ -150,20 +164,20 @@ def _bloom(seeds: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _regions(docs: DataFrame, bloom: np.ndarray, bits: int) -> DataFrame:
+def _regions(docs: DataFrame, bloom: np.ndarray, bits: int, masks: Sequence[str]) -> DataFrame:
     """Stretches of the ``key, text`` rows around windows that pass the filter: ``key, start, tokens,
     hits`` with each hit's seed and its place in the stretch."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom)
 
     def found(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, seed = [], []
-        for h in _seeds(tokens):
+        for h in _seeds(tokens, masks):
             one, two = _slots(h, bits)
             hit = np.flatnonzero(_has(shared.value, one))
             hit = hit[_has(shared.value, two[hit])]
             at.append(hit)
             seed.append(h[hit])
-        at, seed = np.concatenate(at), np.concatenate(seed)
+        at, seed = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (at, seed))
         order = np.argsort(at, kind="stable")
         return at[order], seed[order]
 
@@ -174,8 +188,6 @@ def _regions(docs: DataFrame, bloom: np.ndarray, bits: int) -> DataFrame:
             rows: list[dict] = []
             # Texts are hashed together, with a stretch of no tokens between two of them.
             for first, tokens, owner in _joined(batch.column("text"), hashed):
-                if len(tokens) < SPAN:
-                    continue
                 at, seed = found(tokens)
                 if not len(at):
                     continue
@@ -183,7 +195,7 @@ def _regions(docs: DataFrame, bloom: np.ndarray, bits: int) -> DataFrame:
                 for a, s in zip(np.split(at, cuts), np.split(seed, cuts), strict=True):
                     doc = owner[a[0]]
                     low, high = np.searchsorted(owner, doc), np.searchsorted(owner, doc, "right")
-                    start, end = max(low, a[0] - STRETCH), min(high, a[-1] + SPAN + STRETCH)
+                    start, end = max(low, a[0] - STRETCH), min(high, a[-1] + 2 * STRETCH)
                     rows.append({"key": batch.column("key")[first + int(doc)].as_py(), "start": int(start - low), "tokens": tokens[start:end].view(np.int64), "hits": [{"seed": int(x), "at": int(p - start)} for x, p in zip(s.view(np.int64), a, strict=True)]})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -274,7 +286,10 @@ def leaks(
     """
     items, seeds = _benchmark_seeds(benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text")))
     bloom = _bloom(seeds, bloom_bits)
-    regions = settle(_regions(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), bloom, bloom_bits).withColumn("region", F.monotonically_increasing_id()))
+    # Only masks of lengths that occur: a number of rows that does not grow with the benchmark.
+    lengths = [r[0] for r in items.select(F.least(F.size("tokens"), F.lit(STRETCH)).alias("n")).distinct().collect()]
+    masks = sorted({m for n in lengths for m in _masks(n)})
+    regions = settle(_regions(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), bloom, bloom_bits, masks).withColumn("region", F.monotonically_increasing_id()))
     hits = regions.select("region", F.explode("hits").alias("hit")).select("region", "hit.*")
     met = hits.withColumnRenamed("at", "doc_at").join(seeds, "seed")
     pairs = met.groupBy("region", "item").agg(F.collect_set(F.col("doc_at") - F.col("at")).alias("diagonals"))
