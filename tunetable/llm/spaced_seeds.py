@@ -9,8 +9,8 @@ hit's diagonal is verified: some stretch of ``STRETCH`` tokens (the whole item i
 shorter) must agree in ``SIMILARITY`` of its tokens or more, position by position.
 
 Tokens are runs of letters, digits and any non-ASCII characters, lower-cased, so case, white space
-and ASCII punctuation do not hide a passage. Items with fewer than ``SPAN`` tokens are too
-short to prove a leak and are not searched.
+and ASCII punctuation do not hide a passage. Characters of scripts without blanks are a token each. Items
+with fewer than ``SPAN`` tokens may not differ in any, so their one seed is the whole item.
 
 Scale: the documents are read once and only regions with a hit leave the scan. What each task
 holds besides is the Bloom filter (``BLOOM_BITS`` / 8 bytes); a benchmark too large for it makes
@@ -47,6 +47,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK64 = (1 << 64) - 1
 _IS_WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 _NO_TOKEN = np.uint64(0)
+# Scripts written without blanks: Thai and Lao, Myanmar, Khmer, kana and Han.
+_UNSPACED = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -75,6 +77,8 @@ class _Tokens:
                 gaps = np.flatnonzero(~_IS_WORD[data[at:end][::-1]][: _BLOCK - 1])
                 if len(gaps):
                     end -= int(gaps[0])
+                else:  # nor a character
+                    end -= next((k for k in range(min(4, end - at)) if data[end - k] & 0xC0 != 0x80), 0)
             parts.append(self.block(data[at:end]))
             at = end
         return np.concatenate(parts) if parts else np.empty(0, np.uint64)
@@ -84,6 +88,10 @@ class _Tokens:
         word[1:-1] = _IS_WORD[data]
         edge = np.diff(word)
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        cut = _character_cuts(data)
+        if len(cut):
+            cut = cut[(word[cut] == 1) & (word[cut + 1] == 1)]
+            start, end = np.union1d(start, cut), np.union1d(end, cut)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
         h = (sums[end] - sums[start]) * self.down[start]
@@ -93,10 +101,25 @@ class _Tokens:
         return h | np.uint64(1)  # 0 stands for no token
 
 
+def _character_cuts(data: np.ndarray) -> np.ndarray:
+    """Bytes before and after each character of a script without blanks."""
+    lead = np.flatnonzero(data >= 0xE0)
+    lead = lead[lead + 2 < len(data)]
+    if not len(lead):
+        return lead
+    tail = lambda k: (data[np.minimum(lead + k, len(data) - 1)] & 0x3F).astype(np.int64)
+    first, four = data[lead].astype(np.int64), data[lead] >= 0xF0
+    code = np.where(four, (first & 7) << 18 | tail(1) << 12 | tail(2) << 6 | tail(3), (first & 15) << 12 | tail(1) << 6 | tail(2))
+    alone = np.zeros(len(lead), bool)
+    for low, high in _UNSPACED:
+        alone |= (code >= low) & (code <= high)
+    return np.union1d(lead[alone], np.minimum(lead[alone] + 3 + four[alone], len(data)))
+
+
 def _masks(words: int) -> tuple[str, ...]:
     """The masks of an item of so many words, each from a 1 to a 1."""
     if words < SPAN:
-        return ()
+        return ("1" * words,) if words else ()
     return next((m for least, m in LONG_MASKS if words >= least), tuple(sorted({m.strip("0") for m in MASKS})))
 
 
