@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tunetable.llm import (
     chat_parts,
     fair_mix,
+    hard_negatives,
+    line_dedup,
     line_quality,
     pii_crf,
     secret_owners,
@@ -18,6 +20,7 @@ from tunetable.llm import (
     token_lengths,
     url_globs,
     virtual_slots,
+    whitening,
 )
 from tunetable.llm.text import whole, word_count
 from tunetable.session import settle
@@ -151,6 +154,26 @@ def op8_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.without_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.by_component(whitening.whitened(table(spark, sf_dir, "embeddings")))
+    return white.withColumnRenamed("key", "vec_id").withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Some labels are moved on, so that the nearest rows are not all of the anchor's label.
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 # --- SQL twins ---------------------------------------------------------------
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -239,3 +262,24 @@ g AS (SELECT r, count(*) FILTER (WHERE k = 0) AS a, count(*) FILTER (WHERE k = 1
 SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
 coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied FROM d LEFT JOIN g ON d.r = g.r
 """
+
+_STRIPPED = "trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+SQL["op11_line_dedup"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+k AS (SELECT *, translate({_STRIPPED}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key FROM k WHERE length(key) >= {line_dedup.LEAST_CHARS} GROUP BY key HAVING count(DISTINCT r) >= {line_dedup.LEAST_DOCS}),
+m AS (SELECT k.*, c.key IS NOT NULL AS gone FROM k LEFT JOIN c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY r, doc_id
+"""
+
+SQL["op13_hard_negatives"] = f"""
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {hard_negatives.POSITIVES})
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND {hard_negatives.LOW} * p.score <= 100 * s.score AND 100 * s.score <= {hard_negatives.HIGH} * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY rank <= {hard_negatives.NEGATIVES}
+"""
