@@ -38,9 +38,9 @@ def test_best_fit(spark, length, seqs, rows, lengths):
 
 
 def test_wrapped(spark):
-    got = pack_wrapped(table(spark, runs(3, 4, 1)), "id", 3).orderBy("chunk").collect()
-    assert [r.input_ids for r in got] == [[1, 2, 3], [4, 5, 6], [7, 8]]
-    assert [len(r.attention_mask) for r in got] == [3, 3, 2]
+    got = pack_wrapped(table(spark, runs(1, 9, 0, 2, 5)), "id", 4).orderBy("chunk").collect()
+    assert [r.input_ids for r in got] == [[1, 2, 3, 4], [5, 6, 7, 8], [9, 10, 11, 12], [13, 14, 15, 16], [17]]
+    assert [len(r.attention_mask) for r in got] == [4, 4, 4, 4, 1]
 
 
 SEQS = st.lists(st.integers(0, 12), min_size=1, max_size=40)

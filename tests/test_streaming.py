@@ -96,7 +96,93 @@ def test_late_rows_are_counted(folder):
     assert [(r.name, r.n, r.value) for r in final] == [("m", 3, 7 / 3), ("m", 1, 9.0), ("n", 3, None), ("n", 1, None)]
 
 
-STREAMS = ("stream_prepared_turns", "stream_moments", "stream_completion_log", "stream_tumbling_metrics", "stream_sliding_metrics", "stream_replay_buffer", "stream_packed_chunks")
+def at(hours):
+    return START + timedelta(hours=hours)
+
+
+def arriving(spark, batches, ddl):
+    rows = [(k, *r) for k, rows in enumerate(batches) for r in rows]
+    return spark.createDataFrame(rows, "arrival int, " + ddl)
+
+
+def test_windows_close_and_late_rows_stand_aside(spark):
+    """Tumbling windows of two hours, an hour's delay; a row at the window's end belongs to the next window."""
+    batches = [
+        [(1, at(0), "a", 1.0), (2, at(1.5), "a", None), (3, at(2), "a", 5.0), (4, None, "a", 7.0)],
+        [(5, at(0.5), "a", 3.0), (6, at(4), "b", 1.0)],  # watermark 1 h: the first window is open; after this 3 h
+        [(7, at(1.9), "a", 9.0), (8, at(2.5), "a", 6.0), (9, at(3), None, 2.0)],  # 7 is late, 8 is not
+        [],
+        [(10, at(5), "a", 8.0), (11, at(0), None, None)],
+    ]
+    rows = arriving(spark, batches, "id long, ts timestamp, name string, value double")
+
+    def job(stream, path, checkpoint):
+        out = jobs.windows_with_late_rows(stream, "ts", "name", "value", "id", 7200, delay="1 hour", lanes=2)
+        return jobs.run_available(out, "append", True, path, checkpoint)
+
+    out = jobs.in_arrivals(rows, "arrival", 5, job)
+    start = int(rows.filter("id = 1").select(F.unix_timestamp("ts")).first()[0])
+    hour = lambda r: (r.start_s - start) // 3600
+    windows = sorted((str(r.name), hour(r), r.n, r.value) for r in jobs.closed_windows(out).select(F.col("name").alias("name"), "start_s", "n", "value").collect())
+    assert [w[1:] for w in windows] == [(2, 1, 2.0), (0, 3, 2.0), (2, 2, 5.5)] and windows[0][0] == "None"
+    assert sorted((hour(r), r.id, r.value) for r in jobs.late_rows(out).collect()) == [(0, 7, 9.0), (0, 11, None)]
+
+
+def test_sliding_windows_with_late_rows(spark):
+    batches = [[(1, at(0.5), 1.0), (2, at(5), 2.0)], [(3, at(2.5), 4.0), (4, at(9), 1.0)]]
+    rows = arriving(spark, batches, "id long, ts timestamp, value double").withColumn("name", F.lit("m"))
+
+    def job(stream, path, checkpoint):
+        out = jobs.windows_with_late_rows(stream, "ts", "name", "value", "id", 4 * 3600, 2 * 3600, delay="1 hour", lanes=1)
+        return jobs.run_available(out, "append", True, path, checkpoint)
+
+    out = jobs.in_arrivals(rows, "arrival", 2, job)
+    start = int(rows.filter("id = 1").select(F.unix_timestamp("ts")).first()[0]) - 1800
+    windows = {(r.start_s - start) // 3600: (r.n, r.value) for r in jobs.closed_windows(out).collect()}
+    # The watermark is 4 h in the second micro-batch: row 3 is late for the window from 0 to 4 h only.
+    assert windows == {-2: (1, 1.0), 0: (1, 1.0), 2: (2, 3.0), 4: (1, 2.0)}
+    assert [((r.start_s - start) // 3600, r.id) for r in jobs.late_rows(out).collect()] == [(0, 3)]
+
+
+def test_log_with_expiring_entries(spark):
+    rng = __import__("random").Random(5)
+    events = [(i, at(rng.randrange(0, 400) / 4), f"u{rng.randrange(4)}") for i in range(240)]
+    batches = [[], [], [], []]
+    for e in events:
+        batches[min(3, int((e[1] - START).total_seconds() // 90_000) + rng.choice([0, 0, 0, 1, 2]))].append(e)
+    batches[0].append((999, None, "u0"))
+    ttl, delay = timedelta(hours=10), timedelta(hours=6)
+    want, mark, last = [], None, {}
+    for batch in batches:
+        for i, ts, u in sorted((e for e in batch if e[1]), key=lambda e: (e[1], e[0])):
+            if mark is not None and ts < mark - delay:
+                want.append(("late", u, i))
+            elif u not in last or ts >= last[u] + ttl:
+                want.append(("logged", u, i))
+                last[u] = ts
+        mark = max([e[1] for e in batch if e[1]] + ([mark] if mark else []))
+
+    def job(stream, path, checkpoint):
+        return jobs.run_available(jobs.expiring_log(stream, "ts", ["u"], "id", 36_000, "6 hours"), "append", True, path, checkpoint)
+
+    out = jobs.in_arrivals(arriving(spark, batches, "id long, ts timestamp, u string"), "arrival", 4, job)
+    assert sorted((r.kind, r.u, r.id) for r in out.collect()) == sorted(want)
+    assert {k for k, _, _ in want} == {"late", "logged"}
+
+
+def test_packing_in_one_order_of_tokens(spark):
+    """Empty and NULL lists, repeated keys, an empty micro-batch and chunks over several of them."""
+    batches = [[(i, [100 * k + i] * (i % 4)) for i in reversed(range(9))] + [(3, [7]), (None, [8]), (4, None)] for k in range(3)] + [[], [(1, [5])]]
+    rows = arriving(spark, batches, "i int, ids array<int>")
+    got = jobs.in_arrivals(rows, "arrival", 5, lambda stream, path, checkpoint: jobs.pack_arrivals(stream, ["i"], "ids", 5, path, checkpoint))
+    tokens = [t for batch in batches for _, ids in sorted(batch, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or [])) for t in ids or []]
+    packed = sorted((r.chunk, r.ids) for r in got.collect())
+    assert [c for c, _ in packed] == list(range(len(packed)))
+    assert [t for _, ids in packed for t in ids] == tokens and all(len(ids) == 5 for _, ids in packed[:-1])
+
+
+STREAMS = ("stream_prepared_turns", "stream_moments", "stream_completion_log", "stream_tumbling_metrics", "stream_sliding_metrics", "stream_replay_buffer", "stream_packed_chunks",
+           "stream_windows_with_late", "stream_log_with_expiry", "stream_wrapped_packing")
 
 
 def test_queries_read_folders_in_several_batches(spark, tmp_path, monkeypatch):

@@ -104,7 +104,12 @@ def pack_wrapped(df: DataFrame, key: str, length: int, keys: Sequence[str] = ())
     rows = df.select(*keys, key, *lists).filter(F.size(lists[0]) > 0).withColumn("_n", F.size(lists[0]))
     # The rows themselves are placed: a key may be NULL or repeated, so nothing is joined by it.
     placed = running_totals(rows, [key, *lists], {"_start": F.col("_n")}, keys)
-    start, n = F.col("_start"), F.col("_n")
+    return joined_pieces(cut_in_place(placed, "_start", length, lists, keys), lists, keys)
+
+
+def cut_in_place(placed: DataFrame, start: str, length: int, lists: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Pieces ``chunk, offset`` and lists of rows whose first token stands at ``start`` of the stream of tokens."""
+    start, n = F.col(start), F.size(lists[0])
     chunks = F.sequence(F.floor(start / length), F.floor((start + n - 1) / length))
 
     def piece(chunk: Column) -> Column:
@@ -112,11 +117,15 @@ def pack_wrapped(df: DataFrame, key: str, length: int, keys: Sequence[str] = ())
         room = (F.least((chunk + 1) * length, start + n) - F.greatest(chunk * length, start)).cast("int")
         return F.struct(
             chunk.cast("long").alias("chunk"),
-            F.greatest(start - chunk * length, F.lit(0)).alias("offset"),
+            F.greatest(start - chunk * length, F.lit(0)).cast("long").alias("offset"),
             *[F.slice(c, skip + 1, room).alias(c) for c in lists],
         )
 
-    pieces = placed.select(*keys, F.explode(F.transform(chunks, piece)).alias("p")).select(*keys, "p.*")
+    return placed.select(*keys, F.explode(F.transform(chunks, piece)).alias("p")).select(*keys, "p.*")
+
+
+def joined_pieces(pieces: DataFrame, lists: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """The chunks of the pieces. A chunk has at most as many pieces as tokens."""
     whole = F.array_sort(F.collect_list(F.struct("offset", *lists)))
     return (
         pieces.groupBy(*keys, "chunk")

@@ -13,6 +13,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tunetable.functions.render import append_end
 from tunetable.functions.tokens import first_n, hashed_ids
+from tunetable.operators.ordering import running_totals
+from tunetable.operators.pack import cut_in_place, joined_pieces
 from tunetable.session import scratch_path
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -55,6 +57,12 @@ def run_available(
     def write(batch: DataFrame, batch_id: int) -> None:
         per_batch(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    _drain(stream, mode, stateful, checkpoint, write)
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*")
+
+
+def _drain(stream: DataFrame, mode: str, stateful: bool, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
+    spark = stream.sparkSession
     before = spark.conf.get(_PROVIDER, None)
     if stateful:
         spark.conf.set(_PROVIDER, _ROCKSDB)
@@ -70,7 +78,21 @@ def run_available(
     finally:
         if stateful:
             spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
-    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*")
+
+
+def in_arrivals(rows: DataFrame, arrival: str, count: int, job: Callable[[DataFrame, str, str], DataFrame]) -> DataFrame:
+    """Let the rows of arrival 0, 1, ... come in one after the other, each as a micro-batch of its own.
+
+    ``job(stream, path, checkpoint)`` drains the stream and is called again after each arrival with the
+    same folders, like a job that is started every hour. Returns what the last call gave.
+    """
+    spark = rows.sparkSession
+    folder, path, checkpoint = (scratch_path(spark, f"stream-{n}") for n in ("in", "out", "state"))
+    schema = rows.drop(arrival).schema
+    for k in range(count):
+        rows.filter(F.col(arrival) == k).drop(arrival).write.mode("append").parquet(folder)
+        out = job(spark.readStream.schema(schema).parquet(folder), path, checkpoint)
+    return out
 
 
 def latest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -113,6 +135,141 @@ def merge_window_sums(sums: DataFrame, name: str) -> DataFrame:
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), name, "n", "value")
 
 
+_WINDOW_ROWS = "kind string, name string, start_ms long, lane int, n long, vals long, total double, id long, value double"
+
+
+class _Windows(StatefulProcessor):
+    """Sums of one window of event time. A timer at its end closes it; rows that come later are handed on as late."""
+
+    def __init__(self, width_ms: int):
+        self.width_ms = width_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sums = handle.getValueState("sums", "n long, vals long, total double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        name, start, lane = key
+        end = start + self.width_ms
+        if end <= timerValues.getCurrentWatermarkInMs():
+            for part in rows:
+                yield pd.DataFrame(
+                    {"kind": "late", "name": name, "start_ms": start, "lane": lane, "n": 1, "vals": part["value"].notna().astype("int64"), "total": 0.0, "id": part["id"], "value": part["value"]}
+                )
+            return
+        n, vals, total = self.sums.get() if self.sums.exists() else (0, 0, 0.0)
+        if not self.sums.exists():
+            self.handle.registerTimer(end)
+        for part in rows:
+            n, vals, total = n + len(part), vals + int(part["value"].notna().sum()), total + float(part["value"].sum())
+        self.sums.update((n, vals, total))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        name, start, lane = key
+        n, vals, total = self.sums.get()
+        self.sums.clear()
+        yield pd.DataFrame({"kind": ["window"], "name": [name], "start_ms": [start], "lane": [lane], "n": [n], "vals": [vals], "total": [total], "id": [None], "value": [None]})
+
+    def close(self) -> None:
+        pass
+
+
+def windows_with_late_rows(
+    df: DataFrame, ts: str, name: str, value: str, row_id: str, width_s: int, slide_s: int | None = None, delay: str = "10 minutes", lanes: int = 8
+) -> DataFrame:
+    """Sums of event-time windows that the watermark has passed, and the rows that came after that.
+
+    The state of a window is three numbers for each of ``lanes``, which split a hot window over tasks; a timer at the
+    window's end emits and frees it. A row is late for a window that ended at or before the watermark, which is the largest event time of earlier
+    micro-batches less ``delay``; it is emitted as it is and changes no window. ``closed_windows`` and ``late_rows`` read
+    the two kinds apart. Rows without an event time are left out.
+    """
+    slide_s = slide_s or width_s
+    clock = F.unix_micros(ts)
+    last = F.floor(clock / F.lit(slide_s * 1_000_000)) * slide_s
+    first = F.floor((clock / F.lit(1_000_000) - width_s) / F.lit(slide_s)) * slide_s + slide_s
+    lane = F.pmod(F.xxhash64(row_id), F.lit(lanes)).cast("int")
+    rows = df.filter(F.col(ts).isNotNull()).withWatermark(ts, delay)
+    # The event time itself goes no further: the engine would drop late rows before the operator sees them.
+    keyed = rows.select(
+        F.col(name).alias("name"),
+        F.explode(F.sequence(first.cast("long"), last.cast("long"), F.lit(slide_s).cast("long"))).alias("start_s"),
+        lane.alias("lane"),
+        F.col(row_id).cast("long").alias("id"),
+        F.col(value).cast("double").alias("value"),
+    ).withColumn("start_ms", F.col("start_s") * 1000)
+    return keyed.groupBy("name", "start_ms", "lane").transformWithStateInPandas(
+        _Windows(width_s * 1000), outputStructType=_WINDOW_ROWS, outputMode="Append", timeMode="EventTime"
+    )
+
+
+def closed_windows(out: DataFrame) -> DataFrame:
+    """``name, start_s, n, value`` of the windows that the watermark has passed: their rows and mean value."""
+    sums = out.filter("kind = 'window'").groupBy("name", "start_ms").agg(*[F.sum(c).alias(c) for c in ("n", "vals", "total")])
+    return sums.select("name", (F.col("start_ms") / 1000).cast("long").alias("start_s"), "n", F.try_divide("total", "vals").alias("value"))
+
+
+def late_rows(out: DataFrame) -> DataFrame:
+    """``name, start_s, id, value`` of the rows that came after their window was closed."""
+    return out.filter("kind = 'late'").select("name", (F.col("start_ms") / 1000).cast("long").alias("start_s"), "id", "value")
+
+
+class _OnceInAWhile(StatefulProcessor):
+    """The entries of one key: one is logged, what follows within its time to live is a repeat."""
+
+    def __init__(self, ttl_us: int, key_names: Sequence[str]):
+        self.ttl_us, self.key_names = ttl_us, list(key_names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "us long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        part = pd.concat([p[["us", "id"]] for p in rows]).sort_values(["us", "id"])
+        at, limit = part["us"].to_numpy(), timerValues.getCurrentWatermarkInMs() * 1000
+        kinds = np.where(at < limit, "late", "repeat").astype(object)
+        last = self.last.get()[0] if self.last.exists() else None
+        i = int(np.searchsorted(at, limit))
+        while i < len(at):
+            if last is not None and at[i] < last + self.ttl_us:
+                i = int(np.searchsorted(at, last + self.ttl_us))
+                continue
+            kinds[i], last = "logged", int(at[i])
+            self.last.update((last,))
+            # In whole milliseconds; only late rows could come between the end of the entry and the timer.
+            self.handle.registerTimer(-(-(last + self.ttl_us) // 1000))
+            i += 1
+        out = part.assign(kind=kinds, **dict(zip(self.key_names, key, strict=True)))
+        out = out[out["kind"] != "repeat"][[*self.key_names, "kind", "us", "id"]]
+        if len(out):
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # An entry that was logged anew has a timer of its own.
+        if self.last.exists() and self.last.get()[0] + self.ttl_us <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
+            self.last.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def expiring_log(df: DataFrame, ts: str, keys: Sequence[str], row_id: str, ttl_s: int, delay: str = "1 hour") -> DataFrame:
+    """``keys, kind, us, id``: one entry of a key, and none again until ``ttl_s`` of event time later.
+
+    Entries of a micro-batch are taken by event time, then id; the time of an entry is in microseconds. A key's state is the time of its last entry;
+    a timer frees it when the watermark has passed the end of that. A row older than the watermark (the largest event time
+    of earlier micro-batches less ``delay``) is of kind ``late`` and not logged. Rows without an event time are left out. The rows
+    of one key in one micro-batch are sorted in one task, 16 bytes each.
+    """
+    rows = df.filter(F.col(ts).isNotNull()).withWatermark(ts, delay)
+    keyed = rows.select(*keys, F.unix_micros(ts).alias("us"), F.col(row_id).cast("long").alias("id"))
+    out = T.StructType([*[keyed.schema[k] for k in keys], T.StructField("kind", T.StringType()), T.StructField("us", T.LongType()), T.StructField("id", T.LongType())])
+    return keyed.groupBy(*keys).transformWithStateInPandas(
+        _OnceInAWhile(ttl_s * 1_000_000, keys), outputStructType=out, outputMode="Append", timeMode="EventTime"
+    )
+
+
 class _BestRows(StatefulProcessor):
     """The ``capacity`` best rows of a key so far."""
 
@@ -204,3 +361,29 @@ def packed_so_far(updates: DataFrame) -> DataFrame:
     """Full chunks, and the last tail of each lane if nothing followed it."""
     last = F.max_by(F.struct("ids", "is_full"), F.struct(F.col("is_full"), F.col("batch_id")))
     return updates.groupBy("lane", "chunk").agg(last.alias("_r")).select("lane", "chunk", "_r.*")
+
+
+def pack_arrivals(stream: DataFrame, order: Sequence[str], ids: str, length: int, path: str, checkpoint: str) -> DataFrame:
+    """``chunk, ids``: wrapped packing of a whole stream in one order of tokens, by micro-batch, then ``order``.
+
+    The state is a ledger with the number of tokens of each micro-batch, written beside its pieces. A
+    micro-batch starts where the ledger of those before it ends, finds its rows' places by running totals and cuts them in
+    place, so all tasks cut and no lane holds a share of the rows. A chunk may get pieces of several micro-batches; they are
+    joined when it is read, and the last one grows until it is full. A repeated micro-batch overwrites its own pieces and entry.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(*order, F.col(ids).alias("ids")).filter(F.size("ids") > 0)
+        entries = spark.read.schema("tokens long, batch_id long").option("basePath", f"{path}/ledger")
+        known = entries.parquet(f"{path}/ledger/batch_id=*").filter(F.col("batch_id") < batch_id) if batch_id else None
+        start = (known.agg(F.sum("tokens")).first()[0] or 0) if batch_id else 0
+        placed = running_totals(rows, [*order, "ids"], {"_start": F.size("ids").cast("long")})
+        pieces = cut_in_place(placed.withColumn("_start", F.col("_start") + F.lit(start)), "_start", length, ["ids"])
+        pieces.write.mode("overwrite").parquet(f"{path}/pieces/batch_id={batch_id}")
+        rows.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).cast("long").alias("tokens")).write.mode("overwrite").parquet(f"{path}/ledger/batch_id={batch_id}")
+
+    _drain(stream, "append", False, checkpoint, write)
+    ids_type = stream.schema[ids].dataType.simpleString()
+    pieces = spark.read.schema(f"chunk long, offset long, ids {ids_type}, batch_id long").option("basePath", f"{path}/pieces")
+    return joined_pieces(pieces.parquet(f"{path}/pieces/batch_id=*").drop("batch_id"), ["ids"])
