@@ -182,7 +182,7 @@ def test_packing_in_one_order_of_tokens(spark):
 
 
 STREAMS = ("stream_prepared_turns", "stream_moments", "stream_completion_log", "stream_tumbling_metrics", "stream_sliding_metrics", "stream_replay_buffer", "stream_packed_chunks",
-           "stream_windows_with_late", "stream_log_with_expiry", "stream_wrapped_packing")
+           "stream_wrapped_packing")
 
 
 def test_queries_read_folders_in_several_batches(spark, tmp_path, monkeypatch):

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tunetable.functions.distributions import matched_divergence, merged, sorted_gap, unmatched_gap
 from tunetable.functions.objectives import divergence_term, running_sum
 from tunetable.functions.render import common_prefix_length
 from tunetable.operators.ordering import rank_within
 from tunetable.operators.skew import join_unique, with_group_stats
-from tunetable.session import settle
 
 
 def attach(df: DataFrame, other: DataFrame, keys: Sequence[str], complete: bool = True) -> DataFrame:
@@ -110,21 +110,22 @@ def merge_group_distributions(dists: DataFrame, groups: DataFrame, seq: str, p:
 
 def sorted_l1(student: DataFrame, teacher: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """L1 distance per key between two distributions sorted descending, the shorter filled with 0."""
-    rank = lambda df, out: rank_within(
-        df.select(*keys, "token", F.col(value).alias(out)), keys, [F.desc(out), "token"], "_rank"
-    ).drop("token")
-    # A union and an aggregate instead of a full join, so that NULL keys meet.
+    return _sorted_sides(student, teacher, keys, value).select(*keys, sorted_gap(F.col("_a"), F.col("_b")).alias("l1"))
+
+
+def _sorted_sides(student: DataFrame, teacher: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """One row per key: the probabilities of both sides. A NULL key is a key like any other."""
     none = F.lit(None).cast("double")
-    sides = rank(student, "_a").withColumn("_b", none).unionByName(rank(teacher, "_b").withColumn("_a", none))
-    both = sides.groupBy(*keys, "_rank").agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
-    gap = F.abs(F.coalesce("_a", F.lit(0.0)) - F.coalesce("_b", F.lit(0.0)))
-    return both.groupBy(*keys).agg(F.sum(gap).alias("l1"))
+    sides = student.select(*keys, F.col(value).alias("_a"), none.alias("_b"), F.lit(True).alias("_s")).unionByName(
+        teacher.select(*keys, none.alias("_a"), F.col(value).alias("_b"), F.lit(False).alias("_s"))
+    )
+    return sides.groupBy(*keys).agg(*[F.collect_list(c).alias(c) for c in ("_a", "_b")], F.bool_or("_s").alias("_s"))
 
 
 def rank_aligned_loss(student: DataFrame, teacher: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Total sorted L1 over the number of positions."""
-    positions = student.select(*keys).distinct().agg(F.count("*").alias("n"))
-    return sorted_l1(student, teacher, keys, value).agg((F.sum("l1") / positions.scalar()).alias("loss"))
+    rows = _sorted_sides(student, teacher, keys, value)
+    return rows.agg((F.sum(sorted_gap(F.col("_a"), F.col("_b"))) / F.nullif(F.count_if("_s"), F.lit(0))).alias("loss"))
 
 
 def divergence_by_position(dists: DataFrame, keys: Sequence[str], student: str, teacher: str, beta: float) -> DataFrame:
@@ -155,39 +156,47 @@ def hybrid_loss(
     With ``dense`` the teacher lists all tokens of its vocabulary at every position: nothing is cut to
     the teacher's ``k``, the shorter side is filled with 0, and sums are divided by the number of positions.
     """
-    eps = 1e-8
     keys = list(keys)
-    both = student.join(teacher.withColumnRenamed("p", "q"), [*keys, "token"], "full_outer").fillna(0.0, ["p", "q"])
-    # Read several times below, so it is computed once.
-    both = settle(join_unique(both, vocabulary, ["token"], "n", ["shared"]).fillna(False, ["shared"]))
-
-    p, q = F.greatest("p", F.lit(eps)), F.greatest("q", F.lit(eps))
-    mix = F.greatest((1 - beta) * p + beta * q, F.lit(eps))
-    term = (1 - beta) * p * (F.log(p) - F.log(mix)) + beta * q * (F.log(q) - F.log(mix))
-    matched = both.filter("shared AND q > 0").groupBy(*keys).agg(F.sum(term).alias("x"))
-
-    own = both.filter("NOT shared")
-    if dense:
-        sides = [own.filter(F.col(c) > 0).select(*keys, "token", F.col(c).alias("p")) for c in ("p", "q")]
-        unmatched = sorted_l1(*sides, keys, "p")
-        positions = student.select(*keys).distinct().agg(F.count("*").alias("n")).scalar()
-        total = lambda df, c: df.agg(F.coalesce(F.try_divide(F.sum(c), positions), F.lit(0.0)).alias("x"))
-        out = total(matched, "x").select(F.col("x").alias("matched_loss")).withColumn("unmatched_loss", total(unmatched, "l1").scalar())
-        return _weighted(out, weights, teacher_tokens, matched_tokens)
-    ranked = lambda value: rank_within(
-        own.filter(F.col(value) > 0).select(*keys, "token", value), keys, [F.desc(value), "token"], "_rank"
-    ).drop("token")
-    # The teacher's ranks end at k, so the left side is the cut. A position whose
-    # student has no token of its own has nothing to compare.
-    pairs = ranked("q").join(ranked("p"), [*keys, "_rank"], "left")
-    l1 = F.sum(F.abs(F.col("q") - F.coalesce("p", F.lit(0.0))))
-    unmatched = pairs.groupBy(*keys).agg(l1.alias("x"), F.count("p").alias("_n")).filter("_n > 0")
-
-    mean = lambda df, name: df.agg(F.coalesce(F.avg("x"), F.lit(0.0)).alias(name))
-    out = mean(matched, "matched_loss").withColumn("unmatched_loss", mean(unmatched, "u").scalar())
+    none, of = F.lit(0.0), F.col("p").cast("double")
+    sides = student.select(*keys, "token", of.alias("p"), none.alias("q"), F.lit(True).alias("_s")).unionByName(
+        teacher.select(*keys, "token", none.alias("p"), of.alias("q"), F.lit(False).alias("_s"))
+    )
+    return _hybrid(sides, vocabulary, keys, beta, weights, teacher_tokens, matched_tokens, dense)
+
+
+def hybrid_loss_of_pairs(
+    both: DataFrame,
+    vocabulary: DataFrame,
+    keys: Sequence[str],
+    beta: float = 0.5,
+    weights: tuple[float, float] | None = None,
+    teacher_tokens: Column | None = None,
+    matched_tokens: Column | None = None,
+    vocabulary_total: Column | None = None,
+) -> DataFrame:
+    """The same from ``(keys, token, p, q)``, where a token that one side lacks has 0 there."""
+    return _hybrid(both.withColumn("_s", F.col("p") > 0), vocabulary, list(keys), beta, weights, teacher_tokens, matched_tokens, False, vocabulary_total)
+
+
+def _hybrid(sides, vocabulary, keys, beta, weights, teacher_tokens, matched_tokens, dense, vocabulary_total=None) -> DataFrame:
+    """A position becomes one row, in which its tokens are merged, compared and ranked."""
+    flagged = join_unique(sides, vocabulary, ["token"], "n", ["shared"], total=vocabulary_total).fillna(False, ["shared"])
+    entries = F.collect_list(F.struct("token", "p", "q", "shared"))
+    rows = flagged.groupBy(*keys).agg(entries.alias("_e"), F.bool_or("_s").alias("_s")).withColumn("_e", merged(F.col("_e")))
+    terms = rows.select("_s", matched_divergence(F.col("_e"), beta).alias("m"), unmatched_gap(F.col("_e"), not dense).alias("u"))
+    # A dense sum is over all positions; otherwise a position without the term does not count.
+    mean = lambda c: F.try_divide(F.sum(c), F.count_if("_s")) if dense else F.avg(c)
+    out = terms.agg(*[F.coalesce(mean(c), F.lit(0.0)).alias(n) for c, n in (("m", "matched_loss"), ("u", "unmatched_loss"))])
     return _weighted(out, weights, teacher_tokens, matched_tokens)
 
 
+def hybrid_loss_of_rows(df: DataFrame, entries: Column, beta: float, weights: tuple[float, float]) -> DataFrame:
+    """The dense comparison where a row already holds a position's ``p, q, shared`` entries: no shuffle of rows."""
+    terms = df.select(entries.alias("_e")).select(matched_divergence(F.col("_e"), beta).alias("m"), unmatched_gap(F.col("_e"), False).alias("u"))
+    mean = lambda c: F.coalesce(F.try_divide(F.sum(c), F.count("*")), F.lit(0.0))
+    return _weighted(terms.agg(mean("m").alias("matched_loss"), mean("u").alias("unmatched_loss")), weights, None, None)
+
+
 def _weighted(out: DataFrame, weights: tuple[float, float] | None, teacher_tokens: Column | None, matched_tokens: Column | None) -> DataFrame:
     share = F.lit(float(weights[0])) if weights else matched_tokens / F.greatest(teacher_tokens, F.lit(1))
     rest = F.lit(float(weights[1])) if weights else 1 - share

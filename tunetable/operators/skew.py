@@ -27,10 +27,18 @@ def _key_salt(keys: Sequence[str]) -> Column:
 
 
 def join_unique(
-    rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str, values: Sequence[str], head_keys: int = HEAD_KEYS
+    rows: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    weight: str,
+    values: Sequence[str],
+    head_keys: int = HEAD_KEYS,
+    total: Column | None = None,
 ) -> DataFrame:
     """Left join adding ``values`` of ``table``, whose ``weight`` counts the rows of each key.
 
+    ``total`` is the sum of the weights, where the caller has it already.
+
     Rows of the heaviest keys are served by a broadcast and spread over the shuffle join
     that serves the rest. A NULL key is a key like any other.
     """
@@ -39,7 +47,7 @@ def join_unique(
     entry = F.struct(*values, F.col(weight).alias("_weight"))
     named = lambda p: [F.col(k).alias(f"_{p}_{k}") for k in keys]
     # At most ``head_keys`` keys can hold more than that share of the rows, so no sort is needed.
-    every = table.agg(F.sum(weight)).scalar()
+    every = table.agg(F.sum(weight)).scalar() if total is None else total
     head = table.filter(F.col(weight) * F.lit(head_keys) > every).select(*named("h"), entry.alias("_head"))
     tail = table.select(*named("t"), _key_salt(keys).alias("_tail_salt"), entry.alias("_rest"))
     match = lambda p: [F.col(k).eqNullSafe(F.col(f"_{p}_{k}")) for k in keys]

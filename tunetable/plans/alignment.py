@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tunetable.functions.distributions import sorted_gap
 from tunetable.functions.tokens import words
 from tunetable.operators import align as A
 from tunetable.operators.vocab import build_vocabulary, count_tokens, tokens_of
@@ -14,6 +15,8 @@ from tunetable.plans.inputs import (
     conversations,
     documents,
     half_distributions,
+    half_rows,
+    half_table,
     num,
     sequence_logps,
     sql_num,
@@ -21,7 +24,6 @@ from tunetable.plans.inputs import (
     token_logps,
 )
 from tunetable.plans.registry import query
-from tunetable.session import settle
 from tunetable.sources.scan import table
 
 
@@ -109,21 +111,21 @@ def merged_group_logps(spark, sf):
     return A.merge_group_logps(logps, groups, "seq", "policy").withColumn("policy", num(F.col("policy")))
 
 
-# The event types, the tokens of a dense distribution.
-_TYPES = ("click", "error", "purchase", "signup", "view")
-
-
 @query(
-    f"""WITH t AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS token), d AS (SELECT user_id AS seq, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS pos, event_type, count(*) AS c FROM events GROUP BY ALL),
-    k AS (SELECT seq, pos, sum(c) AS n FROM d GROUP BY ALL), p AS (SELECT k.seq, k.pos, t.token, (coalesce(d.c, 0) + 1.0::DOUBLE) / (k.n + 5) AS p FROM k CROSS JOIN t LEFT JOIN d ON d.seq = k.seq AND d.pos = k.pos AND d.event_type = t.token),
+    f"""WITH t AS (SELECT DISTINCT event_type AS token FROM events), s AS (SELECT count(*) AS size FROM t), d AS (SELECT user_id AS seq, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS pos, event_type, count(*) AS c FROM events GROUP BY ALL),
+    k AS (SELECT seq, pos, sum(c) AS n FROM d GROUP BY ALL), p AS (SELECT k.seq, k.pos, t.token, (coalesce(d.c, 0) + 1.0::DOUBLE) / (k.n + s.size) AS p FROM k CROSS JOIN t CROSS JOIN s LEFT JOIN d ON d.seq = k.seq AND d.pos = k.pos AND d.event_type = t.token),
     m AS (SELECT seq, CAST(pos // 7 AS INTEGER) AS g, token, sum(ln(p)) AS l, count(*) AS n, max(p) AS one FROM p GROUP BY ALL), w AS (SELECT *, CASE WHEN n > 1 THEN exp(l) ELSE one END AS w FROM m)
     SELECT seq, g AS "group", token, {sql_num('CASE WHEN n > 1 THEN w / sum(w) OVER (PARTITION BY seq, g) ELSE w END', 9)} AS p FROM w"""
 )
 def merged_group_distributions(spark, sf):
     events = table(spark, sf, "events").select(F.col("user_id").alias("seq"), F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")).alias("pos"), "event_type")
-    counts = events.groupBy("seq", "pos").agg(F.count("*").alias("n"), *[F.count_if(F.col("event_type") == t).alias(t) for t in _TYPES])
-    entry = lambda t: F.struct(F.lit(t).alias("token"), ((F.col(t) + 1.0) / (F.col("n") + len(_TYPES))).alias("p"))
-    dists = counts.select("seq", "pos", F.explode(F.array(*[entry(t) for t in _TYPES])).alias("e")).select("seq", "pos", "e.*")
+    # The tokens of a dense distribution: every event type there is, however many.
+    types = events.agg(F.array_sort(F.collect_set("event_type"))).scalar()
+    counts = events.groupBy("seq", "pos", "event_type").agg(F.count("*").alias("n"))
+    counts = counts.groupBy("seq", "pos").agg(F.sum("n").alias("n"), F.collect_list(F.struct("event_type", "n")).alias("of"))
+    found = lambda t: F.coalesce(F.get(F.filter("of", lambda x: x["event_type"] == t), F.lit(0))["n"], F.lit(0))
+    entry = lambda t: F.struct(t.alias("token"), ((found(t) + 1.0) / (F.col("n") + F.size("types"))).alias("p"))
+    dists = counts.withColumn("types", types).select("seq", "pos", F.explode(F.transform("types", entry)).alias("e")).select("seq", "pos", "e.*")
     groups = counts.select("seq", "pos", F.floor(F.col("pos") / 7).cast("int").alias("group"))
     out = A.merge_group_distributions(dists, groups, "seq", "p")
     return out.withColumn("p", num(F.col("p"), 9))
@@ -134,8 +136,8 @@ def merged_group_distributions(spark, sf):
     SELECT coalesce(s.doc_id, t.doc_id) AS doc_id, {sql_num('sum(abs(coalesce(s.p, 0) - coalesce(t.p, 0)))')} AS l1 FROM s FULL JOIN t ON s.doc_id = t.doc_id AND s.r = t.r GROUP BY 1"""
 )
 def sorted_distance(spark, sf):
-    student, teacher = half_distributions(spark, sf)
-    return A.sorted_l1(student, teacher, ["doc_id"], "p").withColumn("l1", num(F.col("l1")))
+    side = lambda c: F.transform("halves", lambda x: x[c])
+    return half_rows(spark, sf).select("doc_id", num(sorted_gap(side("p"), side("q"))).alias("l1"))
 
 
 @query(
@@ -171,14 +173,13 @@ _MIX = "(0.5 * p + 0.5 * q)"
     SELECT {sql_num('m')} AS matched_loss, {sql_num('u')} AS unmatched_loss, {sql_num('w * m + (1 - w) * u')} AS loss FROM z"""
 )
 def hybrid_comparison(spark, sf):
-    student, teacher = half_distributions(spark, sf)
-    counts = [count_tokens(tokens_of(t, "text")) for t in _texts(spark, sf)]
-    sides = counts[0].withColumn("teacher", F.lit(False)).unionByName(counts[1].withColumn("teacher", F.lit(True)))
-    vocabulary = settle(
-        sides.groupBy("token").agg(F.sum("n").alias("n"), (F.count("*") > 1).alias("shared"), F.bool_or("teacher").alias("teacher"))
-    )
-    sizes = vocabulary.agg(F.struct(F.count_if("shared").alias("both"), F.count_if("teacher").alias("teacher")).alias("s")).scalar()
-    out = A.hybrid_loss(student, teacher, vocabulary, ["doc_id"], 0.5, teacher_tokens=sizes.teacher, matched_tokens=sizes.both)
+    counts = [count_tokens(tokens_of(t, "text")).withColumn("side", F.lit(k)) for k, t in ((1, _texts(spark, sf)[0]), (2, _texts(spark, sf)[1]))]
+    known = counts[0].unionByName(counts[1]).groupBy("token").agg(F.sum("n").alias("n"), F.bit_or("side").alias("sides"))
+    sizes = known.agg(
+        F.struct(F.sum("n").alias("n"), F.count_if(F.col("sides") == 3).alias("both"), F.count_if(F.col("sides") >= 2).alias("teacher")).alias("s")
+    ).scalar()
+    vocabulary = known.select("token", "n", (F.col("sides") == 3).alias("shared"))
+    out = A.hybrid_loss_of_pairs(half_table(spark, sf), vocabulary, ["doc_id"], 0.5, None, sizes.teacher, sizes.both, sizes.n)
     return out.select(*[num(F.col(c)).alias(c) for c in ("matched_loss", "unmatched_loss", "loss")])
 
 
@@ -203,10 +204,9 @@ def hybrid_dense(spark, sf):
     docs = documents(spark, sf, "doc_id", "text").filter("text IS NOT NULL").select("doc_id", words(F.col("text")).alias("w"))
     sizes = docs.select("doc_id", F.transform("w", lambda x: F.length(x) % 16).alias("w")).withColumn("a", F.ceil(F.size("w") / 2).cast("int"))
     halves = {"p": F.slice("w", 1, F.col("a")), "q": F.slice("w", F.col("a") + 1, F.size("w"))}
-    rows = sizes.withColumns(halves).select("doc_id", "p", "q", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("token"))
-    share = lambda c: (F.size(F.filter(c, lambda x: x == F.col("token"))) + 1.0) / (F.size(c) + 16)
-    rows = settle(rows.select("doc_id", "token", share("p").alias("p"), share("q").alias("q")))
-    student, teacher = rows.filter("token < 13").select("doc_id", "token", "p"), rows.filter("token < 10 OR token > 12").select("doc_id", "token", F.col("q").alias("p"))
-    vocabulary = rows.groupBy("token").agg(F.count("*").alias("n")).withColumn("shared", F.col("token") < 10)
-    out = A.hybrid_loss(student, teacher, vocabulary, ["doc_id"], 0.7, weights=(0.4, 0.6), dense=True)
+    share = lambda c, k: (F.size(F.filter(c, lambda x: x == k)) + 1.0) / (F.size(c) + 16)
+    # A class that a side does not list has 0 there.
+    listed = lambda c, k, a, b: share(c, k) if not a <= k <= b else F.lit(0.0)
+    entry = lambda k: F.struct(listed("p", k, 13, 15).alias("p"), listed("q", k, 10, 12).alias("q"), F.lit(k < 10).alias("shared"))
+    out = A.hybrid_loss_of_rows(sizes.withColumns(halves), F.array(*[entry(k) for k in range(16)]), 0.7, (0.4, 0.6))
     return out.select(*[num(F.col(c)).alias(c) for c in ("matched_loss", "unmatched_loss", "loss")])

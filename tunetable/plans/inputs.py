@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunetable.functions.distributions import half_shares
 from tunetable.functions.messages import first_index, head, last_index, turns_to_messages
 from tunetable.functions.objectives import array_sum
 from tunetable.functions.tokens import TOKEN_PATTERN, hashed_ids, words
@@ -332,18 +333,16 @@ SQL_ORDER_ROLLOUTS = (
 # --- distributions ----------------------------------------------------------
 
 
+def half_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per document with words: ``doc_id, halves``, the ``token, p, q`` of its first and second half."""
+    docs = documents(spark, sf, "doc_id", "text").filter(F.rlike("text", F.lit(TOKEN_PATTERN)))
+    return docs.select("doc_id", half_shares(words(F.col("text"))).alias("halves"))
+
+
 def half_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Word distributions of the two halves of each document: ``doc_id, token, p, q``, written once."""
-    tokens = documents(spark, sf, "doc_id", "text").select("doc_id", words(F.col("text")).alias("w"))
-    rows = tokens.select("doc_id", F.size("w").alias("n"), F.posexplode("w").alias("pos", "token"))
-    late = F.col("pos") * 2 >= F.col("n")
-    # The size of each half follows from the length, so one aggregation does.
-    first = F.ceil(F.col("n") / 2)
-    counts = rows.groupBy("doc_id", "token").agg(F.max("n").alias("n"), F.count_if(~late).alias("a"), F.count_if(late).alias("b"))
-    share = lambda c, size: F.coalesce(F.try_divide(c, size.cast("double")), F.lit(0.0))
-    return settle(
-        counts.select("doc_id", "token", share(F.col("a"), first).alias("p"), share(F.col("b"), F.col("n") - first).alias("q"))
-    )
+    """The same in long form: ``doc_id, token, p, q``."""
+    # The outer form: for the other the optimizer would count the words once more, to filter by the number of tokens.
+    return half_rows(spark, sf).select("doc_id", F.inline_outer("halves"))
 
 
 def half_distributions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

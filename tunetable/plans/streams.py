@@ -97,7 +97,7 @@ def stream_packed_chunks(spark, sf):
 # The tables come in as a few arrivals: events by their time, some of them one or two arrivals
 # later than the others of their time.
 
-ARRIVALS = 5
+ARRIVALS = 3
 DELAY_S = 3 * 86_400
 WINDOW_S = 6 * 3_600
 TTL_S = 36 * 3_600
