@@ -13,6 +13,7 @@ from tunetable.operators.skew import join_unique
 from tunetable.operators.vocab import count_tokens, tokens_of
 from tunetable.session import settle
 from tunetable.sources.scan import spread, table
+from tunetable.sources.stored import stored
 
 SEP = "\x1f"
 
@@ -219,8 +220,11 @@ SQL_PAIR_TOKENS = SQL_TEXT_PAIRS + ", ptoks AS (SELECT conv_id, " + ", ".join(
 # "ref" all turns.
 
 
-def token_logps(spark: SparkSession, sf: str) -> DataFrame:
-    """Long form ``conv_id, turn, pos, token, policy, old, ref`` of the assistant turns."""
+def logged_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per assistant turn, with parallel arrays ``token, policy, old, ref``: what a run logs.
+
+    Written once, bucketed by conversation, so its readers neither compute nor shuffle it again.
+    """
     tokens = tokens_of(conversations(spark, sf), "text", "conv_id", "turn", "role")
     mine = F.col("role") == "assistant"
     counts = count_tokens(tokens, {"c_policy": mine, "c_old": ~mine, "c_ref": F.lit(True)})
@@ -231,8 +235,16 @@ def token_logps(spark: SparkSession, sf: str) -> DataFrame:
     models = counts.withColumn("_t", totals).select(
         "token", "c_ref", *[F.log((F.col(f"c_{m}") + 1.0) / (F.col(f"_t.{m}") + F.col("_t.v"))).alias(m) for m in ("policy", "old", "ref")]
     )
-    rows = tokens.filter(mine).drop("role")
-    return join_unique(rows, models, ["token"], "c_ref", ["policy", "old", "ref"])
+    rows = join_unique(tokens.filter(mine).drop("role"), models, ["token"], "c_ref", ["policy", "old", "ref"])
+    listed = rows.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "policy", "old", "ref"))).alias("_w"))
+    turns = listed.select("conv_id", "turn", *[F.col(f"_w.{c}").alias(c) for c in ("token", "policy", "old", "ref")])
+    return stored(turns, ["conv_id"], ["conv_id", "turn"])
+
+
+def token_logps(spark: SparkSession, sf: str) -> DataFrame:
+    """Long form ``conv_id, turn, pos, token, policy, old, ref`` of the assistant turns."""
+    each = F.posexplode(F.arrays_zip("token", "policy", "old", "ref")).alias("pos", "x")
+    return logged_turns(spark, sf).select("conv_id", "turn", each).select("conv_id", "turn", "pos", "x.*")
 
 
 SQL_LOGPS = (
@@ -250,10 +262,8 @@ def sequence_rows(spark: SparkSession, sf: str) -> DataFrame:
 
     The mask leaves out punctuation; the advantage is the turn's mean log-ratio against the reference.
     """
-    entry = F.struct("pos", "policy", "old", "ref", F.when(F.rlike("token", F.lit(r"^[\p{L}\p{N}]")), 1).otherwise(0).alias("mask"))
-    rows = token_logps(spark, sf).groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(entry)).alias("_w"))
-    cols = ["policy", "old", "ref", "mask"]
-    df = rows.select("conv_id", "turn", *[F.col(f"_w.{c}").alias(c) for c in cols])
+    mask = F.transform("token", lambda t: F.when(F.rlike(t, F.lit(r"^[\p{L}\p{N}]")), 1).otherwise(0))
+    df = logged_turns(spark, sf).select("conv_id", "turn", "policy", "old", "ref", mask.alias("mask"))
     gap = F.zip_with("policy", "ref", lambda p, r: p - r)
     return df.withColumn("advantage", F.round(array_sum(gap) / F.size("policy"), 6))
 
@@ -269,8 +279,8 @@ SQL_TOKEN_ROWS = (
 
 def sequence_logps(spark: SparkSession, sf: str) -> DataFrame:
     """Mean log-prob of each assistant turn: ``conv_id, turn, n, policy, old, ref``."""
-    means = [F.avg(m).alias(m) for m in ("policy", "old", "ref")]
-    return token_logps(spark, sf).groupBy("conv_id", "turn").agg(F.count("*").alias("n"), *means)
+    n = F.size("policy").cast("long")
+    return logged_turns(spark, sf).select("conv_id", "turn", n.alias("n"), *[(array_sum(F.col(m)) / n).alias(m) for m in ("policy", "old", "ref")])
 
 
 SQL_SEQ_LOGPS = (
