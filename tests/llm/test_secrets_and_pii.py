@@ -213,3 +213,12 @@ def test_text_of_many_spans_and_a_value_of_most_rows(spark):
     assert [(x["start"], ("assign", "access", "hex").index(x["kind"]), x["end"]) for x in got[1000] if x["kind"] != "token"] == want
     alone = sum(p.startswith("aB3") for p in parts)
     assert sum(x["kind"] == "token" for x in got[1000]) == alone
+
+
+def test_long_words_cost_their_length():
+    import time
+
+    start = time.perf_counter()
+    for text in ("字" * 1_000_000 + " 5", "x" * 1_000_000 + "@ 7 " + "y" * 500_000, ("é" * 300_000 + "\n") * 3 + "4"):
+        assert len(pc._tokens(text, [])["start"]) >= 1
+    assert time.perf_counter() - start < 3

@@ -47,7 +47,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_CANDIDATE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+# Possessive, and looked at once: a long run of characters without a digit costs its length.
+_WORD = re.compile(r"[^\x20\x09-\x0D]++")
 _ANY = re.compile(r"[0-9@]")
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
 
@@ -106,7 +107,7 @@ def _shape(token: str, before: str, after: str) -> int:
 
 def _tokens(text: str, spans: list[tuple[int, int, int]]) -> dict[str, list[int]]:
     """Candidate tokens: place, shape, skip key, label, and whether the token before is a candidate too."""
-    found = [(m.start(), m.end()) for m in _CANDIDATE.finditer(text)]
+    found = [(m.start(), m.end()) for m in _WORD.finditer(text) if _ANY.search(text, m.start(), m.end())]
     out: dict[str, list[int]] = {"start": [], "end": [], "shape": [], "same": [], "label": [], "next": []}
     by_start = sorted((a, b, k) for k, a, b in spans)
     at = 0
