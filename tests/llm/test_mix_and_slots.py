@@ -131,3 +131,27 @@ def test_sharded_keeps_columns(spark):
     assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(str(i) for i, _, _ in rows)
     assert vs.sharded(documents(spark, rows), 4).count() == len(rows)
     assert vs.sharded(documents(spark, []), 4).count() == 0
+
+
+def test_a_stored_map_is_edited_by_version(spark, tmp_path):
+    path = str(tmp_path / "map")
+    docs = documents(spark, [(i, "x" * (1 + i * 7 % 50), "s") for i in range(300)]).withColumn("_slot", F.lit("clash")).withColumn("_entry", F.lit("clash"))
+    runs = [sorted((r["doc_id"], r["shard"], r["map_version"]) for r in vs.sharded(docs, n, path=path).collect()) for n in (4, 4, 5, 5)]
+    assert [len(r) for r in runs] == [300] * 4 and [{v for _, _, v in r} for r in runs] == [{1}, {2}, {3}, {4}]
+    shards = [[s for _, s, _ in r] for r in runs]
+    assert shards[0] == shards[1] and shards[2] == shards[3]
+    moved = [(a, b) for a, b in zip(shards[1], shards[2], strict=True) if a != b]
+    assert 0 < len(moved) < 90 and sum(b != 4 for _, b in moved) <= 5
+    again = vs.store_map(spark, [0] * vs.SLOTS, 2, path)  # a repeated write replaces itself
+    assert again.count() == vs.SLOTS and vs.read_map(spark, path).first()["version"] == 4
+
+
+@pytest.mark.parametrize("copies", [1000, 1])
+def test_shards_stay_near_equal_with_repeated_rows(spark, copies):
+    rows = [(1, "hot " * 10, "s")] * copies + [(None, "also", None)] * copies + [(i, "t" * 40, "s") for i in range(10, 4010)]
+    df = documents(spark, rows).select("doc_id", vs.byte_size(F.col("text")).alias("size"), vs.slot_of(F.col("doc_id"), F.col("text")).alias("virtual_slot"))
+    got = vs.numbered(df, 16, order=["doc_id", "size"]).collect()
+    loads = [sum(r["size"] for r in got if r["shard"] == s) for s in range(16)]
+    assert len(got) == len(rows) and max(loads) - min(loads) <= 0.01 * sum(loads) / 16 + 41
+    for s in range(16):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
