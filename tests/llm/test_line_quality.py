@@ -38,14 +38,14 @@ def brute(rows, line_docs, share, left):
     import hashlib
 
     h = lambda x: int(hashlib.md5(norm(x).encode()).hexdigest()[:15], 16)
-    mates, leads = defaultdict(set), defaultdict(set)
+    sets, hosts = defaultdict(set), defaultdict(set)
     for _, t, s in rows:
-        hs = sorted({h(x) for x in (t or "").split("\n") if norm(x)})
-        for i, x in enumerate(hs):
-            mates[s, x].add(hs[1 if i == 0 else 0] if len(hs) > 1 else -1)
+        hs = frozenset(h(x) for x in (t or "").split("\n") if norm(x))
+        for x in hs:
+            sets[s, x].add(hs)
         if hs:
-            leads[s].add(hs[0])
-    common = {k for k, m in mates.items() if len(m) > line_docs and len(m) > share * len(leads[k[0]])}
+            hosts[s].add(hs)
+    common = {k for k, m in sets.items() if len(m) > line_docs and len(m) > share * len(hosts[k[0]])}
     out = []
     for i, t, s in rows:
         lines = (t or "").split("\n")

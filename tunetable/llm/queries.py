@@ -190,9 +190,10 @@ li AS (SELECT r, source, i, line, trim(regexp_replace(regexp_replace(lower(line)
 lh AS (SELECT *, CASE WHEN norm <> '' THEN CAST('0x' || substr(md5(norm), 1, 15) AS BIGINT) END AS h FROM li),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lh WHERE h IS NOT NULL GROUP BY r),
 hs AS (SELECT r, source, list_sort(list_distinct(list(h))) AS hs FROM lh WHERE h IS NOT NULL GROUP BY r, source),
-held AS (SELECT source, unnest(hs) AS h, generate_subscripts(hs, 1) AS i, hs FROM hs),
-cnt AS (SELECT source, h, count(DISTINCT CASE WHEN len(hs) = 1 THEN -1 WHEN i = 1 THEN hs[2] ELSE hs[1] END) AS docs, max(CASE WHEN i = 1 THEN 1 ELSE 0 END) AS leads FROM held GROUP BY ALL),
-host AS (SELECT source, sum(leads) AS n FROM cnt GROUP BY source),
+different AS (SELECT DISTINCT source, hs FROM hs),
+held AS (SELECT source, unnest(hs) AS h FROM different),
+cnt AS (SELECT source, h, count(*) AS docs FROM held GROUP BY source, h),
+host AS (SELECT source, count(*) AS n FROM different GROUP BY source),
 hot AS (SELECT cnt.source, h FROM cnt JOIN host ON cnt.source IS NOT DISTINCT FROM host.source WHERE docs > {line_quality.LINE_DOCS} AND docs > {line_quality.LINE_SHARE} * host.n),
 st AS (SELECT r, count(*) FILTER (WHERE hot.h IS NOT NULL) AS gone, sum(CASE WHEN hot.h IS NULL THEN len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) ELSE 0 END) AS words_left
        FROM lh LEFT JOIN hot ON lh.source IS NOT DISTINCT FROM hot.source AND lh.h = hot.h GROUP BY r),
