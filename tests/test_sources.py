@@ -92,3 +92,14 @@ def test_inputs_are_spread_by_the_setting_alone(spark):
         assert scan.spread(df, "id") is df
     finally:
         spark.conf.set("tunetable.input.partitions", before)
+
+
+def test_a_repeated_step_is_logged_once(spark, tmp_path):
+    from tunetable.sources.sinks import append_completions
+
+    path = str(tmp_path / "log")
+    rows = lambda steps, tag: spark.createDataFrame([(k, f"p{i}", tag, 0.5) for k in steps for i in range(3)], "step int, prompt string, completion string, advantage double")
+    for steps, tag in (([1, 2], "first"), ([3], "first"), ([2, 3], "again"), ([2, 3], "again")):
+        append_completions(rows(steps, tag), path)
+    got = sorted((r.step, r.completion) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "first")] * 3 + [(2, "again")] * 3 + [(3, "again")] * 3

@@ -16,6 +16,11 @@ def load_prepared(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_completions(df: DataFrame, path: str, rewards: Sequence[str] = ()) -> None:
-    """Append logged completions, one folder per step."""
+    """Log completions, one folder per step.
+
+    The rows of a step replace what the log holds of that step, so a step or job that is repeated leaves
+    one copy; other steps stay. Call it with all rows of a step at once.
+    """
     cols = ["step", "prompt", "completion", *rewards, "advantage"]
-    df.select(*cols).write.mode("append").partitionBy("step").parquet(path)
+    writer = df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("step").parquet(path)
