@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,22 +28,26 @@ def sized_split(df: DataFrame, key: str, train_size: int, order: Column | None =
     return tagged.filter("_train").drop("_order", "_train"), tagged.filter("NOT _train").drop("_order", "_train")
 
 
+def _rows(df: DataFrame) -> Column:
+    """Number of rows, counted when the result is computed."""
+    return df.agg(F.count("*")).scalar()
+
+
 def ordered_split(df: DataFrame, key: str, test_size: float) -> tuple[DataFrame, DataFrame]:
     """Unshuffled split: the last ``ceil(test_size * n)`` rows by key are the test set."""
-    n = df.count()
-    tagged = df.withColumn("_train", first_in_order(df, n - math.ceil(test_size * n), key))
+    n = _rows(df)
+    tagged = df.withColumn("_train", first_in_order(df, n - F.ceil(F.lit(test_size) * n), key))
     return tagged.filter("_train").drop("_train"), tagged.filter("NOT _train").drop("_train")
 
 
 def tail_split(df: DataFrame, key: str, eval_rows: int) -> tuple[DataFrame, DataFrame]:
     """The last ``eval_rows`` rows by key are the evaluation set."""
-    tagged = df.withColumn("_train", first_in_order(df, df.count() - eval_rows, key))
+    tagged = df.withColumn("_train", first_in_order(df, _rows(df) - eval_rows, key))
     return tagged.filter("_train").drop("_train"), tagged.filter("NOT _train").drop("_train")
 
 
 def percent_slice(df: DataFrame, key: str, start: float, stop: float) -> DataFrame:
     """Rows from ``start`` to ``stop`` per cent by key, rounded to whole rows."""
-    n = df.count()
-    lo, hi = (math.floor(p * n / 100 + 0.5) for p in (start, stop))
-    df = df.filter(first_in_order(df, hi, key))
-    return df.filter(~first_in_order(df, lo, key)) if lo else df
+    n = _rows(df)
+    lo, hi = (F.floor(F.lit(float(p)) * n / 100 + 0.5) for p in (start, stop))
+    return df.filter(first_in_order(df, hi, key) & ~first_in_order(df, lo, key))
