@@ -1,9 +1,12 @@
 """Rewards, judges and objectives against plain formulas."""
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -211,7 +214,7 @@ def test_divergence_ends(spark):
         (r"\boxed{\dfrac{-7}{40}}", "-7/40", 1.0),
         (r"\boxed{\frac{7}{4}}", "4/7", 0.0),
         (r"never closed \boxed{3", "3", 0.0),
-        ("🙂 \\boxed{a🙂{b}}", "a🙂{b}", 1.0),
+        ("🙂 \\boxed{a🙂{b}}", r"\boxed{a🙂{b}}", 1.0),
     ],
 )
 def test_answers_in_boxes(one, text, gold, want):
@@ -250,3 +253,56 @@ def test_fitted_weights_follow_the_formula(spark):
         sign = 1 if r.desirable else -1
         loss = math.log1p(math.exp(-sign * (r.r - r.delta))) * (1 if r.desirable else weight)
         assert r.weight == pytest.approx(weight) and r.loss == pytest.approx(loss)
+
+
+@pytest.mark.parametrize(
+    ("text", "gold", "want"),
+    [
+        # A gold answer without a value says nothing about the text.
+        ("Answer is seventeen.", "Answer is seventeen.", None),
+        (r"\boxed{17}", "seventeen", None),
+        ("", None, None),
+        # Prose with a number, formulas between signs, and a text without either.
+        (r"\boxed{17}", "There are 17 of them.", 1.0),
+        ("It is $17$, or rather $18$.", "18", 1.0),
+        (r"It is \(17\).", r"\[17\]", 1.0),
+        ("17", "17", 0.0),
+        (None, "17", 0.0),
+        # One value, other notation.
+        (r"\boxed{0.75}", r"\frac{3}{4}", 1.0),
+        (r"\boxed{\frac{9}{12}}", ".75", 1.0),
+        (r"\boxed{75\%}", "3/4", 1.0),
+        (r"\boxed{75}", r"75\%", 0.0),
+        (r"\boxed{\frac34}", "0.750", 1.0),
+        (r"\boxed{-\frac{3}{4}}", r"\frac{3}{-4}", 1.0),
+        (r"\boxed{+007.0}", "7", 1.0),
+        (r"\boxed{-0}", "0", 1.0),
+        (r"\boxed{1.5/0.25}", "6", 1.0),
+        (r"\boxed{x = 7}", "7", 1.0),
+        (r"\boxed{12\text{ km}}", "12", 1.0),
+        (r"\boxed{\text{B}}", "$B$", 1.0),
+        (r"\boxed{0.3333}", r"\frac{1}{3}", 0.0),
+        (r"\boxed{1/0}", "1/0", 1.0),
+        (r"\boxed{123456789012345678901234567890}", "123456789012345678901234567890", 1.0),
+        (r"\boxed{123456789012345678901234567890}", "123456789012345678901234567891", 0.0),
+        (r"\boxed{999999999999999999/999999999999999998}", "999999999999999999/999999999999999998", 1.0),
+        # Sets in any order, tuples in theirs.
+        (r"\boxed{\{0.5, 2, 2\}}", r"\boxed{\left\{2, \frac{1}{2}\right\}}", 1.0),
+        (r"\boxed{2, 1}", r"\{1, 2\}", 1.0),
+        (r"\boxed{(1, 2)}", "(1.0, 4/2)", 1.0),
+        (r"\boxed{(2, 1)}", "(1, 2)", 0.0),
+        (r"\boxed{[1, 2)}", "(1, 2)", 0.0),
+        (r"\boxed{(7)}", "7", 1.0),
+    ],
+)
+def test_answers_by_value(one, text, gold, want):
+    say = lambda t: F.lit(t).cast("string")
+    assert one(x=R.answer_accuracy(say(text), say(gold))).x == want
+
+
+@given(st.integers(-(10**6), 10**6), st.integers(1, 10**4), st.integers(1, 50))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+def test_fractions_are_reduced(one, a, b, k):
+    f = Fraction(a, b)
+    got = one(x=R.answer_value(F.lit(f"{a * k}/{b * k}")), y=R.answer_value(F.lit(rf"\frac{{{a}}}{{{b}}}")))
+    assert got.x == got.y == f"{f.numerator}/{f.denominator}"

@@ -17,6 +17,13 @@ THINK_ANSWER_LOOSE = r"(?s)\A<think>.*?</think>.*?<answer>.*?</answer>"
 REASONING_ENDS = ("</think>",)
 BOX = "\\boxed{"
 
+# Notation of answers: formulas between signs, spacing without a value, numbers in prose, quotients.
+FORMULA = r"(?s)\$\$?[^$]+\$|\\\(.+?\\\)|\\\[.+?\\\]"
+SPACING = r"\\left|\\right|\\[,;:! ()\[\]]|\^\{?\\circ\}?|[\s$]"
+COMMAND_OR_FUNCTION = r"\\[A-Za-z]+|\b(?:sin|cos|tan|log|ln|exp|sqrt|pi|inf)\b"
+NUMBER = r"[+-]?\d(?:[\d,]*\d)?(?:\.\d+)?(?:/\d+(?:\.\d+)?)?%?"
+QUOTIENT = r"\A([+-]?)(\d*)(?:\.(\d*))?(?:/([+-]?)(\d+)(?:\.(\d*))?)?(\\?%)?\z"
+
 
 def matches(text: Column, pattern: str) -> Column:
     return F.when(F.rlike(text, F.lit(pattern)), 1.0).otherwise(0.0)
@@ -37,11 +44,82 @@ def overlong_penalty(n_tokens: Column, max_length: int, margin: int) -> Column:
 
 
 def extract_answer(text: Column) -> Column:
-    """Normalised answer: the last boxed expression, else the whole text; NULL if nothing is left."""
-    raw = F.coalesce(_last_boxed(text), text)
-    bare = F.regexp_replace(F.regexp_replace(raw, r"[\s$]+", ""), r"(?<=\d),(?=\d{3}(?!\d))", "")
-    plain = F.regexp_replace(bare, r"\\[dt]?frac\{(-?\d+)\}\{(-?\d+)\}", "$1/$2")
-    return F.nullif(F.lower(F.regexp_replace(plain, r"\.+\z", "")), F.lit(""))
+    """Value of the last closed box, else of the last formula between signs; NULL without either."""
+    return answer_value(F.coalesce(_last_boxed(text), _last_formula(text)))
+
+
+def extract_gold(text: Column) -> Column:
+    """Value of a gold answer, which may also be a bare expression or prose with a number; NULL if it holds none."""
+    prose = F.rlike(F.regexp_replace(text, COMMAND_OR_FUNCTION, " "), F.lit(r"\p{L}{2}"))
+    bare = F.when(prose, F.try_element_at(F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0)), F.lit(-1))).otherwise(text)
+    return answer_value(F.coalesce(_last_boxed(text), _last_formula(text), bare))
+
+
+def answer_value(raw: Column) -> Column:
+    """An answer written one way only: equal values are equal texts.
+
+    Whole numbers, decimals, percentages and their quotients become reduced fractions, sets are sorted without
+    repeats, tuples and intervals keep brackets and order; anything else is compared as normalised text.
+    """
+    bare = F.regexp_replace(raw, SPACING, "")
+    bare = F.regexp_replace(bare, r"(?<=[\d}%])\\(?:text|mathrm|mbox)\{[^{}]*\}", "")
+    bare = F.regexp_replace(bare, r"\\(?:text|mathrm|mbox)\{([^{}]*)\}", "$1")
+    bare = F.regexp_replace(bare, r"(?<=\d),(?=\d{3}(?!\d))", "")
+    bare = F.regexp_replace(F.regexp_replace(bare, r"\\[dt]frac", r"\\frac"), r"\\frac(\d)(\d)", r"\\frac{$1}{$2}")
+    bare = F.regexp_replace(bare, r"\\frac\{([+-]?[\d.]+)\}\{([+-]?[\d.]+)\}", "$1/$2")
+    bare = F.regexp_replace(F.lower(F.regexp_replace(bare, r"\.+\z", "")), r"\A[a-z]=(?!.*=)", "")
+
+    def written(t: Column) -> Column:
+        inner = F.regexp_replace(t, r"(?s)\A(?:\\\{|[(\[])(.*)(?:\\\}|[)\]])\z", "$1")
+        items = F.split(inner, r",(?![^({]*[)}])")
+        many = F.rlike(t, F.lit(r"(?s)\A\\\{.*\\\}\z")) | (F.size(items) > 1)
+        ordered = F.rlike(t, F.lit(r"(?s)\A[(\[].*[)\]]\z"))
+        parts = F.transform(F.when(many, items).otherwise(F.array(t)), _number)
+        as_set = lambda p: F.concat(F.lit("{"), F.array_join(F.array_sort(F.array_distinct(p)), ","), F.lit("}"))
+        in_order = lambda p: F.concat(F.left(t, F.lit(1)), F.array_join(p, ","), F.right(t, F.lit(1)))
+        return let(parts, lambda p: F.when(~many, F.get(p, F.lit(0))).when(ordered, in_order(p)).otherwise(as_set(p)))
+
+    return let(F.nullif(bare, F.lit("")), lambda t: F.when(t.isNotNull(), written(t)))
+
+
+def _number(text: Column) -> Column:
+    """A number as a reduced fraction ``a/b``; other text, zero divisors and over 18 digits stay as written."""
+    plain = F.regexp_replace(text, r"(?s)\A[{(](.*)[})]\z", "$1")
+    part = lambda t, i: F.regexp_extract(t, QUOTIENT, i)
+    zeros = lambda digits: F.repeat(F.lit("0"), F.length(digits))
+
+    def sides(t: Column) -> Column:
+        divisor = F.concat(part(t, 5), part(t, 6))
+        top = F.concat(part(t, 2), part(t, 3), zeros(part(t, 6)))
+        bottom = F.concat(F.when(divisor == "", "1").otherwise(divisor), zeros(part(t, 3)), F.when(part(t, 7) == "", "").otherwise("00"))
+        whole = lambda c: F.regexp_replace(c, r"\A0+(?=\d)", "")
+        sign = F.when((part(t, 1) == "-") != (part(t, 4) == "-"), "-").otherwise("")
+        return F.struct(whole(top).alias("top"), whole(bottom).alias("bottom"), sign.alias("sign"))
+
+    def reduced(x: Column) -> Column:
+        # A step of division with remainder at least halves a number in two; five steps a digit are enough.
+        steps = F.sequence(F.lit(0), F.length(x.bottom) * 5)
+        start = F.struct(x.top.try_cast("long").alias("a"), x.bottom.try_cast("long").alias("b"))
+        step = lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.try_mod(s["a"], s["b"]).alias("b")))
+        return let(
+            F.aggregate(steps, start, step)["a"],
+            lambda g: F.concat(F.when(x.top == "0", "").otherwise(x.sign), _quotient(x.top, g), F.lit("/"), _quotient(x.bottom, g)),
+        )
+
+    def number(t: Column) -> Column:
+        exact = lambda x: (F.length(x.top) <= 18) & (F.length(x.bottom) <= 18) & (x.bottom != "0")
+        return let(sides(t), lambda x: F.when(exact(x), reduced(x)).otherwise(t))
+
+    return let(plain, lambda t: F.when(F.rlike(t, F.lit(QUOTIENT)) & F.rlike(t, F.lit(r"\A[+-]?\.?\d")), number(t)).otherwise(t))
+
+
+def _quotient(digits: Column, divisor: Column) -> Column:
+    """``digits div divisor`` as text."""
+    return F.call_function("div", digits.try_cast("long"), divisor).cast("string")
+
+
+def _last_formula(text: Column) -> Column:
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(FORMULA), F.lit(0)), F.lit(-1))
 
 
 def _last_boxed(text: Column) -> Column:
@@ -58,9 +136,9 @@ def _last_boxed(text: Column) -> Column:
 
 
 def answer_accuracy(text: Column, gold: Column) -> Column:
-    """1 or 0; NULL if there is no gold answer to compare with."""
-    want = extract_answer(gold)
-    return F.when(want.isNotNull(), F.when(F.coalesce(extract_answer(text) == want, F.lit(False)), 1.0).otherwise(0.0))
+    """1 or 0; NULL if the gold answer holds no value to compare with."""
+    right = let(extract_gold(gold), lambda want: F.when(want.isNotNull(), F.coalesce(extract_answer(text) == want, F.lit(False))))
+    return F.when(right, 1.0).when(~right, 0.0)
 
 
 def reasoning_accuracy(text: Column, gold: Column, ends: Sequence[str] = REASONING_ENDS) -> Column:

@@ -101,42 +101,42 @@ def overlong_reward(spark, sf):
     return turn_tokens(spark, sf).select("group_id", "idx", num(R.overlong_penalty(F.size("completion_ids"), 250, 100)).alias("reward"))
 
 
-# Answers: the completion's word count in a box; the gold answer is right, wrong or missing by turn.
-_BOX = rf"completion || ' \boxed{{' || len({sql_words('completion')}) || '}}.'"
-_GOLD = rf"CASE idx % 4 WHEN 1 THEN '$' || len({sql_words('completion')}) || '$' WHEN 3 THEN '\boxed{{' || (len({sql_words('completion')}) + 1) || '}}' ELSE ' . ' END"
-
-
-def _boxed(df):
-    n = n_words(F.col("completion")).cast("string")
-    gold = (
-        F.when(F.col("idx") % 4 == 1, F.concat(F.lit("$"), n, F.lit("$")))
-        .when(F.col("idx") % 4 == 3, F.concat(F.lit("\\boxed{"), (n_words(F.col("completion")) + 1).cast("string"), F.lit("}")))
-        .otherwise(" . ")
+# Answers: half the completion's word count in a box, in a notation by row; the gold answer is right, wrong or has no value
+# by turn, in another notation. The twin compares the numbers that were written, not their texts.
+def _notations(n):
+    """``n`` halves, written six ways."""
+    say = lambda c: c.cast("string")
+    return F.array(
+        F.concat(F.lit("\\frac{"), say(n), F.lit("}{2}")),
+        F.concat(say(n), F.lit("/2")),
+        F.concat(say(F.floor(n / 2)), F.lit("."), say(n % 2 * 5)),
+        F.concat(say(n * 50), F.lit("\\%")),
+        F.concat(F.lit(" \\dfrac{"), say(n * 3), F.lit("}{6} ")),
+        F.concat(say(n), F.lit(".0/2.00")),
     )
-    return df.withColumn("boxed", F.concat("completion", F.lit(" \\boxed{"), n, F.lit("}."))).withColumn("gold", gold)
 
 
-def _sql_answer(x: str) -> str:
-    box = rf"regexp_extract_all({x}, '\\boxed\{{([^{{}}]*(?:\{{[^{{}}]*\}}[^{{}}]*)*)\}}', 1)"
-    raw = f"CASE WHEN len({box}) > 0 THEN {box}[-1] ELSE {x} END"
-    return rf"nullif(lower(regexp_replace(regexp_replace({raw}, '[\s$,]+', '', 'g'), '\.+$', '')), '')"
-
-
-def _sql_accuracy(x: str, gold: str) -> str:
-    return f"CASE WHEN {_sql_answer(gold)} IS NULL THEN NULL WHEN coalesce({_sql_answer(x)} = {_sql_answer(gold)}, false) THEN 1.0 ELSE 0.0 END::DOUBLE"
+def _boxed(df):
+    n = n_words(F.col("completion")).cast("long")
+    asked = F.when(F.col("idx") % 4 == 3, n + 1).otherwise(n)
+    pick = lambda forms, by: F.get(forms, F.pmod(by, F.lit(6)).cast("int"))
+    gold = F.when(F.col("idx") % 2 == 1, F.concat(F.lit("$"), pick(_notations(asked), F.col("idx") + F.col("group_id")), F.lit("$"))).otherwise("No number at all.")
+    box = F.concat("completion", F.lit(" \\boxed{"), pick(_notations(n), n), F.lit("}."))
+    return df.withColumn("boxed", box).withColumn("gold", gold)
 
 
-_SQL_BOXED = f"{SQL_ROLLOUTS}, bx AS (SELECT *, {_BOX} AS boxed, {_GOLD} AS gold FROM rollouts)"
+_SQL_RIGHT = "CASE WHEN idx % 2 = 1 THEN CASE WHEN n = asked THEN 1.0 ELSE 0.0 END END::DOUBLE"
+_SQL_BOXED = f"""{SQL_ROLLOUTS}, bx AS (SELECT *, CASE WHEN idx % 4 = 3 THEN n + 1 ELSE n END AS asked FROM (SELECT *, len({sql_words('completion')}) AS n FROM rollouts))"""
 
 
-@query(f"WITH {_SQL_BOXED} SELECT group_id, idx, {_sql_accuracy('boxed', 'gold')} AS reward FROM bx")
+@query(f"WITH {_SQL_BOXED} SELECT group_id, idx, {_SQL_RIGHT} AS reward FROM bx")
 def accuracy_reward(spark, sf):
     return _boxed(rollouts(spark, sf)).select("group_id", "idx", R.answer_accuracy(F.col("boxed"), F.col("gold")).alias("reward"))
 
 
 @query(
-    f"""WITH {_SQL_BOXED}, t AS (SELECT *, CASE WHEN length(completion) % 3 = 0 THEN boxed ELSE gold || '</think>' || boxed END AS t FROM bx)
-    SELECT group_id, idx, CASE WHEN NOT contains(t, '</think>') THEN 0.0::DOUBLE ELSE {_sql_accuracy("string_split(t, '</think>')[-1]", 'gold')} END AS reward FROM t"""
+    f"""WITH {_SQL_BOXED}, t AS (SELECT *, length(completion) % 3 <> 0 OR contains(completion, '</think>') AS ended FROM bx)
+    SELECT group_id, idx, CASE WHEN NOT ended THEN 0.0::DOUBLE ELSE {_SQL_RIGHT} END AS reward FROM t"""
 )
 def reasoning_reward(spark, sf):
     df = _boxed(rollouts(spark, sf))
@@ -179,7 +179,7 @@ _TASK = "CASE idx % 3 WHEN 0 THEN 'math' WHEN 1 THEN 'coding' ELSE 'chat' END"
 
 
 @query(
-    f"""WITH {_SQL_BOXED}, t AS (SELECT *, {_TASK} AS task FROM bx) SELECT group_id, idx, CASE WHEN task = 'math' THEN {_sql_accuracy('boxed', 'gold')} END AS math_reward,
+    f"""WITH {_SQL_BOXED}, t AS (SELECT *, {_TASK} AS task FROM bx) SELECT group_id, idx, CASE WHEN task = 'math' THEN {_SQL_RIGHT} END AS math_reward,
     CASE WHEN task = 'coding' THEN CASE WHEN contains(completion, ',') THEN 1.0 ELSE -1.0 END::DOUBLE END AS code_reward FROM t"""
 )
 def task_rewards(spark, sf):
