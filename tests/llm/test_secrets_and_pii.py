@@ -62,6 +62,18 @@ def test_secret_spans(spark):
     assert so.scan(documents(spark, [])).count() == 0
 
 
+def test_verdict_uses_owners_and_repositories(spark):
+    key = lambda c: f"{c}a1B2c3D4e5F6g7H8i9J0k1L2m3"
+    # Owner, repository, key: in 3 of 4 repositories, in 2 of 4, in 1 of 1, with two owners, and with owners NULL and empty.
+    held = [("o", f"r{i}", key("M")) for i in range(3)] + [("o", f"r{i}", key("F")) for i in (0, 3)] + [("p", None, key("S"))] * 5
+    held += [("o", "r0", key("T")), ("p", None, key("T")), (None, "r0", key("N")), ("", "r0", key("N")), (None, "r0", key("U")), (None, None, "")]
+    rows = [(i, f"token={v}", o, r) for i, (o, r, v) in enumerate(held)]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, source string, lang string")
+    got = {(r["doc_id"], x["owners"], x["repositories"], x["live"]) for r in so.scan(df).collect() for x in r["spans"]}
+    wanted = {"M": (1, 3, False), "F": (1, 2, True), "S": (1, 1, True), "T": (2, 2, False), "N": (2, 2, False), "U": (1, 1, True)}
+    assert got == {(i, *wanted[v[0]]) for i, (_, _, v) in enumerate(held) if v}
+
+
 def luhn(d):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 

@@ -247,15 +247,17 @@ def _sql_hits(at: int) -> str:
     _, pattern, group, least = secret_owners.KINDS[at]
     quoted = "'" + pattern.replace("'", "''") + "'"
     mixed = " AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')" if at == 3 else ""
-    return f"""SELECT *, length(value) >= {least}{mixed} AS good FROM (SELECT r, owner, {at} AS k, generate_subscripts(hit, 1) AS i, unnest(hit) AS hit, unnest(value) AS value, unnest(list_slice(gap, 1, len(hit))) AS gap
-    FROM (SELECT r, owner, regexp_extract_all(text, {quoted}, 0) AS hit, regexp_extract_all(text, {quoted}, {group}) AS value, regexp_split_to_array(text, {quoted}) AS gap FROM d))"""
+    return f"""SELECT *, length(value) >= {least}{mixed} AS good FROM (SELECT r, owner, repo, {at} AS k, generate_subscripts(hit, 1) AS i, unnest(hit) AS hit, unnest(value) AS value, unnest(list_slice(gap, 1, len(hit))) AS gap
+    FROM (SELECT r, owner, repo, regexp_extract_all(text, {quoted}, 0) AS hit, regexp_extract_all(text, {quoted}, {group}) AS value, regexp_split_to_array(text, {quoted}) AS gap FROM d))"""
 
 
 SQL["op7_secret_owners"] = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce('=' || source, '') AS owner, coalesce('=' || lang, '') AS repo FROM documents),
+held AS (SELECT owner, count(DISTINCT repo) AS held FROM d GROUP BY owner),
 h AS ({" UNION ALL ".join(_sql_hits(k) for k in range(4))}),
 p AS (SELECT *, CAST(fin - length(hit) AS BIGINT) AS beg FROM (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY r, k ORDER BY i) AS fin FROM h) WHERE good),
-o AS (SELECT value, count(DISTINCT owner) <= {secret_owners.LIVE_OWNERS} AS live FROM p GROUP BY value),
+v AS (SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repo)) AS repos, min(owner) AS owner FROM p GROUP BY value),
+o AS (SELECT value, owners <= {secret_owners.LIVE_OWNERS} AND (repos <= 1 OR repos <= held * {secret_owners.LIVE_SHARE}) AS live FROM v JOIN held USING (owner)),
 j AS (SELECT r, k, beg, fin, live, ['assign', 'access', 'hex', 'token'][k + 1] || ':' || beg || ':' || fin AS said FROM p JOIN o USING (value)),
 f AS (SELECT * FROM j WHERE k < 3 OR (live AND NOT EXISTS (SELECT 1 FROM j b WHERE b.r = j.r AND b.k < 3 AND b.beg < j.fin AND j.beg < b.fin))),
 g AS (SELECT r, count(*) FILTER (WHERE k = 0) AS a, count(*) FILTER (WHERE k = 1) AS b, count(*) FILTER (WHERE k = 2) AS c, count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_copied,

@@ -1,8 +1,9 @@
 """Secret scans judged by corpus-wide ownership. DataFrame functions only.
 
 Candidates are found by pattern in every whole text, and their values hashed. Over the
-whole corpus each hash's distinct repositories and owners are counted: a value that many owners
-hold is a copied example, one that belongs to a single owner looks live. Patterned kinds are
+whole corpus each hash's distinct repositories and owners are counted: a value that several owners
+hold is a copied example, and so is one that a single owner carries through most of many repositories;
+one that belongs to one owner and few of its repositories looks live. Patterned kinds are
 always reported; a free-form high-entropy token (kind ``token``) is reported only if it looks live
 and does not touch a patterned span.
 
@@ -34,6 +35,8 @@ KINDS = (
 FREE_FORM = "token"
 # A value held by more owners than this is an example.
 LIVE_OWNERS = 1
+# So is one in more than one repository and in more than this share of its owner's repositories.
+LIVE_SHARE = 0.5
 
 SPAN = ("kind", "start", "end", "value", "owners", "repositories", "live")
 _HIT = "array<struct<kind:int,i:int,gap:int,size:int,good:boolean,value:bigint>>"
@@ -72,18 +75,20 @@ def scan(
     owner: str = "source",
     repository: Sequence[str] = ("source", "lang"),
     live_owners: int = LIVE_OWNERS,
+    live_share: float = LIVE_SHARE,
 ) -> DataFrame:
     """``<key>, spans`` for every row; ``spans`` lists ``kind, start, end, value, owners, repositories, live`` by
     start, then kind (code points, end exclusive; ``value`` is a hash).
 
-    NULL and empty texts have no spans. NULL owners and repositories count as one each. Repeated rows
-    are repeated in the result and count once. An empty table gives an empty result.
+    NULL and empty texts have no spans. NULL owners and repositories count as one each, apart from empty ones. Repeated
+    rows are repeated in the result and count once. An empty table gives an empty result.
     """
     body = whole(F.col(text))
     rows = df.select(
         F.col(key).alias("key"),
-        F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
-        F.xxhash64(*repository).alias("repository"),
+        F.col(owner).cast("string").alias("owner"),
+        # NULL has a hash of its own.
+        F.xxhash64(*[F.concat(F.lit("="), F.col(c).cast("string")) for c in repository], *[F.col(c).isNull() for c in repository]).alias("repository"),
         F.concat(*[_hits(body, k) for k in range(len(KINDS))]).alias("hits"),
     )
     # Stored, so that texts are scanned once and a row's number stays what it is.
@@ -96,9 +101,16 @@ def scan(
     # ``rows`` counts the hits of a value, so that those of a widely copied one can be spread.
     held = hits.filter("good").groupBy("value", "owner", "repository").agg(F.count("*").alias("rows"))
     owned = held.groupBy("value", "owner").agg(F.count("*").alias("repositories"), F.sum("rows").alias("rows"))
-    counted = owned.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("rows").alias("rows"))
-    judged = join_unique(placed.select("row", "kind", "start", "end", "value"), settle(counted), ["value"], "rows", ["owners", "repositories"])
-    judged = judged.withColumn("live", F.col("owners") <= live_owners)
+    counted = owned.groupBy("value").agg(
+        F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("rows").alias("rows"), F.min("owner").alias("owner")
+    )
+    # The repositories of each owner, with or without candidates. Values of a hot owner are spread.
+    holdings = rows.groupBy("owner", "repository").agg(F.count("*").alias("documents")).groupBy("owner")
+    holdings = settle(holdings.agg(F.count("*").alias("held"), F.sum("documents").alias("documents")))
+    counted = join_unique(settle(counted), holdings, ["owner"], "documents", ["held"])
+    few = (F.col("repositories") <= 1) | (F.col("repositories") <= F.col("held") * F.lit(live_share))
+    counted = settle(counted.withColumn("live", (F.col("owners") <= live_owners) & few))
+    judged = join_unique(placed.select("row", "kind", "start", "end", "value"), counted, ["value"], "rows", ["owners", "repositories", "live"])
 
     # A free-form token touches a patterned span if one that starts no later reaches it, or the next one starts inside it.
     patterned = F.col("kind") < len(KINDS) - 1
