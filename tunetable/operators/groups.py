@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunetable.functions.objectives import clip
-from tunetable.operators.ordering import exact_quantile
+from tunetable.operators.ordering import exact_quantile, running_totals
 from tunetable.operators.skew import with_group_stats
 
 EPS = 1e-4
 ZERO_STD = 1e-8
+_UNITS = 1 << 52
 
 
 def all_null_rows(df: DataFrame, rewards: Sequence[str]) -> DataFrame:
@@ -101,34 +102,41 @@ def weighted_draw(df: DataFrame, weight: str, n: int, u: Column, tie: Sequence[s
 
 
 def draw_with_replacement(rows: DataFrame, buffer: DataFrame, weight: str, keys: Sequence[str], u: Column, out: str) -> DataFrame:
-    """Give every row one buffered group by weight. The buffer has bounded capacity, so it fits one value."""
-    entries = F.array_sort(F.collect_list(F.struct(*keys, F.col(weight).alias("w"))))
-    start = F.struct(F.lit(0.0).alias("upto"), F.array().cast("array<double>").alias("ends"))
-    ends = F.aggregate(
-        entries, start, lambda s, e: F.struct((s.upto + e.w).alias("upto"), F.array_append(s.ends, s.upto + e.w).alias("ends"))
+    """Give every row one buffered group by weight, NULL from an empty buffer.
+
+    Weights are laid end to end as whole numbers out of 2^52 and cut by a guide table of as many equal cells as
+    groups. A row looks up its cell, which holds two groups on average, so the buffer's size does not matter to it.
+    Cells are drawn evenly whatever the weights. A share below 2^-53 is never drawn.
+    """
+    every = buffer.filter(F.col(weight) > 0).agg(F.sum(weight).cast("double")).scalar()
+    units = buffer.filter(F.col(weight) > 0).select(*keys, F.col(weight).alias("w"), F.rint(F.col(weight) / every * F.lit(float(_UNITS))).cast("long").alias("_n"))
+    placed = running_totals(units.filter("_n > 0"), list(keys), {"_lo": F.col("_n")}).withColumn("_hi", F.col("_lo") + F.col("_n"))
+    size = placed.agg(F.struct(F.max("_hi").alias("total"), F.ceil(F.max("_hi") / F.count("*")).alias("width"))).scalar()
+    cell = lambda at: F.floor(at / size.width)
+    guide = placed.select(
+        F.struct(*keys, "w").alias(out), "_lo", "_hi", F.explode(F.sequence(cell(F.col("_lo")), cell(F.col("_hi") - 1))).alias("_guide")
     )
-    table = buffer.agg(F.struct(entries.alias("entries"), ends.ends.alias("ends"), ends.upto.alias("total")).alias("b"))
-    rows = rows.withColumn("_b", table.scalar()).withColumn("_u", u)
-    at = F.size(F.filter("_b.ends", lambda e: e <= F.col("_u") * F.col("_b.total")))
-    picked = F.get(F.col("_b.entries"), F.least(at, F.size("_b.entries") - 1))
-    return rows.withColumn(out, picked).drop("_b", "_u")
+    drawn = rows.withColumn("_at", F.least(F.floor(u * size.total), size.total - 1)).withColumn("_cell", cell(F.col("_at")))
+    inside = (F.col("_cell") == F.col("_guide")) & (F.col("_at") >= F.col("_lo")) & (F.col("_at") < F.col("_hi"))
+    return drawn.join(guide, inside, "left").drop("_at", "_cell", "_guide", "_lo", "_hi")
 
 
 def fill_from_replay(groups: DataFrame, keys: Sequence[str], std: str, buffer: DataFrame, u: Column) -> DataFrame:
     """A replayed group for each zero-variance group, drawn by score with the numbers ``u``.
 
-    Without replacement while the buffer is large enough, else with.
+    Without replacement while the buffer is large enough, else with. Which of the two is decided inside the plan.
     """
     flat = groups.filter(F.col(std) < ZERO_STD).select(*keys)
-    needed, held = flat.count(), buffer.count()
-    if needed > held:
-        drawn = draw_with_replacement(flat, buffer, "score", keys, u, "_r")
-        return drawn.select(*keys, *[F.col(f"_r.{k}").alias(f"replay_{k}") for k in keys])
+    enough = flat.agg(F.count("*")).scalar() <= buffer.agg(F.count("*")).scalar()
+    replayed = lambda x: [x[k].alias(f"replay_{k}") for k in keys]
+    again = draw_with_replacement(flat.filter(~enough), buffer, "score", keys, u, "_r").select(*keys, *replayed(F.col("_r")))
     # At most as many rows as the buffer holds on both sides.
-    drawn = weighted_draw(buffer, "score", needed, u, keys)
-    number = lambda df: df.withColumn("_i", F.row_number().over(Window.orderBy(*keys)))
-    renamed = number(drawn).select("_i", *[F.col(k).alias(f"replay_{k}") for k in keys])
-    return number(flat).join(renamed, "_i").drop("_i")
+    drawn = buffer.select((-F.log(u) / F.col("score")).alias("_k"), *keys)
+    in_order = drawn.agg(F.array_sort(F.collect_list(F.struct("_k", *keys)))).scalar()
+    asking = flat.filter(enough).agg(F.array_sort(F.collect_list(F.struct(*keys))).alias("a")).withColumn("d", in_order)
+    pair = lambda a, d: F.struct(*[a[k].alias(k) for k in keys], *replayed(d))
+    once = asking.select(F.inline(F.zip_with("a", F.slice("d", F.lit(1), F.size("a")), pair)))
+    return again.unionByName(once)
 
 
 def high_entropy_mask(df: DataFrame, seq: str, values: str, mask: str, q: float) -> DataFrame:

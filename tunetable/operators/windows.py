@@ -74,8 +74,8 @@ def window_to_budget(
 
 
 def budget_filter(df: DataFrame, prompt_tokens: Column, messages: Column, budget: int, max_messages: int) -> DataFrame:
-    """Rows within the prompt budget and message count; an empty result is an error."""
+    """Rows within the prompt budget and message count; an empty result is an error once the rows are read."""
     kept = df.filter((messages <= max_messages) & (messages > 0) & (prompt_tokens <= budget))
-    if kept.isEmpty():
-        raise ValueError("no row is within the budget")
-    return kept
+    nothing = F.raise_error(F.lit("no row is within the budget")).cast("boolean")
+    alarm = kept.agg(F.count("*").alias("_n")).filter(F.when(F.col("_n") == 0, nothing).otherwise(False))
+    return kept.unionAll(alarm.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kept.schema.fields]))
