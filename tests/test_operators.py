@@ -173,6 +173,20 @@ def test_leave_one_out(spark):
     assert got == {(1, 1.0): -3.0, (1, 2.0): -1.5, (1, 6.0): 4.5, (2, 5.0): 0.0}
 
 
+def test_advantages_of_a_list_equal_those_of_rows(spark):
+    rng = random.Random(6)
+    lists = [[rng.choice([0.0, 0.35, 1.0, None, -2.5]) for _ in range(rng.randrange(0, 9))] for _ in range(30)] + [[0.35] * 7, [None, None], []]
+    df = spark.createDataFrame(list(enumerate(lists)), "g long, r array<double>")
+    one = df.select("g", F.posexplode(groups.advantages_in_row(F.col("r"))).alias("i", "x")).select("g", "i", "x.*")
+    many = groups.group_advantage(df.select("g", F.posexplode("r").alias("i", "reward")), ["g"], "reward")
+    key = lambda r: (r.g, r.i)
+    got, want = sorted(one.collect(), key=key), sorted(many.collect(), key=key)
+    assert len(got) == sum(map(len, lists)) and list(map(key, got)) == list(map(key, want))
+    for a, b in zip(got, want):
+        assert a.reward == b.reward and a.group_mean == pytest.approx(b.group_mean) and a.group_std == pytest.approx(b.group_std)
+        assert a.advantage == pytest.approx(b.advantage) and a.zero_std == b.zero_std
+
+
 def test_replay_buffer(spark):
     scores = spark.createDataFrame([(i, s) for i, s in enumerate([1.25, 0.1, 2.5, 1.25, 0.05, 3.0, 0.75, 0.75])], "g long, score double")
     kept = [r.score for r in groups.replay_buffer(scores, ["g"], 4).collect()]

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunetable.functions.objectives import clip
+from tunetable.functions.binding import let
+from tunetable.functions.objectives import array_sum, clip
 from tunetable.operators.ordering import exact_quantile, running_totals
 from tunetable.operators.skew import with_group_stats
 
@@ -46,6 +47,26 @@ def group_advantage(df: DataFrame, keys: Sequence[str], reward: str, scale: str
     return out.withColumn("advantage", scaled).withColumn("zero_std", F.col("group_std") < ZERO_STD)
 
 
+def advantages_in_row(rewards: Column) -> Column:
+    """The same for a group that is one list of rewards: structs ``reward, group_mean, group_std, advantage, zero_std``
+    in the list's order. NULL rewards take no part in mean and std; nothing is shuffled."""
+    known = F.filter(rewards, lambda r: r.isNotNull())
+
+    def spread(m: Column) -> Column:
+        n = F.size(known)
+        squares = array_sum(F.transform(known, lambda r: (r - m) * (r - m)))
+        return F.struct(m.alias("mean"), F.when(n > 1, F.sqrt(squares / F.greatest(n - 1, F.lit(1)))).otherwise(0.0).alias("std"))
+
+    def row(r: Column, s: Column) -> Column:
+        scaled = (r - s["mean"]) / (s["std"] + EPS)
+        return F.struct(
+            r.alias("reward"), s["mean"].alias("group_mean"), s["std"].alias("group_std"), scaled.alias("advantage"), (s["std"] < ZERO_STD).alias("zero_std")
+        )
+
+    mean = array_sum(known) / F.nullif(F.size(known), F.lit(0))
+    return let(let(mean, spread), lambda s: F.transform(rewards, lambda r: row(r, s)))
+
+
 def leave_one_out_advantage(
     df: DataFrame,
     keys: Sequence[str],

@@ -154,9 +154,9 @@ _SQL_MODELS = (
 def _judged(spark, sf):
     """Two models' completions by prompt with a verdict; some judgements fail."""
     pairs = text_pairs(spark, sf)
-    both = pair_models(pairs, pairs, "conv_id", "rejected", ("reference", "_")).drop("_")
-    policy = pair_models(pairs, pairs, "conv_id", "chosen", ("policy", "_")).drop("_")
-    df = both.join(policy, "conv_id").join(pairs.select("conv_id", "prompt"), "conv_id")
+    asked, answered = F.struct("prompt", F.col("rejected").alias("text")), F.struct(F.col("chosen").alias("text"))
+    both = pair_models(pairs.select("conv_id", asked.alias("c")), pairs.select("conv_id", answered.alias("c")), "conv_id", "c", ("first", "second"))
+    df = both.select("conv_id", "first.prompt", F.col("first.text").alias("reference"), F.col("second.text").alias("policy"))
     n, m = F.length("policy"), F.length("reference")
     winner = F.when(n % 7 == 0, -1).when(n > m, 1).otherwise(0)
     return df.withColumn("winner", winner).withColumn("p", 1.0 / (1.0 + F.exp((m - n) / 500.0)))

@@ -47,14 +47,14 @@ def conversation_advantage(spark, sf):
     """Assistant turns as rollouts of what opens their conversation: prompt text, length reward, advantage."""
     m = F.col("messages")
     opening = head(m, first_index(m, lambda x: x.role == "assistant") - 1)
-    numbered = F.transform(m, lambda x, i: F.struct(i.cast("long").alias("turn"), x.role.alias("role"), x.content.alias("content")))
-    rows = (
-        message_table(spark, sf)
-        .select("conv_id", F.md5(render_chat(opening, ask=True)).alias("prompt"), F.explode(numbered).alias("x"))
-        .filter("x.role = 'assistant'")
-        .select("conv_id", "x.turn", "prompt", overlong_penalty(n_words(F.col("x.content")), 300, 200).alias("reward"))
+    numbered = F.transform(m, lambda x, i: F.struct(i.cast("long").alias("turn"), x.role.alias("role"), n_words(x.content).alias("n")))
+    # A conversation is one row, so its group is too: nothing is shuffled after the messages are gathered.
+    rows = message_table(spark, sf).select(
+        "conv_id", F.md5(render_chat(opening, ask=True)).alias("prompt"), F.filter(numbered, lambda x: x.role == "assistant").alias("said")
     )
-    out = G.group_advantage(rows, ["conv_id"], "reward")
+    scored = G.advantages_in_row(F.transform("said", lambda x: overlong_penalty(x.n, 300, 200)))
+    paired = F.zip_with("said", scored, lambda x, s: F.struct(x.turn.alias("turn"), s.reward.alias("reward"), s.advantage.alias("advantage"), s.zero_std.alias("zero_std")))
+    out = rows.select("conv_id", "prompt", F.inline(paired))
     return out.select("conv_id", "turn", "prompt", num(F.col("reward")).alias("reward"), num(F.col("advantage")).alias("advantage"), "zero_std")
 
 

@@ -315,10 +315,11 @@ _VALID = "list_filter(completion_ids, lambda x: x % 3 <> 0)"
 )
 def flushed_rows(spark, sf):
     df = turn_tokens(spark, sf).withColumn("mask", F.transform("completion_ids", lambda x: F.when(x % 3 != 0, 1).otherwise(0)))
-    left = flush(df, "completion_ids", "mask", "left", ["group_id"], FILL)
-    right = flush(df, "completion_ids", "mask", "right", ["group_id"], FILL).select("group_id", "idx", F.col("completion_ids").alias("r"))
-    return left.join(right, ["group_id", "idx"]).select(
-        "group_id", "idx", show_ids(F.col("completion_ids")).alias("flushed_left"), show_ids(F.col("r")).alias("flushed_right"),
+    # Flushed once; the other side has the same tokens and as much padding.
+    out = flush(df, "completion_ids", "mask", "left", ["group_id"], FILL)
+    valid = K.valid_only(F.col("completion_ids"), F.col("mask"))
+    return out.select(
+        "group_id", "idx", show_ids(F.col("completion_ids")).alias("flushed_left"), show_ids(K.pad(valid, F.size("mask"), FILL, "left")).alias("flushed_right"),
         show_ids(F.col("mask")).alias("mask"),
     )
 
