@@ -6,6 +6,7 @@ by a broadcast, so one prompt with a third of all rollouts is spread like the ot
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -160,10 +161,18 @@ def fill_from_replay(groups: DataFrame, keys: Sequence[str], std: str, buffer: D
     return again.unionByName(once)
 
 
-def high_entropy_mask(df: DataFrame, seq: str, values: str, mask: str, q: float) -> DataFrame:
-    """Mark valid tokens whose entropy reaches the quantile over all valid tokens."""
+def high_entropy_mask(df: DataFrame, seq: str, values: str, mask: str, q: float, rank_error: float | None = None) -> DataFrame:
+    """Mark valid tokens whose entropy reaches the quantile over all valid tokens.
+
+    Exact and interpolated, by a sort of the distinct values; with ``rank_error`` from a mergeable sketch in one
+    aggregation: the threshold is a value whose rank is off by at most that share of all valid tokens.
+    """
     tokens = df.select(F.explode(F.arrays_zip(F.col(values).alias("v"), F.col(mask).alias("m"))).alias("t"))
-    threshold = exact_quantile(tokens.filter("t.m = 1").select(F.col("t.v").alias("v")), "v", q)
+    valid = tokens.filter("t.m = 1").select(F.col("t.v").alias("v"))
+    if rank_error is None:
+        threshold = exact_quantile(valid, "v", q)
+    else:
+        threshold = valid.agg(F.percentile_approx("v", q, math.ceil(1 / rank_error)))
     df = df.withColumn("_t", threshold.scalar())
     keep = F.zip_with(values, mask, lambda v, m: (m == 1) & (v >= F.col("_t")))
     return df.withColumn("entropy_mask", F.transform(keep, lambda x: x.cast("int"))).withColumnRenamed("_t", "threshold")

@@ -276,6 +276,18 @@ def high_entropy_tokens(spark, sf):
     return out.select("conv_id", "turn", kept.alias("kept"), num(F.col("threshold")).alias("threshold"))
 
 
+@query(f"WITH {SQL_TOKEN_ROWS} SELECT count(*) AS tokens, true AS within_error FROM tr WHERE mask = 1")
+def high_entropy_sketch(spark, sf):
+    """Whether the sketch's threshold keeps the rank error it promises, over all valid tokens."""
+    q, error = 0.8, 0.001
+    rows = sequence_rows(spark, sf).withColumn("entropy", F.transform("policy", lambda x: -x))
+    out = G.high_entropy_mask(rows.select("entropy", "mask"), "turn", "entropy", "mask", q, error)
+    tokens = out.select("threshold", F.explode(F.arrays_zip(F.col("entropy").alias("v"), F.col("mask").alias("m"))).alias("t")).filter("t.m = 1")
+    below, upto = F.count_if(F.col("t.v") < F.col("threshold")), F.count_if(F.col("t.v") <= F.col("threshold"))
+    n = F.count("*")
+    return tokens.agg(n.alias("tokens"), ((below <= (q + error) * n + 1) & (upto >= (q - error) * n - 1)).alias("within_error"))
+
+
 @query(
     f"""WITH {SQL_TOKEN_ROWS}, f AS (SELECT conv_id % 4 AS rank, mask, CASE WHEN exp({_W}) < 0.8 AND a < 0 THEN 1.0 ELSE 0.0 END AS lo, CASE WHEN exp({_W}) > 1.2 AND a > 0 THEN 1.0 ELSE 0.0 END AS hi FROM tr),
     r AS (SELECT rank, sum(lo * mask) / greatest(sum(mask), 1) AS lo, sum(hi * mask) / greatest(sum(mask), 1) AS hi, sum(greatest(lo, hi) * mask) / greatest(sum(mask), 1) AS reg FROM f GROUP BY rank)
