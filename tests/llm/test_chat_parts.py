@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -57,6 +58,32 @@ def test_parts_of_every_type(spark):
     assert got[1]["formatted"][s["start"] : s["start"] + s["size"]] == "fine<|document:3|>"
 
 
+def test_long_conversations_in_linear_time(spark):
+    n = 100_000
+    turns = spark.range(n).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("\ufeff漢🙂 <turn "), F.col("id").cast("string"), F.lit("> "), F.repeat(F.lit("words "), 30)).alias("text"),
+    )
+    out = cp.format_conversations(turns.withColumn("parts", cp.text_part(F.col("text"))))
+    began = time.monotonic()
+    got = out.select(F.sha2(cp.masked_text(F.col("formatted"), F.col("spans")), 256).alias("h"), F.size("spans").alias("n")).first()
+    assert time.monotonic() - began < 60
+    said = "".join(f"\ufeff漢🙂 <turn {i}> " + "words " * 30 for i in range(1, n, 2))
+    assert (got["h"], got["n"]) == (hashlib.sha256(said.encode()).hexdigest(), n // 2)
+
+
+def test_clashing_columns_and_many_parts(spark):
+    names = ["before", "at", "visits", "places", "head", "body", "p", "start", "piece"]
+    df = table(spark, [(1, 0, "user", "a"), (1, 1, "assistant", "b")])
+    for name in names:
+        df = df.withColumn(name, F.lit("other"))
+    assert cp.format_conversations(df).first()["formatted"] == "<|turn|>user<|text|>a<|end|><|turn|>assistant<|text|>b<|end|>"
+    one = ("image", None, "a.png", 1, 1, None, None)
+    many = [x for _ in range(2000) for x in (("text", "t", None, None, None, None, None), one)]
+    got = cp.format_conversations(spark.createDataFrame([(1, 0, "user", many)], f"conv_id long, turn long, role string, parts array<{cp.PART}>")).first()
+    assert [a["number"] for a in got["attachments"]] == list(range(1, 2001))
+
+
 def test_query(spark):
     got = {r["conv_id"]: r for r in QUERIES["op6_chat_parts"](spark, SF).collect()}
     text = "</s>[INST] ok [/INST]"

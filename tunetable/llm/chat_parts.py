@@ -82,7 +82,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     so_far = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
 
     rows = rows.withColumn("before", so_far(F.size(F.filter("parts", lambda p: ~_is_text(p)))))
-    rows = rows.withColumn("at", F.row_number().over(order)).withColumn("visits", F.transform("parts", _visit))
+    places = F.filter(F.transform("parts", lambda p, i: F.when(~_is_text(p), i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("at", F.row_number().over(order)).withColumn("places", places).withColumn("visits", F.transform("parts", _visit))
     rows = rows.withColumn("head", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(BODY))).withColumn(
         "body", F.array_join(F.transform("visits", lambda v: v["shown"]), "")
     )
@@ -105,10 +106,9 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
 def _visit(part: Column, i: Column) -> Column:
     """What a part shows in the output, and the attachment it records. ``before`` counts the
-    conversation's attachments in earlier turns."""
+    conversation's attachments in earlier turns, ``places`` lists the positions of this turn's."""
     placed = ~_is_text(part)
-    rank = F.size(F.filter(F.slice("parts", F.lit(1), i), lambda p: ~_is_text(p)))
-    number = (F.col("before") + rank + 1).cast("int")
+    number = (F.col("before") + F.array_position("places", i)).cast("int")
     shown = F.when(placed, F.concat(F.lit("<|"), escape(part["type"]), F.lit(":"), number.cast("string"), F.lit("|>"))).otherwise(escape(whole(part["text"])))
     attachment = F.struct(number.alias("number"), part["type"].alias("type"), part["ref"].alias("ref"), part_tokens(part).alias("tokens"))
     return F.struct(shown.alias("shown"), placed.alias("placed"), attachment.alias("attachment"))
@@ -128,5 +128,17 @@ def read_back(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, spans: Column) -> Column:
-    """The text under the loss mask, unescaped, in order and without anything between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), s["size"].cast("int")))), "")
+    """The text under the loss mask, unescaped, in order and without anything between.
+
+    The output is cut as four bytes a code point, where a place needs no count from the start, so the time
+    grows with the output's length alone; it may have 500 million code points. A character
+    put before each piece keeps a byte-order mark that begins it.
+    """
+    guard = F.encode(F.lit("x"), "UTF-32")
+
+    def cut(points: Column) -> Column:
+        at = lambda s: F.substring(points, (4 * s["start"] + 1).cast("int"), (4 * s["size"]).cast("int"))
+        text = lambda s: F.decode(F.concat(guard, at(s)), "UTF-32")
+        return F.array_join(F.transform(spans, lambda s: let(text(s), lambda t: unescape(F.substr(t, F.lit(2), F.length(t))))), "")
+
+    return let(F.encode(formatted, "UTF-32"), cut)
