@@ -10,6 +10,7 @@ from tunetable.plans import (  # noqa: F401
     rewards,
     rollouts,
     streams,
+    templates,
     texts,
 )
 from tunetable.plans.registry import QUERIES, SQL  # noqa: F401
