@@ -20,8 +20,7 @@ def brute(rows, items):
                 continue
             size = min(ss.STRETCH, len(item))
             for d in range(-len(item), len(doc)):
-                low, high = max(0, d), min(len(doc), d + len(item))
-                same = [doc[k] == item[k - d] for k in range(low, high)]
+                same = [0 <= k + d < len(doc) and doc[k + d] == w for k, w in enumerate(item)]
                 # a seed must hit, and some stretch must agree
                 hit = any(all(same[k + m] for m, b in enumerate(mask) if b == "1") for mask in ss.MASKS for k in range(len(same) - ss.SPAN + 1))
                 if hit and any(sum(same[k : k + size]) >= ss.SIMILARITY * size - 1e-9 for k in range(len(same) - size + 1)):
@@ -85,7 +84,7 @@ def rule(doc, item):
     """The stated rule alone, with no seed condition."""
     size = min(ss.STRETCH, len(item))
     for d in range(-len(item), len(doc) + 1):
-        same = [doc[k + d] == w for k, w in enumerate(item) if 0 <= k + d < len(doc)]
+        same = [0 <= k + d < len(doc) and doc[k + d] == w for k, w in enumerate(item)]
         if item and any(sum(same[k : k + size]) >= ss.SIMILARITY * size - 1e-9 for k in range(len(same) - size + 1)):
             return True
     return False
@@ -120,3 +119,22 @@ def test_leaks_follow_the_rule_alone(spark):
     docs, bench = [(i, split(t)) for i, t, _ in rows], [(i, split(t)) for i, t in items]
     assert got == {(i, j) for i, d in docs for j, u in bench if set(d) & set(u) and rule(d, u)}
     assert (1, 60) in got and (2, 60) not in got
+
+
+def test_passages_cut_off_by_the_document(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(20)]
+    cases = {1: prose(rng, 30).split() + words[:13], 2: words[-13:] + prose(rng, 30).split(), 3: words[:13], 4: prose(rng, 30).split() + words[:12], 5: words[-12:] + prose(rng, 30).split()}
+    docs = documents(spark, [(i, " ".join(w), "s") for i, w in cases.items()])
+    got = {r["key"]: r for r in ss.leaks(docs, spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")).collect()}
+    assert set(got) == {1, 2, 3}
+    assert all((r["equal_words"], r["stretch_words"], r["text_words"]) == (13, 16, len(cases[i])) for i, r in got.items())
+    assert [got[i]["start_word"] for i in (1, 2, 3)] == [30, 0, 0]
+
+
+def test_short_items_remove_only_their_copies(spark):
+    docs = documents(spark, [(1, "say yes to it", "s"), (2, "Yes!", "s"), (3, "no", "s"), (4, "so one two three four five go", "s"), (5, None, "s")])
+    bench = spark.createDataFrame([(1, "yes"), (2, "one two three four five")], "item_id long, text string")
+    assert {(r["key"], r["item"]) for r in ss.leaks(docs, bench).collect()} == {(1, 1), (2, 1), (4, 2)}
+    assert {r["doc_id"] for r in ss.without_leaks(docs, bench).collect()} == {1, 3, 5}
+    assert {r["doc_id"] for r in ss.without_leaks(docs, bench, least_words=1).collect()} == {3, 5}

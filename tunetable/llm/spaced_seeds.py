@@ -46,7 +46,6 @@ _BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK64 = (1 << 64) - 1
 _IS_WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
-_NO_TOKEN = np.uint64(0)
 # Scripts written without blanks: Thai and Lao, Myanmar, Khmer, kana and Han.
 _UNSPACED = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
 
@@ -206,7 +205,7 @@ def _regions(docs: DataFrame, bloom: np.ndarray, bits: int, masks: Sequence[str]
 
     def run(batches):
         hashed = _Tokens()
-        schema = pa.schema([("key", out_key), ("start", pa.int32()), ("tokens", pa.list_(pa.int64())), ("hits", pa.list_(pa.struct([("seed", pa.int64()), ("at", pa.int32())])))])
+        schema = pa.schema([("key", out_key), ("start", pa.int32()), ("text_words", pa.int64()), ("tokens", pa.list_(pa.int64())), ("hits", pa.list_(pa.struct([("seed", pa.int64()), ("at", pa.int32())])))])
         for batch in batches:
             rows: list[dict] = []
             # Texts are hashed together, with a stretch of no tokens between two of them.
@@ -219,7 +218,7 @@ def _regions(docs: DataFrame, bloom: np.ndarray, bits: int, masks: Sequence[str]
                     doc = owner[a[0]]
                     low, high = np.searchsorted(owner, doc), np.searchsorted(owner, doc, "right")
                     start, end = max(low, a[0] - STRETCH), min(high, a[-1] + 2 * STRETCH)
-                    rows.append({"key": batch.column("key")[first + int(doc)].as_py(), "start": int(start - low), "tokens": tokens[start:end].view(np.int64), "hits": [{"seed": int(x), "at": int(p - start)} for x, p in zip(s.view(np.int64), a, strict=True)]})
+                    rows.append({"key": batch.column("key")[first + int(doc)].as_py(), "start": int(start - low), "text_words": int(high - low), "tokens": tokens[start:end].view(np.int64), "hits": [{"seed": int(x), "at": int(p - start)} for x, p in zip(s.view(np.int64), a, strict=True)]})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -227,7 +226,7 @@ def _regions(docs: DataFrame, bloom: np.ndarray, bits: int, masks: Sequence[str]
     key = docs.schema["key"].dataType
     out_key = to_arrow_type(key)
     return docs.select("key", F.lower(whole(F.col("text"))).alias("text")).mapInArrow(
-        run, f"key {key.simpleString()}, start int, tokens array<long>, hits array<struct<seed:long,at:int>>"
+        run, f"key {key.simpleString()}, start int, text_words long, tokens array<long>, hits array<struct<seed:long,at:int>>"
     )
 
 
@@ -251,22 +250,24 @@ def _joined(column: pa.Array, hashed: _Tokens) -> Iterator[tuple[int, np.ndarray
 
 def _overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, similarity: float) -> tuple[int, int, int, int]:
     """Best stretch along a diagonal: (equal tokens, its length, start in the region, tokens of the item
-    inside verified stretches); zeros if none is similar enough."""
+    inside verified stretches); zeros if none is similar enough. The item's tokens before or behind
+    the document count as differing, so a passage that the document cuts off is judged like any other."""
     low, high = max(0, diagonal), min(len(doc), diagonal + len(item))
-    size = min(STRETCH, len(item))
-    if high - low < size:
+    if high <= low:
         return 0, 0, 0, 0
-    same = doc[low:high] == item[low - diagonal : high - diagonal]
+    size = min(STRETCH, len(item))
+    same = np.zeros(len(item), bool)
+    same[low - diagonal : high - diagonal] = doc[low:high] == item[low - diagonal : high - diagonal]
     sums = np.concatenate(([0], np.cumsum(same)))
     equal = sums[size:] - sums[:-size]
     good = np.flatnonzero(equal >= np.ceil(similarity * size - 1e-9))
     if not len(good):
         return 0, 0, 0, 0
     best = good[np.argmax(equal[good])]
-    covered = np.zeros(len(same), bool)
+    covered = np.zeros(len(item), bool)
     for g in good:
         covered[g : g + size] = True
-    return int(equal[best]), size, int(low + best), int(covered.sum())
+    return int(equal[best]), size, int(max(low, diagonal + best)), int(covered.sum())
 
 
 def _verified(candidates: DataFrame, similarity: float) -> DataFrame:
@@ -280,15 +281,15 @@ def _verified(candidates: DataFrame, similarity: float) -> DataFrame:
                 best = max((_overlap(doc, item, d, similarity) for d in batch.column("diagonals")[i].as_py()), key=lambda x: (x[3], x[0]))
                 if best[1]:
                     kept.append(i)
-                    values.append((best[0], best[1], batch.column("start")[i].as_py() + best[2], best[3], len(item)))
+                    values.append((best[0], best[1], batch.column("start")[i].as_py() + best[2], best[3], len(item), batch.column("text_words")[i].as_py()))
             part = batch.select(["key", "item"]).take(pa.array(kept, pa.int64()))
-            found = [pa.array([v[k] for v in values], pa.int64()) for k in range(5)]
+            found = [pa.array([v[k] for v in values], pa.int64()) for k in range(len(_FOUND))]
             yield pa.RecordBatch.from_arrays([*part.columns, *found], names=["key", "item", *_FOUND])
 
     return candidates.mapInArrow(run, f"{schema}, " + ", ".join(f"{c} long" for c in _FOUND))
 
 
-_FOUND = ("equal_words", "stretch_words", "start_word", "covered_words", "item_words")
+_FOUND = ("equal_words", "stretch_words", "start_word", "covered_words", "item_words", "text_words")
 
 
 def leaks(
@@ -302,7 +303,7 @@ def leaks(
     bloom_bits: int = BLOOM_BITS,
 ) -> DataFrame:
     """One row for each document and benchmark item that overlap: ``key, item`` and the best stretch
-    (``equal_words`` of ``stretch_words`` agree, from word ``start_word``) and ``covered_words`` of ``item_words``.
+    (``equal_words`` of ``stretch_words`` agree, from word ``start_word``), ``covered_words`` of ``item_words``, and the document's ``text_words``.
 
     NULL and empty texts overlap with nothing. Rows with the same key give one row. A NULL key or item
     id is a value like any other. Empty tables give an empty result.
@@ -319,17 +320,24 @@ def leaks(
     full = pairs.join(regions.drop("hits"), "region").join(
         items.select(F.col("item").alias("i"), F.col("tokens").alias("item_tokens")), F.col("item").eqNullSafe(F.col("i"))
     )
-    found = _verified(full.select("key", "item", "start", "tokens", "diagonals", "item_tokens"), similarity)
-    best = F.max(F.struct("covered_words", "equal_words", (-F.col("start_word")).alias("late"), "stretch_words", "item_words")).alias("b")
+    found = _verified(full.select("key", "item", "start", "text_words", "tokens", "diagonals", "item_tokens"), similarity)
+    best = F.max(F.struct("covered_words", "equal_words", (-F.col("start_word")).alias("late"), "stretch_words", "item_words", "text_words")).alias("b")
     return found.groupBy("key", "item").agg(best).select(
-        "key", "item", "b.equal_words", "b.stretch_words", (-F.col("b.late")).alias("start_word"), "b.covered_words", "b.item_words"
+        "key", "item", "b.equal_words", "b.stretch_words", (-F.col("b.late")).alias("start_word"), "b.covered_words", "b.item_words", "b.text_words"
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that overlap with no benchmark item, with the columns of the input."""
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = SPAN, **options
+) -> DataFrame:
+    """The documents that overlap with no benchmark item, with the columns of the input.
+
+    An item of fewer than ``least_words`` words is too little evidence inside a longer text, where anyone may write
+    them: it removes only documents that are that item and nothing else. ``leaks`` reports it everywhere.
+    """
     named = F.struct(F.xxhash64(F.col(key)).alias("id_hash"), F.xxhash64(F.col(text)).alias("text_hash"))
     found = leaks(docs.select(named.alias("key"), F.col(text).alias("text")), benchmark, "key", "text", **options)
+    found = found.filter((F.col("item_words") >= least_words) | (F.col("item_words") == F.col("text_words")))
     gone = settle(found.select("key.id_hash", "key.text_hash").distinct())
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), named.alias("k"))
     left = packed.join(gone, (F.col("k.id_hash") == F.col("id_hash")) & (F.col("k.text_hash") == F.col("text_hash")), "left_anti")
