@@ -170,6 +170,33 @@ def test_log_with_expiring_entries(spark):
     assert {k for k, _, _ in want} == {"late", "logged"}
 
 
+def test_log_keeps_its_state_by_lane(spark):
+    """Hundreds of keys, some NULL or empty, take one state entry a lane and not one a key."""
+    keys = [(None if k % 50 == 7 else k + 2**53, [None, "", "a=", "b"][k % 4]) for k in range(300)]
+    batches = [[(2**53 + 1000 * b + i, at(10 * b), *k) for i, k in enumerate(keys) if (i + b) % 3] for b in range(2)]
+    batches[1] += [(None, at(50), *keys[0]), (5, at(50), *keys[0]), (6, at(-1), *keys[1])]
+    want, last = [], {}
+    for b, batch in enumerate(batches):
+        for i, ts, *k in sorted(batch, key=lambda r: (r[1], r[0] is None, r[0] or 0)):
+            if b and ts < at(0) - timedelta(seconds=1):
+                want.append(("late", *k, i))
+            elif tuple(k) not in last or ts >= last[tuple(k)] + timedelta(hours=20):
+                want.append(("logged", *k, i))
+                last[tuple(k)] = ts
+    seen = []
+
+    def job(stream, path, checkpoint):
+        seen.append(checkpoint)
+        out = jobs.expiring_log(stream, "ts", ["u", "v"], "id", 72_000, "1 second", lanes=3)
+        return jobs.run_available(out, "append", True, path, checkpoint)
+
+    out = jobs.in_arrivals(arriving(spark, batches, "id long, ts timestamp, u long, v string"), "arrival", 2, job)
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema][:2] == [("u", "bigint"), ("v", "string")]
+    assert sorted(map(str, ((r.kind, r.u, r.v, r.id) for r in out.collect()))) == sorted(map(str, want))
+    state = spark.read.format("statestore").option("stateVarName", "last").load(seen[-1])
+    assert 0 < state.count() <= 3
+
+
 def test_packing_in_one_order_of_tokens(spark):
     """Empty and NULL lists, repeated keys, an empty micro-batch and chunks over several of them."""
     batches = [[(i, [100 * k + i] * (i % 4)) for i in reversed(range(9))] + [(3, [7]), (None, [8]), (4, None)] for k in range(3)] + [[], [(1, [5])]]
