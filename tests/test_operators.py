@@ -534,3 +534,13 @@ def test_fill_tail_over_a_vocabulary(spark):
     rows = align.fill_tail(df.withColumn("logp", F.log("p")), ["k"], "token", F.lit(5)).orderBy("k").collect()
     assert rows[0].tail_logp == pytest.approx(math.log(0.25 / 3))  # id 7 is out of range
     assert rows[1].tail_logp is None
+
+
+def test_encode_keeps_unknown_tokens_and_extreme_ids(spark):
+    docs = spark.createDataFrame([(1, "a b c a"), (2, "b"), (2, "c a")], "k long, t string")
+    vocab = spark.createDataFrame([("a", 2**31 - 1, 3), ("b", -(2**31), 2)], "token string, id int, n long")
+    got = sorted((r.k, tuple(r.ids)) for r in encode(docs, "t", vocab, ["k"], "ids").collect())
+    a, b = 2**31 - 1, -(2**31)
+    assert got == [(1, (a, b, None, a)), (2, (None, b, a)), (2, (None, b, a))]
+    plan = encode(docs, "t", vocab, ["k"], "ids")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan  # tokens are not sorted to find their ids
