@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tunetable.operators import align, builders, groups, metrics, sampling, skew, windows
 from tunetable.operators import ordering as order
 from tunetable.operators.vocab import build_vocabulary, encode, tokens_of
+from tunetable.plans.inputs import half_counts
 from tunetable.sources import splits
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -536,6 +537,38 @@ def test_fill_tail_over_a_vocabulary(spark):
     assert rows[1].tail_logp is None
 
 
+def brute_halves(docs):
+    """``(doc, row, token, p, q)`` of rows of words."""
+    out = []
+    for row, (doc, text) in enumerate(docs):
+        w = (text or "").split()
+        cut = (len(w) + 1) // 2
+        for t in sorted(set(w)):
+            out.append((doc, row, t, w[:cut].count(t) / cut, w[cut:].count(t) / (len(w) - cut) if len(w) > cut else 0.0))
+    return out
+
+
+HALVED = [(1, "a b a c b d"), (2, "a"), (3, ""), (4, None), (5, "a b c a"), (5, "a b c a"), (5, "b z"), (6, "c c d"), (6, ""), (None, "a b a"), (None, "b b")]
+
+
+def test_half_counts(spark):
+    docs = spark.createDataFrame(HALVED, "doc_id long, text string")
+    got = half_counts(docs).collect()
+    assert sorted((str(r.doc_id), r.token, r.p, r.q) for r in got) == sorted((str(d), t, p, q) for d, _, t, p, q in brute_halves(HALVED))
+    assert len({(r.row, r.token) for r in got}) == len(got)
+    plan = half_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # the texts; no shuffle of tokens
+
+
+def test_losses_of_pairs_are_those_of_merged_rows(spark):
+    both = spark.createDataFrame(brute_halves(HALVED), "k long, row long, token string, p double, q double").cache()
+    vocabulary = spark.createDataFrame([("a", 9, True), ("b", 7, False), ("c", 5, False), ("z", 1, True)], "token string, n long, shared boolean")
+    of = lambda *more: tuple(align.hybrid_loss_of_pairs(both.drop(*(() if more else ("row",))), vocabulary, ["k"], 0.5, (0.4, 0.6), None, None, None, *more).first())
+    plain = of()
+    for again in (both, both.filter("k IS NULL OR k = 5")):
+        assert of(again, "row") == pytest.approx(plain)
+
+
 def test_encode_keeps_unknown_tokens_and_extreme_ids(spark):
     docs = spark.createDataFrame([(1, "a b c a"), (2, "b"), (2, "c a")], "k long, t string")
     vocab = spark.createDataFrame([("a", 2**31 - 1, 3), ("b", -(2**31), 2)], "token string, id int, n long")

@@ -42,7 +42,7 @@ def _half_counts(words: Column) -> Column:
     both = lambda x, y: token(x, y) & (x["late"] == y["late"])
 
     def marked(w: Column) -> Column:
-        return F.array_sort(F.transform(w, lambda t, i: F.struct(t.alias("token"), (i * 2 >= F.size(w)).alias("late"))))
+        return F.sort_array(F.transform(w, lambda t, i: F.struct(t.alias("token"), (i * 2 >= F.size(w)).alias("late"))))
 
     def runs(order: Column) -> Column:
         def sized(starts: Column) -> Column:
@@ -69,7 +69,7 @@ def merged(entries: Column) -> Column:
         total = lambda x, j, c: (x[c] + other(x, j, c)).alias(c)
         return _firsts(order, token, lambda x, j: F.struct(x["token"].alias("token"), total(x, j, "p"), total(x, j, "q"), x["shared"].alias("shared")))
 
-    return let(F.array_sort(entries), added)
+    return let(F.sort_array(entries), added)
 
 
 def _falling(values: Column) -> Column:
@@ -96,6 +96,11 @@ def unmatched_gap(entries: Column, cut: bool) -> Column:
     own = lambda side: F.transform(F.filter(entries, lambda x: ~x["shared"] & (x[side] > 0)), lambda x: x[side])
     if not cut:
         return sorted_gap(own("p"), own("q"))
-    pair = F.struct(_falling(own("p")).alias("p"), own("q").alias("q"))
+    return cut_gap(own("p"), own("q"))
+
+
+def cut_gap(p: Column, q: Column) -> Column:
+    """Sorted L1 of ``q`` and as many of the largest of ``p``; NULL if either is empty."""
+    pair = F.struct(_falling(p).alias("p"), q.alias("q"))
     gap = lambda s: F.when((F.size(s["p"]) > 0) & (F.size(s["q"]) > 0), sorted_gap(F.slice(s["p"], 1, F.size(s["q"])), s["q"]))
     return let(pair, gap)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunetable.functions.distributions import matched_divergence, merged, sorted_gap, unmatched_gap
+from tunetable.functions.distributions import cut_gap, matched_divergence, merged, sorted_gap, unmatched_gap
 from tunetable.functions.objectives import divergence_term, running_sum
 from tunetable.functions.render import common_prefix_length
 from tunetable.operators.ordering import rank_within
@@ -173,17 +173,47 @@ def hybrid_loss_of_pairs(
     teacher_tokens: Column | None = None,
     matched_tokens: Column | None = None,
     vocabulary_total: Column | None = None,
+    again: DataFrame | None = None,
+    row: str | None = None,
 ) -> DataFrame:
-    """The same from ``(keys, token, p, q)``, where a token that one side lacks has 0 there."""
-    return _hybrid(both.withColumn("_s", F.col("p") > 0), vocabulary, list(keys), beta, weights, teacher_tokens, matched_tokens, False, vocabulary_total)
+    """The same from ``(keys, token, p, q)``, where a token that one side lacks has 0 there.
 
+    With ``row``, a column that numbers the positions, a key with one position has nothing to merge: its tokens go without their
+    names, and only those of one side are listed. ``again`` is then the same of all keys that have several, and may hold others.
+    """
+    sided = both.withColumn("_s", F.col("p") > 0)
+    if row is None:
+        return _hybrid(sided, vocabulary, list(keys), beta, weights, teacher_tokens, matched_tokens, False, vocabulary_total)
+    single = (F.min(row) == F.max(row)).alias("_one")
+    rest = _merged_terms(_flagged(again.withColumn("_s", F.col("p") > 0), vocabulary, vocabulary_total), keys, beta, False, single).filter(~F.col("_one"))
+    p, q, eps = F.col("p"), F.col("q"), F.lit(1e-8)
+    own = lambda c: F.collect_list(F.when(~F.col("shared") & (c > 0), c))
+    term = F.when(F.col("shared") & (q > 0), divergence_term(F.greatest(p, eps), F.greatest(q, eps), beta))
+    sums = _flagged(sided, vocabulary, vocabulary_total).groupBy(*keys).agg(
+        F.bool_or("_s").alias("_s"), F.sum(term).alias("m"), own(p).alias("_a"), own(q).alias("_b"), single
+    )
+    terms = sums.filter("_one").select("_s", "m", cut_gap(F.col("_a"), F.col("_b")).alias("u"))
+    return _mean_terms(terms.unionByName(rest.drop("_one")), False, weights, teacher_tokens, matched_tokens)
 
-def _hybrid(sides, vocabulary, keys, beta, weights, teacher_tokens, matched_tokens, dense, vocabulary_total=None) -> DataFrame:
+
+def _flagged(rows: DataFrame, vocabulary: DataFrame, total: Column | None) -> DataFrame:
+    return join_unique(rows, vocabulary, ["token"], "n", ["shared"], total=total).fillna(False, ["shared"])
+
+
+def _merged_terms(flagged: DataFrame, keys: Sequence[str], beta: float, dense: bool, *more: Column) -> DataFrame:
     """A position becomes one row, in which its tokens are merged, compared and ranked."""
-    flagged = join_unique(sides, vocabulary, ["token"], "n", ["shared"], total=vocabulary_total).fillna(False, ["shared"])
     entries = F.collect_list(F.struct("token", "p", "q", "shared"))
-    rows = flagged.groupBy(*keys).agg(entries.alias("_e"), F.bool_or("_s").alias("_s")).withColumn("_e", merged(F.col("_e")))
-    terms = rows.select("_s", matched_divergence(F.col("_e"), beta).alias("m"), unmatched_gap(F.col("_e"), not dense).alias("u"))
+    rows = flagged.groupBy(*keys).agg(entries.alias("_e"), F.bool_or("_s").alias("_s"), *more).withColumn("_e", merged(F.col("_e")))
+    kept = [c for c in rows.columns if c not in (*keys, "_e")]
+    return rows.select(*kept, matched_divergence(F.col("_e"), beta).alias("m"), unmatched_gap(F.col("_e"), not dense).alias("u"))
+
+
+def _hybrid(sides, vocabulary, keys, beta, weights, teacher_tokens, matched_tokens, dense, vocabulary_total=None) -> DataFrame:
+    terms = _merged_terms(_flagged(sides, vocabulary, vocabulary_total), keys, beta, dense)
+    return _mean_terms(terms, dense, weights, teacher_tokens, matched_tokens)
+
+
+def _mean_terms(terms: DataFrame, dense: bool, weights, teacher_tokens, matched_tokens) -> DataFrame:
     # A dense sum is over all positions; otherwise a position without the term does not count.
     mean = lambda c: F.try_divide(F.sum(c), F.count_if("_s")) if dense else F.avg(c)
     out = terms.agg(*[F.coalesce(mean(c), F.lit(0.0)).alias(n) for c, n in (("m", "matched_loss"), ("u", "unmatched_loss"))])

@@ -351,8 +351,20 @@ def half_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def half_table(spark: SparkSession, sf: str) -> DataFrame:
     """The same in long form: ``doc_id, token, p, q``."""
-    # The outer form: for the other the optimizer would count the words once more, to filter by the number of tokens.
-    return half_rows(spark, sf).select("doc_id", F.inline_outer("halves"))
+    return half_counts(documents(spark, sf, "doc_id", "text")).drop("row")
+
+
+def half_counts(docs: DataFrame) -> DataFrame:
+    """``doc_id, row, token, p, q`` of the given documents, laid out by ``doc_id``; ``row`` tells rows of one ``doc_id`` apart.
+
+    The texts are shuffled, not their tokens: the counts, and groups by document after them, stay where a text is.
+    """
+    split = docs.repartition("doc_id").select("doc_id", F.monotonically_increasing_id().alias("row"), words(F.col("text")).alias("w"))
+    tokens = split.select("doc_id", "row", F.size("w").alias("n"), F.posexplode("w").alias("pos", "token"))
+    counts = tokens.groupBy("doc_id", "row", "n", "token").agg(F.count_if(F.col("pos") * 2 < F.col("n")).alias("a"), F.count("*").alias("c"))
+    first = F.ceil(F.col("n") / 2).cast("double")
+    share = lambda n, size: F.coalesce(F.try_divide(n.cast("double"), size), F.lit(0.0))
+    return counts.select("doc_id", "row", "token", share(F.col("a"), first).alias("p"), share(F.col("c") - F.col("a"), F.col("n") - first).alias("q"))
 
 
 def half_distributions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
