@@ -560,6 +560,16 @@ def test_half_counts(spark):
     assert plan.count("Exchange hashpartitioning") == 1  # the texts; no shuffle of tokens
 
 
+def test_divergence_of_pairs_is_that_of_joined_sides(spark):
+    both = spark.createDataFrame(brute_halves(HALVED), "k long, row long, token string, p double, q double")
+    student, teacher = both.filter("p > 0").select("k", "token", "p"), both.filter("q > 0").select("k", "token", "q")
+    joined = student.join(teacher, ["k", "token"], "full_outer")
+    want = {r.k: r.divergence for r in align.divergence_by_position(joined, ["k"], "p", "q", 0.3).collect()}
+    for again in (both, both.filter("k IS NULL OR k = 5")):
+        got = {r.k: r.divergence for r in align.divergence_of_pairs(both, again, "k", "row", 0.3).collect()}
+        assert got == pytest.approx(want) and set(got) == {None, 1, 2, 5, 6}
+
+
 def test_losses_of_pairs_are_those_of_merged_rows(spark):
     both = spark.createDataFrame(brute_halves(HALVED), "k long, row long, token string, p double, q double").cache()
     vocabulary = spark.createDataFrame([("a", 9, True), ("b", 7, False), ("c", 5, False), ("z", 1, True)], "token string, n long, shared boolean")

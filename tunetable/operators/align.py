@@ -134,6 +134,22 @@ def divergence_by_position(dists: DataFrame, keys: Sequence[str], student: str,
     return dists.groupBy(*keys).agg(F.sum(term).alias("divergence"))
 
 
+def divergence_of_pairs(both: DataFrame, again: DataFrame, key: str, row: str, beta: float) -> DataFrame:
+    """The same from ``(key, row, token, p, q)``, where a token that one side lacks has 0 there and ``row`` numbers the positions.
+
+    A key with one position is summed as it is, without a join of the sides. ``again`` is the same of all keys that are NULL or have
+    several positions, and may hold others; its sides are joined by key and token, which pairs all of a key's and none of a NULL key.
+    """
+    single = F.min("_low") == F.max("_high")
+    total = lambda p, q: F.sum(divergence_term(p, q, beta)).alias("divergence")
+    rows = both.withColumns({"_low": F.col(row), "_high": F.col(row)}).groupBy(key).agg(total(F.col("p"), F.col("q")), single.alias("_one"))
+    side = lambda c, place: again.filter(F.col(c) > 0).select(key, "token", c, F.col(row).alias(place))
+    pairs = side("p", "_s").join(side("q", "_t"), [key, "token"], "full_outer").withColumns({"_low": F.least("_s", "_t"), "_high": F.greatest("_s", "_t")})
+    joined = pairs.groupBy(key).agg(total(F.coalesce("p", F.lit(0.0)), F.coalesce("q", F.lit(0.0))), single.alias("_one"))
+    whole = F.col("_one") & F.col(key).isNotNull()
+    return rows.filter(whole).unionByName(joined.filter(~whole)).drop("_one")
+
+
 def hybrid_loss(
     student: DataFrame,
     teacher: DataFrame,
