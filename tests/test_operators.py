@@ -572,6 +572,9 @@ def test_divergence_of_pairs_is_that_of_joined_sides(spark):
 
 def test_losses_of_pairs_are_those_of_merged_rows(spark):
     both = spark.createDataFrame(brute_halves(HALVED), "k long, row long, token string, p double, q double").cache()
+    side = lambda c: both.filter(F.col(c) > 0).select("k", F.col(c).alias("v"))
+    want = align.rank_aligned_loss(side("p"), side("q"), ["k"], "v").first().loss
+    assert align.rank_aligned_loss_of_pairs(both, ["k"], "p", "q").first().loss == pytest.approx(want)
     vocabulary = spark.createDataFrame([("a", 9, True), ("b", 7, False), ("c", 5, False), ("z", 1, True)], "token string, n long, shared boolean")
     of = lambda *more: tuple(align.hybrid_loss_of_pairs(both.drop(*(() if more else ("row",))), vocabulary, ["k"], 0.5, (0.4, 0.6), None, None, None, *more).first())
     plain = of()

@@ -128,6 +128,14 @@ def rank_aligned_loss(student: DataFrame, teacher: DataFrame, keys: Sequence[str
     return rows.agg((F.sum(sorted_gap(F.col("_a"), F.col("_b"))) / F.nullif(F.count_if("_s"), F.lit(0))).alias("loss"))
 
 
+def rank_aligned_loss_of_pairs(both: DataFrame, keys: Sequence[str], p: str, q: str) -> DataFrame:
+    """The same from one table of both sides, where a token that one side lacks has 0 there."""
+    listed = [F.collect_list(F.when(F.col(c) > 0, F.col(c))).alias(n) for c, n in ((p, "_a"), (q, "_b"))]
+    rows = both.groupBy(*keys).agg(*listed)
+    positions = F.count_if(F.size("_a") > 0)
+    return rows.agg((F.sum(sorted_gap(F.col("_a"), F.col("_b"))) / F.nullif(positions, F.lit(0))).alias("loss"))
+
+
 def divergence_by_position(dists: DataFrame, keys: Sequence[str], student: str, teacher: str, beta: float) -> DataFrame:
     """Generalised Jensen-Shannon divergence per position of ``(keys, token, p, q)``."""
     term = divergence_term(F.coalesce(student, F.lit(0.0)), F.coalesce(teacher, F.lit(0.0)), beta)
